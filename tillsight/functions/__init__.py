@@ -3,11 +3,13 @@
 from .exprs import (
     as_date,
     clip,
+    fixed,
     half_up,
     hash_key,
     hash_uniform,
     linear_bin,
     ntile_of,
+    num,
     ratio_or_zero,
     scalar_of,
     slug,
@@ -16,6 +18,6 @@ from .exprs import (
 )
 
 __all__ = [
-    "as_date", "clip", "half_up", "hash_key", "hash_uniform", "linear_bin", "ntile_of",
+    "as_date", "clip", "fixed", "half_up", "hash_key", "hash_uniform", "linear_bin", "ntile_of", "num",
     "ratio_or_zero", "scalar_of", "slug", "strip_prefix", "title",
 ]

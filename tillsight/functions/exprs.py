@@ -36,7 +36,7 @@ def hash_key(key: str | Column, seed: int | str) -> Column:
 
 def hash_fraction(hexkey: Column) -> Column:
     """First 32 bits of a hex key as a number in [0, 1); monotone in the key's text order."""
-    return F.conv(F.substring(hexkey, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return F.conv(F.substring(hexkey, 1, 8), 16, 10).cast("double") / 4294967296.0
 
 
 def hash_uniform(key: str | Column, seed: int | str) -> Column:
@@ -55,18 +55,24 @@ def ntile_of(ordinal: Column, n: Column, k: int) -> Column:
     )
 
 
-def linear_bin(x: str | Column, lo: str | Column, hi: str | Column, bins: int) -> Column:
-    """Index of the equal-width bin of x between lo and hi: closed left, last bin closed on both sides.
+def fixed(c: str | Column, digits: int) -> Column:
+    """Number as text with fixed digits, halves decided by the exact binary value (``printf`` in Java decides by the shortest decimal)."""
+    return F.call_function("format_number", _col(c).cast("double"), F.lit("0." + "0" * digits if digits else "0"))
+
+
+def num(x: float) -> str:
+    """A number as a double literal of an SQL expression."""
+    return f"({float(x)!r}D)"
+
+
+def linear_bin(x: str, lo: str, hi: str, bins: int) -> Column:
+    """Index of the equal-width bin of column x between columns lo and hi: closed left, last bin closed on both sides.
 
     Counts the inner edges at or below x instead of flooring a ratio, so values on an edge fall
     where explicit edges put them.
     """
-    x, lo, hi = _col(x), _col(lo), _col(hi)
-    step = (hi - lo) / F.lit(float(bins))
-    index = F.lit(0)
-    for i in range(1, bins):
-        index = index + (x >= lo + F.lit(float(i)) * step).cast("int")
-    return index
+    step = f"(({hi} - {lo}) / {num(bins)})"
+    return F.expr(" + ".join(f"CAST({x} >= {lo} + {num(i)} * {step} AS INT)" for i in range(1, bins)))
 
 
 def as_date(c: str | Column) -> Column:

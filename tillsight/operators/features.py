@@ -325,7 +325,8 @@ def segment_contrast(profiles: DataFrame, cols: list[str], minimum: float = 0.15
     """
     after = Window.partitionBy().orderBy("segment_id").rowsBetween(1, Window.unboundedFollowing)
     others = F.collect_list(F.struct("segment_id", *cols)).over(after)
-    pairs = profiles.select(F.col("segment_id").alias("segment_a"), *cols, F.explode(others).alias("o"))
+    seen = profiles.withColumn("_others", others)
+    pairs = seen.select(F.col("segment_id").alias("segment_a"), *cols, F.explode("_others").alias("o"))
 
     def difference(c: str) -> Column:
         return F.abs(F.col(c) - F.col(f"o.{c}")) / F.greatest(F.col(c), F.col(f"o.{c}"), F.lit(1.0))

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions.exprs import hash_fraction, hash_key, scalar_of
+from ..functions.exprs import hash_key, num, scalar_of
 
 _MAX_BUCKETS = 1024
 
@@ -47,28 +47,26 @@ def prefix_sums(
     key = F.coalesce(key if descending else -key, F.lit(float("-inf")))
     keyed = df.withColumn("_k", key)
 
-    probs = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    sketch = F.percentile_approx("_k", probs, F.lit(max(10000, 20 * buckets))).alias("_bounds")
+    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(_k, array({probs}), {max(10000, 20 * buckets)})").alias("_bounds")
     if group:
         bounds = keyed.groupBy(*group).agg(sketch)
         coded = keyed.join(F.broadcast(bounds), group)
     else:
         coded = keyed.withColumn("_bounds", scalar_of(keyed.agg(sketch)))
 
-    above = F.size(F.filter("_bounds", lambda b: b > F.col("_k")))
-    same = F.size(F.filter("_bounds", lambda b: b == F.col("_k")))
-    coded = coded.withColumn("_above", above).withColumn("_same", same)
-    if tie is None:
-        sub = F.lit(0)
-    else:
-        coded = coded.withColumn("_h", F.md5(F.col(tie).cast("string")))
-        sub = F.floor(hash_fraction(F.col("_h")) * F.col("_same")).cast("int")
-    code = F.col("_above") * (2 * buckets) + F.when(F.col("_same") > 0, 1 + sub).otherwise(0)
+    place = {
+        "_above": F.expr("size(filter(_bounds, b -> b > _k))"),
+        "_same": F.expr("size(filter(_bounds, b -> b = _k))"),
+    }
+    sub = "0"
+    if tie is not None:
+        place["_h"] = F.md5(F.col(tie).cast("string"))
+        sub = "CAST(floor(CAST(conv(substring(_h, 1, 8), 16, 10) AS DOUBLE) / 4294967296D * _same) AS INT)"
     # Never null, and said so: otherwise the join below adds a null filter that evaluates it again.
-    code = F.coalesce(code, F.lit(0))
-    coded = coded.withColumn("_code", code).drop("_bounds", "_above", "_same")
-    for name, value in values.items():
-        coded = coded.withColumn(f"_v_{name}", value)
+    code = F.expr(f"coalesce(_above * {2 * buckets} + CASE WHEN _same > 0 THEN 1 + {sub} ELSE 0 END, 0)")
+    coded = coded.withColumns(place).withColumns({"_code": code, **{f"_v_{n}": v for n, v in values.items()}})
+    coded = coded.drop("_bounds", "_above", "_same")
 
     within = [F.desc("_k")] + ([F.asc("_h"), F.asc(tie)] if tie else [])
     return _add_offsets(coded, group, "_code", within, list(values), totals).drop("_k", "_h")
@@ -87,9 +85,9 @@ def _add_offsets(coded: DataFrame, group: list[str], code: str, within: list[Col
         *([F.sum(f"_b_{n}").over(whole).alias(f"{n}_total") for n in names] if totals else []),
     )
     before = Window.partitionBy(*group, code).orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
-    out = coded.join(F.broadcast(offsets), [*group, code])
-    for n in names:
-        out = out.withColumn(n, F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)) + F.col(f"_o_{n}"))
+    out = coded.join(F.broadcast(offsets), [*group, code]).withColumns({
+        n: F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)) + F.col(f"_o_{n}") for n in names
+    })
     return out.drop(code, *[f"_v_{n}" for n in names], *[f"_o_{n}" for n in names])
 
 
@@ -132,15 +130,13 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: S
     placed = prefix_sums(counts, value, {"_first": F.col("_c")}, group, None, False, buckets)
     aggs = []
     for name, p in probs.items():
-        rank = (F.col("_first_total") - 1) * F.lit(float(p))
-        for side, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            here = (F.col("_first") <= at) & (at < F.col("_first") + F.col("_c"))
-            aggs.append(F.max(F.when(here, F.col(value).cast("double"))).alias(f"_{side}_{name}"))
+        rank = f"((_first_total - 1) * {num(p)})"
+        for side, at in (("lo", f"floor({rank})"), ("hi", f"ceil({rank})")):
+            here = f"_first <= {at} AND {at} < _first + _c"
+            aggs.append(F.expr(f"max(CASE WHEN {here} THEN CAST({value} AS DOUBLE) END) AS _{side}_{name}"))
     picked = placed.groupBy(*group).agg(F.max("_first_total").alias("n_values"), *aggs)
-
-    def interpolated(name: str, p: float) -> Column:
-        rank = (F.col("n_values") - 1) * F.lit(float(p))
-        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
-        return lo + (hi - lo) * (rank - F.floor(rank))
-
-    return picked.select(*group, "n_values", *[interpolated(n, p).alias(n) for n, p in probs.items()])
+    between = [
+        F.expr(f"_lo_{n} + (_hi_{n} - _lo_{n}) * ((n_values - 1) * {num(p)} - floor((n_values - 1) * {num(p)})) AS {n}")
+        for n, p in probs.items()
+    ]
+    return picked.select(*group, "n_values", *between)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .features import KEY, score_distribution, segment_distribution, top_n
-from .segments import SegmentModel, assign, scaled_column
+from ..functions.exprs import fixed, num
+from .segments import SegmentModel, assign, squared_term, with_scaled
 
 
 def linear_score(df: DataFrame, weights: dict[str, float], intercept: float = 0.0, digits: int | None = 6,
@@ -48,44 +47,35 @@ def confidence(df: DataFrame, model: SegmentModel | None) -> DataFrame:
 def explain(df: DataFrame, model: SegmentModel | None, features: list[str] | None = None) -> DataFrame:
     """Add ``top_features``: per feature the score change when it is set to the population mean.
 
-    Each squared term of the distance is computed once for a centroid and feature; leaving one out
-    means adding up the others. It is a projection: customers are not multiplied by features.
+    Each centroid's squared distance is computed once; setting a feature to its mean exchanges one
+    term of it. It is a projection: customers are not multiplied by features.
     """
     names = list(model.features) if model is not None else list(features or [])
     if model is None:
         same = F.round(F.lit(1.0 / max(len(names), 1)), 4)
         items = [F.struct(F.lit(n).alias("feature"), same.alias("impact"), F.lit("positive").alias("direction")) for n in names]
         return df.withColumn("top_features", F.array(*items))
-    n = len(names)
-    add = lambda cols: reduce(lambda a, b: a + b, cols)
-    z = df.withColumns({f"_z{i}": scaled_column(model, i) for i in range(n)})
-    squares = {}
-    for k, centre in enumerate(model.centroids):
-        for i, c in enumerate(centre):
-            off = F.col(f"_z{i}") - F.lit(c)
-            squares[f"_q{k}_{i}"] = off * off
-    z = z.withColumns(squares)
-    least = lambda cols: F.least(*cols) if len(cols) > 1 else cols[0]
-    score = lambda dist: F.lit(1.0) / (F.lit(1.0) + dist)
-    ks = range(len(model.centroids))
-    z = z.withColumn("_base", score(least([F.sqrt(add([F.col(f"_q{k}_{i}") for i in range(n)])) for k in ks])))
-    items = []
-    for i, name in enumerate(names):
-        dist = least([
-            F.sqrt(add([F.col(f"_q{k}_{j}") for j in range(n) if j != i] + [F.lit(model.centroids[k][i] ** 2)])) for k in ks
-        ])
-        impact = F.round(F.abs(F.col("_base") - score(dist)), 4)
-        raw = F.coalesce(F.col(name).cast("double"), F.lit(0.0))
-        # The field order is the sort order: larger impact first, then the order of the feature list.
-        items.append(F.struct(
-            (-impact).alias("minus"), F.lit(i).alias("position"), F.lit(name).alias("feature"), impact.alias("impact"),
-            F.when(raw > F.lit(model.means[i]), "positive").otherwise("negative").alias("direction"),
-        ))
-    ordered = F.transform(
-        F.sort_array(F.array(*items)), lambda s: F.struct(s["feature"].alias("feature"), s["impact"].alias("impact"), s["direction"].alias("direction"))
+    centres = list(enumerate(model.centroids))
+    least = lambda parts: f"least({', '.join(parts)})" if len(parts) > 1 else parts[0]
+    z = with_scaled(df, model).withColumns({
+        f"_t{k}": F.expr(" + ".join(squared_term(i, c) for i, c in enumerate(centre))) for k, centre in centres
+    }).withColumn("_base", F.expr(f"1D / (1D + sqrt({least([f'_t{k}' for k, _ in centres])}))"))
+
+    def impact(i: int) -> str:
+        dist = least([f"_t{k} - {squared_term(i, c[i])} + {num(c[i] ** 2)}" for k, c in centres])
+        return f"round(abs(_base - 1D / (1D + sqrt(greatest({dist}, 0D)))), 4)"
+
+    z = z.withColumns({f"_i{i}": F.expr(impact(i)) for i in range(len(names))})
+    # The field order is the sort order: larger impact first, then the order of the feature list.
+    items = ", ".join(
+        f"named_struct('m', -_i{i}, 'p', {i}, 'feature', '{name}', 'impact', _i{i}, 'direction', "
+        f"CASE WHEN coalesce(CAST({name} AS DOUBLE), 0D) > {num(model.means[i])} THEN 'positive' ELSE 'negative' END)"
+        for i, name in enumerate(names)
+    )
+    ordered = F.expr(
+        f"transform(sort_array(array({items})), s -> named_struct('feature', s.feature, 'impact', s.impact, 'direction', s.direction))"
     )
-    kept = [F.col(c) for c in df.columns]
-    return z.select(*kept, ordered.alias("top_features"))
+    return z.select(*df.columns, ordered.alias("top_features"))
 
 
 def _phrase(feature: Column, value: Column, direction: Column) -> Column:
@@ -100,14 +90,14 @@ def _phrase(feature: Column, value: Column, direction: Column) -> Column:
             F.when(direction == "positive", text("their last purchase was %d days ago, above the average", whole))
             .otherwise(text("they shopped recently (%d days ago)", whole)),
         )
-        .when(feature == "monetary", text("their total spend (£%.2f) is %s average", value, rel))
-        .when(feature == "avg_basket_size", text("their average basket size (£%.2f) is %s average", value, rel))
-        .when(feature == "basket_std", text("their basket variability (£%.2f std) is %s average", value, rel))
-        .when(feature == "online_ratio", text("their online shopping ratio (%.0f%%) is %s average", value * 100, rel))
+        .when(feature == "monetary", text("their total spend (£%s) is %s average", fixed(value, 2), rel))
+        .when(feature == "avg_basket_size", text("their average basket size (£%s) is %s average", fixed(value, 2), rel))
+        .when(feature == "basket_std", text("their basket variability (£%s std) is %s average", fixed(value, 2), rel))
+        .when(feature == "online_ratio", text("their online shopping ratio (%s%%) is %s average", fixed(value * 100, 0), rel))
         .when(feature == "online_txns", text("their online transaction count (%d) is %s average", whole, rel))
         .when(feature == "instore_txns", text("their in-store transaction count (%d) is %s average", whole, rel))
         .when(feature == "active_days", text("their activity level (%d active days) is %s average", whole, rel))
-        .otherwise(text("their %s (%.2f) is %s average", F.translate(feature, "_", " "), value, rel))
+        .otherwise(text("their %s (%s) is %s average", F.translate(feature, "_", " "), fixed(value, 2), rel))
     )
 
 
@@ -120,7 +110,7 @@ def explanation_text(df: DataFrame, features: list[str]) -> DataFrame:
         item = F.get("top_features", i)
         return _phrase(item["feature"], F.try_element_at("_v", item["feature"]), item["direction"])
 
-    start = F.format_string("This customer received a propensity score of %.2f", F.col("propensity_score"))
+    start = F.format_string("This customer received a propensity score of %s", fixed("propensity_score", 2))
     count = F.size("top_features")
     out = (
         F.when(count >= 2, F.concat(start, F.lit(" primarily because "), part(0), F.lit(" and "), part(1), F.lit(".")))

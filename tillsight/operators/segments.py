@@ -4,15 +4,13 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.storagelevel import StorageLevel
 
+from ..functions.exprs import num
 from .features import KEY
 from .ordinal import hash_ordinal
 
@@ -71,9 +69,21 @@ def fit_segments(df: DataFrame, cols: list[str], k: int = 3, restarts: int = 10,
     return SegmentModel(tuple(cols), tuple(means), tuple(scales), tuple(centroids), cost)
 
 
-def scaled_column(model: SegmentModel, i: int) -> Column:
-    x = F.coalesce(F.col(model.features[i]).cast("double"), F.lit(0.0))
-    return (x - F.lit(model.means[i])) / F.lit(model.scales[i])
+def scaled_expr(model: SegmentModel, i: int) -> str:
+    return f"(coalesce(CAST({model.features[i]} AS DOUBLE), 0D) - {num(model.means[i])}) / {num(model.scales[i])}"
+
+
+def with_scaled(df: DataFrame, model: SegmentModel) -> DataFrame:
+    """Add the scaled features _z0.._zn of the model."""
+    return df.withColumns({f"_z{i}": F.expr(scaled_expr(model, i)) for i in range(len(model.features))})
+
+
+def squared_term(i: int, centre: float) -> str:
+    return f"(_z{i} - {num(centre)}) * (_z{i} - {num(centre)})"
+
+
+def distance_expr(centre: tuple[float, ...]) -> str:
+    return "sqrt(" + " + ".join(squared_term(i, c) for i, c in enumerate(centre)) + ")"
 
 
 def assign(df: DataFrame, model: SegmentModel) -> DataFrame:
@@ -81,14 +91,12 @@ def assign(df: DataFrame, model: SegmentModel) -> DataFrame:
 
     The model is a few numbers, so it is part of the expression.
     """
-    z = [f"_z{i}" for i in range(len(model.features))]
-    scaled = df.withColumns({name: scaled_column(model, i) for i, name in enumerate(z)})
-    options = []
-    for k, centre in enumerate(model.centroids):
-        sq = reduce(lambda a, b: a + b, [(F.col(n) - F.lit(c)) * (F.col(n) - F.lit(c)) for n, c in zip(z, centre)])
-        options.append(F.struct(F.sqrt(sq).alias("d"), F.lit(k).alias("k")))
-    near = scaled.withColumn("_near", F.array_min(F.array(*options)))
-    return near.withColumns({"segment_id": F.col("_near.k"), "distance": F.col("_near.d")}).drop("_near", *z)
+    options = ", ".join(
+        f"named_struct('d', {distance_expr(centre)}, 'k', {k})" for k, centre in enumerate(model.centroids)
+    )
+    near = with_scaled(df, model).withColumn("_near", F.expr(f"array_min(array({options}))"))
+    kept = [F.col(c) for c in df.columns if c not in ("segment_id", "distance")]
+    return near.select(*kept, F.col("_near.k").alias("segment_id"), F.col("_near.d").alias("distance"))
 
 
 def inertia(assigned: DataFrame) -> DataFrame:
@@ -155,8 +163,3 @@ def segmentation_summary(sil: DataFrame, sizes: DataFrame) -> DataFrame:
     shares = sizes.agg(F.max("share").alias("max_share"), F.min("share").alias("min_share"))
     return shares.withColumn("silhouette", sil.select("silhouette").scalar())
 
-
-__all__ = [
-    "SegmentModel", "scaler_stats", "standardise", "fit_scaler", "fit_segments", "scaled_column", "assign",
-    "inertia", "silhouette", "silhouette_squared", "segmentation_summary", "vector_to_array",
-]

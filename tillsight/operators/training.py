@@ -69,9 +69,9 @@ def gbt(cols: Sequence[str], label: str = "label", n_rounds: int = 50, max_depth
         subsample: float = 1.0, validation: str | None = None, tolerance: float = 0.001, seed: int = 42, **_) -> Pipeline:
     """Gradient boosting; with a validation flag column it stops when the validation loss stops improving."""
     model = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=n_rounds, maxDepth=max_depth, stepSize=rate,
-                          subsamplingRate=subsample, seed=seed)
+                          subsamplingRate=subsample, seed=seed, validationTol=tolerance)
     if validation:
-        model.setValidationIndicatorCol(validation).setValidationTol(tolerance)
+        model.setValidationIndicatorCol(validation)
     return Pipeline(stages=[_assembler(cols), model])
 
 
@@ -253,8 +253,8 @@ def loss_curve(train: DataFrame, val: DataFrame, cols: Sequence[str], label: str
     """
     model = fit(gbt, train, cols, label, **params)
     assemble = lambda df: model.stages[0].transform(fill(df, {c: 0 for c in cols}).withColumn(label, F.col(label).cast("double")))
-    a = model.stages[-1].evaluateEachIteration(assemble(train), "logistic")
-    b = model.stages[-1].evaluateEachIteration(assemble(val), "logistic")
+    a = model.stages[-1].evaluateEachIteration(assemble(train))
+    b = model.stages[-1].evaluateEachIteration(assemble(val))
     rows = [(i, x / 2.0, y / 2.0) for i, (x, y) in enumerate(zip(a, b))]
     return train.sparkSession.createDataFrame(rows, "round int, train_loss double, val_loss double")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..config import TRANSACTION_SCHEMA
 from ..functions import exprs as fx
 from ..operators import features as fe, scoring as sc
-from ..session import shared_folder
+from ..session import materialise, shared_folder
 from ..sources import adapters as ad, readers, writers
 from ..streaming import parse_payload, read_txn_stream, start_bronze
 from .registry import (
@@ -158,7 +158,7 @@ def _(spark, d):
 @query("k5_append_audit")
 def _(spark, d):
     path = _new_path(spark, "audit")
-    s = sc.confidence(feats(spark, d), SEGMENT_MODEL)
+    s = sc.confidence(materialise(feats(spark, d), "features"), SEGMENT_MODEL)
     s = fe.stamp(sc.explain(s, SEGMENT_MODEL), model_version="1.0.0").withColumn("scored_at", F.lit("2001-08-02").cast("timestamp"))
     writers.append_audit(sc.audit_rows(s), path)
     return spark.read.parquet(path)

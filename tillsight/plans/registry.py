@@ -53,7 +53,7 @@ def r(expr: str, digits: int) -> str:
 
 
 def rounded(df: DataFrame, **digits: int) -> DataFrame:
-    return df.withColumns({c: half_up(F.col(c).cast("double"), d) for c, d in digits.items()})
+    return df.withColumns({c: F.expr(f"round(CAST(`{c}` AS DOUBLE) + 1e-{d + 3}D, {d})") for c, d in digits.items()})
 
 
 def u_sql(key: str, seed: str) -> str:

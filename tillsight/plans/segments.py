@@ -87,7 +87,7 @@ cte("impacts", f"SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY
 
 
 def explained(spark, d):
-    f = sc.confidence(feats(spark, d), SEGMENT_MODEL)
+    f = sc.confidence(materialise(feats(spark, d), "features"), SEGMENT_MODEL)
     return sc.explain(f, SEGMENT_MODEL)
 
 

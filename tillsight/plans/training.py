@@ -17,8 +17,8 @@ def training_set(spark, d):
     f = materialise(feats(spark, d).drop("top_categories"), "features")
     lab = sp.label_percentile(f, noise=0.12)
     last = t.groupBy("customer_id").agg(F.max("timestamp").alias("last_transaction_date"))
-    full = materialise(lab.join(last, "customer_id"), "labelled")
-    return materialise(sp.random_split(full, {"train": 0.6, "val": 0.8}, "test"), "training")
+    full = sp.random_split(lab.join(last, "customer_id"), {"train": 0.6, "val": 0.8}, "test")
+    return materialise(full, "training")
 
 
 def _parts(df):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 log = logging.getLogger(__name__)
 
@@ -63,10 +63,9 @@ def write_report(df: DataFrame, path: str) -> None:
 
 
 def stage(df: DataFrame, path: str) -> int:
-    """Write a hand-off table and return its row count, counted during the write."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
-    return int(seen.get["n"])
+    """Write a hand-off table and return its row count; the count comes from the file footers, no data is read again."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).count()
 
 
 def register_views(spark: SparkSession, base: str) -> list[str]:
