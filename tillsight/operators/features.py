@@ -366,8 +366,11 @@ def score_correlation(df: DataFrame, cols: list[str], score: str = "propensity_s
     long = df.select(F.col(score).alias("_s"), *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         ["_s"], cols, "feature", "value"
     )
-    corr = F.corr("value", "_s")
-    out = long.groupBy("feature").agg(F.coalesce(F.nanvl(corr, F.lit(0.0)), F.lit(0.0)).alias("correlation"))
+    # Written out: the built-in raises on a constant column under ANSI rules.
+    x = F.when(F.col("_s").isNotNull(), F.col("value"))
+    y = F.when(F.col("value").isNotNull(), F.col("_s"))
+    corr = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+    out = long.groupBy("feature").agg(F.coalesce(corr, F.lit(0.0)).alias("correlation"))
     order = Window.partitionBy().orderBy(F.desc(F.abs("correlation")), "feature")  # one row a feature
     return out.withColumn("place", F.row_number().over(order))
 
