@@ -8,7 +8,6 @@ from .exprs import (
     hash_key,
     hash_uniform,
     linear_bin,
-    ntile_of,
     num,
     ratio_or_zero,
     scalar_of,
@@ -18,6 +17,6 @@ from .exprs import (
 )
 
 __all__ = [
-    "as_date", "clip", "fixed", "half_up", "hash_key", "hash_uniform", "linear_bin", "ntile_of", "num",
+    "as_date", "clip", "fixed", "half_up", "hash_key", "hash_uniform", "linear_bin", "num",
     "ratio_or_zero", "scalar_of", "slug", "strip_prefix", "title",
 ]

@@ -43,18 +43,6 @@ def hash_uniform(key: str | Column, seed: int | str) -> Column:
     return hash_fraction(hash_key(key, seed))
 
 
-def ntile_of(ordinal: Column, n: Column, k: int) -> Column:
-    """Bucket 1..k of a 1-based ordinal among n rows, larger buckets first, as ``ntile(k)`` defines it."""
-    q = F.floor(n / k)
-    m = n % k
-    cut = m * (q + 1)
-    return (
-        F.when(ordinal <= cut, F.ceil(ordinal / (q + 1)))
-        .otherwise(m + F.ceil((ordinal - cut) / F.greatest(q, F.lit(1))))
-        .cast("int")
-    )
-
-
 def fixed(c: str | Column, digits: int) -> Column:
     """Number as text with fixed digits, halves decided by the exact binary value (``printf`` in Java decides by the shortest decimal)."""
     return F.call_function("format_number", _col(c).cast("double"), F.lit("0." + "0" * digits if digits else "0"))

@@ -6,9 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.exprs import ntile_of, ratio_or_zero
+from ..functions.exprs import ratio_or_zero
 from .features import KEY
-from .ordinal import global_ordinal, prefix_sums
+from .ordinal import cut_by_value, prefix_sums
 
 
 def rank_metrics(df: DataFrame, y: str = "label", p: str = "score", group: Sequence[str] = (),
@@ -22,7 +22,7 @@ def rank_metrics(df: DataFrame, y: str = "label", p: str = "score", group: Seque
     counts = df.groupBy(*group, p).agg(
         F.sum(F.col(y).cast("bigint")).alias("_pos"), F.sum((1 - F.col(y)).cast("bigint")).alias("_neg")
     )
-    placed = prefix_sums(counts, p, {"_pa": F.col("_pos"), "_na": F.col("_neg")}, group)
+    placed = prefix_sums(counts, p, {"_pa": F.col("_pos"), "_na": F.col("_neg")}, group, sample_of=df)
     upto = F.col("_pa") + F.col("_pos")
     precision = upto / (upto + F.col("_na") + F.col("_neg"))
     out = placed.groupBy(*group).agg(
@@ -47,26 +47,27 @@ def average_precision(df: DataFrame, y: str = "label", p: str = "score", group:
     return rank_metrics(df, y, p, group).drop("auc")
 
 
+def _top(den: int):
+    return lambda n: [F.greatest(F.floor(n / den), F.lit(1))]
+
+
 def top_fraction(df: DataFrame, order: str, tie: str = KEY, den: int = 10, group: Sequence[str] = ()) -> DataFrame:
     """The first ``max(1, n // den)`` rows by score."""
-    placed = global_ordinal(df, order, tie, group)
-    cut = F.greatest(F.floor(F.col("n_rows") / den), F.lit(1))
-    return placed.where(F.col("ordinal") <= cut).drop("ordinal", "n_rows")
+    return cut_by_value(df, order, tie, _top(den), group, out="_part").where(F.col("_part") == 0).drop("_part")
 
 
 def bottom_half(df: DataFrame, order: str, tie: str = KEY) -> DataFrame:
-    placed = global_ordinal(df, order, tie)
-    return placed.where(F.col("ordinal") > F.floor(F.col("n_rows") / 2)).drop("ordinal", "n_rows")
+    halves = cut_by_value(df, order, tie, lambda n: [F.floor(n / 2)], out="_part")
+    return halves.where(F.col("_part") == 1).drop("_part")
 
 
 def lift_d1(df: DataFrame, y: str = "label", p: str = "score", tie: str = KEY, group: Sequence[str] = (),
             base_zero: float = 0.0) -> DataFrame:
     """Positive rate of the top decile over the base rate; ``base_zero`` where nobody is positive."""
     group = list(group)
-    placed = global_ordinal(df, p, tie, group)
-    cut = F.greatest(F.floor(F.col("n_rows") / 10), F.lit(1))
-    rates = placed.groupBy(*group).agg(
-        F.avg(F.when(F.col("ordinal") <= cut, F.col(y))).alias("top_rate"), F.avg(y).alias("base_rate")
+    marked = cut_by_value(df.select(*group, tie, p, y), p, tie, _top(10), group, out="_part")
+    rates = marked.groupBy(*group).agg(
+        F.avg(F.when(F.col("_part") == 0, F.col(y))).alias("top_rate"), F.avg(y).alias("base_rate")
     )
     lift = F.when(F.col("base_rate") > 0, F.try_divide(F.col("top_rate"), F.col("base_rate"))).otherwise(F.lit(base_zero))
     return rates.withColumn("lift_at_decile1", lift)
@@ -95,17 +96,15 @@ def cv_std(scores: DataFrame, y: str = "label", p: str = "score",
 
 
 def deciles(df: DataFrame, score: str = "propensity_score", tie: str = KEY, k: int = 10) -> DataFrame:
-    """``ntile(k)`` over all rows, 1 = highest score."""
-    placed = global_ordinal(df, score, tie)
-    return placed.withColumn("decile", ntile_of(F.col("ordinal"), F.col("n_rows"), k)).drop("ordinal", "n_rows")
+    """``ntile(k)`` over all rows, 1 = highest score: the first n mod k groups hold one row more."""
+    ends = lambda n: [F.floor(n / k) * j + F.least(F.lit(j), n % k) for j in range(1, k)]
+    return cut_by_value(df, score, tie, ends, out="_part").withColumn("decile", F.col("_part") + 1).drop("_part")
 
 
 def slice_deciles(df: DataFrame, score: str = "propensity_score", tie: str = KEY) -> DataFrame:
     """Decile i holds the positions from i*n//10 up to (i+1)*n//10."""
-    placed = global_ordinal(df, score, tie)
-    # The largest i with i*n//10 <= position, that is floor((10*position + 9) / n).
-    at = F.floor((F.col("ordinal") * 10 - 1) / F.col("n_rows"))
-    return placed.withColumn("decile", (at + 1).cast("int")).drop("ordinal", "n_rows")
+    ends = lambda n: [F.floor(n * j / 10) for j in range(1, 10)]
+    return cut_by_value(df, score, tie, ends, out="_part").withColumn("decile", F.col("_part") + 1).drop("_part")
 
 
 def slice_lift(df: DataFrame, y: str = "label", score: str = "propensity_score", tie: str = KEY) -> DataFrame:

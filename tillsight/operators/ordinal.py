@@ -9,7 +9,7 @@ and is cut further by the hash of the row's id, which is also the tie-break.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -24,36 +24,22 @@ def default_buckets(df: DataFrame) -> int:
     return max(64, min(_MAX_BUCKETS, parts))
 
 
-def prefix_sums(
-    df: DataFrame,
-    order: str | Column,
-    values: dict[str, Column],
-    group: Sequence[str] = (),
-    tie: str | None = None,
-    descending: bool = True,
-    buckets: int | None = None,
-    totals: bool = True,
-) -> DataFrame:
-    """Add, per row, the sums of ``values`` over all rows before it (exclusive) within its group.
-
-    ``group`` must be a short list of values (models, features, splits): the boundaries and bucket
-    totals are broadcast, at most ``2 * buckets`` rows a group. ``tie`` is a unique id; without it
-    equal sort values must not occur in a group. Totals come back as ``<name>_total``.
-    """
-    group = list(group)
+def _code_by_value(df: DataFrame, order: str | Column, group: list[str], tie: str | None, descending: bool,
+                   buckets: int | None, sample_of: DataFrame | None = None) -> tuple[DataFrame, list[Column]]:
+    """Add the bucket number ``_code``, increasing in the wanted order; also returns the order inside a bucket."""
     buckets = buckets or default_buckets(df)
     key = (F.col(order) if isinstance(order, str) else order).cast("double")
     # Always descending inside; nulls sort last.
     key = F.coalesce(key if descending else -key, F.lit(float("-inf")))
     keyed = df.withColumn("_k", key)
+    sampled = keyed if sample_of is None else sample_of.select(*group, key.alias("_k"))
 
     probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
     sketch = F.expr(f"percentile_approx(_k, array({probs}), {max(10000, 20 * buckets)})").alias("_bounds")
     if group:
-        bounds = keyed.groupBy(*group).agg(sketch)
-        coded = keyed.join(F.broadcast(bounds), group)
+        coded = keyed.join(F.broadcast(sampled.groupBy(*group).agg(sketch)), group)
     else:
-        coded = keyed.withColumn("_bounds", scalar_of(keyed.agg(sketch)))
+        coded = keyed.withColumn("_bounds", scalar_of(sampled.agg(sketch)))
 
     place = {
         "_above": F.expr("size(filter(_bounds, b -> b > _k))"),
@@ -65,36 +51,68 @@ def prefix_sums(
         sub = "CAST(floor(CAST(conv(substring(_h, 1, 8), 16, 10) AS DOUBLE) / 4294967296D * _same) AS INT)"
     # Never null, and said so: otherwise the join below adds a null filter that evaluates it again.
     code = F.expr(f"coalesce(_above * {2 * buckets} + CASE WHEN _same > 0 THEN 1 + {sub} ELSE 0 END, 0)")
-    coded = coded.withColumns(place).withColumns({"_code": code, **{f"_v_{n}": v for n, v in values.items()}})
-    coded = coded.drop("_bounds", "_above", "_same")
+    coded = coded.withColumns(place).withColumn("_code", code).drop("_bounds", "_above", "_same")
+    return coded, [F.desc("_k")] + ([F.asc("_h"), F.asc(tie)] if tie else [])
+
 
-    within = [F.desc("_k")] + ([F.asc("_h"), F.asc(tie)] if tie else [])
-    return _add_offsets(coded, group, "_code", within, list(values), totals).drop("_k", "_h")
+def _code_by_hash(df: DataFrame, key: str, seed: int | str) -> tuple[DataFrame, list[Column]]:
+    """The hash is uniform, so its first three digits (4096 values) are already balanced buckets."""
+    coded = df.withColumn("_h", hash_key(key, seed)).withColumn("_code", F.coalesce(F.substring("_h", 1, 3), F.lit("")))
+    return coded, [F.asc("_h"), F.asc(key)]
 
 
-def _add_offsets(coded: DataFrame, group: list[str], code: str, within: list[Column], names: list[str],
-                 totals: bool) -> DataFrame:
-    """Running sums inside each bucket plus the totals of the buckets before it."""
-    sums = coded.groupBy(*group, code).agg(*[F.sum(f"_v_{n}").alias(f"_b_{n}") for n in names])
-    # One row per bucket: 2 * buckets rows at most for each group.
-    seq = Window.partitionBy(*group).orderBy(code).rowsBetween(Window.unboundedPreceding, -1)
+def _with_offsets(coded: DataFrame, group: list[str], values: dict[str, Column]) -> DataFrame:
+    """Add for each value the sum over earlier buckets (_o_), over the own bucket (_b_) and over the group (_total).
+
+    One row per bucket is broadcast: at most ``2 * buckets`` (or 4096) rows for each group.
+    """
+    sums = coded.groupBy(*group, "_code").agg(*[F.sum(v).alias(f"_b_{n}") for n, v in values.items()])
     whole = Window.partitionBy(*group)
-    offsets = sums.select(
-        *group, code,
-        *[F.coalesce(F.sum(f"_b_{n}").over(seq), F.lit(0)).alias(f"_o_{n}") for n in names],
-        *([F.sum(f"_b_{n}").over(whole).alias(f"{n}_total") for n in names] if totals else []),
-    )
-    before = Window.partitionBy(*group, code).orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
-    out = coded.join(F.broadcast(offsets), [*group, code]).withColumns({
-        n: F.coalesce(F.sum(f"_v_{n}").over(before), F.lit(0)) + F.col(f"_o_{n}") for n in names
+    before = whole.orderBy("_code").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select("*", *[
+        c for n in values for c in (
+            F.coalesce(F.sum(f"_b_{n}").over(before), F.lit(0)).alias(f"_o_{n}"),
+            F.sum(f"_b_{n}").over(whole).alias(f"{n}_total"),
+        )
+    ])
+    return coded.join(F.broadcast(offsets), [*group, "_code"])
+
+
+def _add_prefix(placed: DataFrame, group: list[str], within: list[Column], values: dict[str, Column]) -> DataFrame:
+    before = Window.partitionBy(*group, "_code").orderBy(*within).rowsBetween(Window.unboundedPreceding, -1)
+    out = placed.withColumns({
+        n: F.coalesce(F.sum(v).over(before), F.lit(0)) + F.col(f"_o_{n}") for n, v in values.items()
     })
-    return out.drop(code, *[f"_v_{n}" for n in names], *[f"_o_{n}" for n in names])
+    return out.drop("_k", "_h", "_code", *[f"{p}{n}" for n in values for p in ("_o_", "_b_")])
 
 
-def global_ordinal(df: DataFrame, order: str | Column, tie: str, group: Sequence[str] = (),
-                   descending: bool = True, buckets: int | None = None) -> DataFrame:
-    """Add ``ordinal`` (1-based, ties by md5 of the id, then the id) and ``n_rows`` of the group."""
-    out = prefix_sums(df, order, {"_before": F.lit(1)}, group, tie, descending, buckets)
+def prefix_sums(
+    df: DataFrame,
+    order: str | Column,
+    values: dict[str, Column],
+    group: Sequence[str] = (),
+    tie: str | None = None,
+    descending: bool = True,
+    buckets: int | None = None,
+    sample_of: DataFrame | None = None,
+    needed: Column | None = None,
+) -> DataFrame:
+    """Add, per row, the sums of ``values`` over all rows before it (exclusive) within its group.
+
+    ``group`` must be a short list of values (models, features, splits): boundaries and bucket totals
+    are broadcast. ``tie`` is a unique id; without it equal sort values must not occur in a group.
+    Totals come back as ``<name>_total``. When ``df`` is itself an aggregate, ``sample_of`` is the table
+    below it: the boundaries then come from one pass that combines on the map side, without a shuffle
+    of their own. ``needed`` is a condition on the bucket (_o_, _b_, _total columns): rows of other
+    buckets are dropped before anything is sorted.
+    """
+    group = list(group)
+    coded, within = _code_by_value(df, order, group, tie, descending, buckets, sample_of)
+    placed = _with_offsets(coded, group, values)
+    return _add_prefix(placed if needed is None else placed.where(needed), group, within, values)
+
+
+def _as_ordinal(out: DataFrame) -> DataFrame:
     return (
         out.withColumn("ordinal", F.col("_before") + 1)
         .withColumnRenamed("_before_total", "n_rows")
@@ -102,20 +120,69 @@ def global_ordinal(df: DataFrame, order: str | Column, tie: str, group: Sequence
     )
 
 
-def hash_ordinal(df: DataFrame, key: str, seed: int | str, group: Sequence[str] = ()) -> DataFrame:
+def _ones() -> dict[str, Column]:
+    return {"_before": F.lit(1)}
+
+
+def global_ordinal(df: DataFrame, order: str | Column, tie: str, group: Sequence[str] = (),
+                   descending: bool = True, buckets: int | None = None) -> DataFrame:
+    """Add ``ordinal`` (1-based, ties by md5 of the id, then the id) and ``n_rows`` of the group."""
+    return _as_ordinal(prefix_sums(df, order, _ones(), group, tie, descending, buckets))
+
+
+def hash_ordinal(df: DataFrame, key: str, seed: int | str, group: Sequence[str] = (), first: int | None = None) -> DataFrame:
     """Add ``ordinal`` in the order of the seeded hash of a unique id, and ``n_rows``: a shuffle that repeats.
 
-    The hash is uniform, so its first three digits (4096 values) are already balanced buckets.
+    With ``first`` only that many rows come back, and only their buckets are sorted.
     """
     group = list(group)
-    coded = df.withColumn("_h", hash_key(key, seed)).withColumn("_code", F.coalesce(F.substring("_h", 1, 3), F.lit("")))
-    coded = coded.withColumn("_v__before", F.lit(1))
-    out = _add_offsets(coded, group, "_code", [F.asc("_h"), F.asc(key)], ["_before"], True)
-    return (
-        out.withColumn("ordinal", F.col("_before") + 1)
-        .withColumnRenamed("_before_total", "n_rows")
-        .drop("_before", "_h")
-    )
+    coded, within = _code_by_hash(df, key, seed)
+    placed = _with_offsets(coded, group, _ones())
+    if first is not None:
+        placed = placed.where(F.col("_o__before") < first)
+    out = _as_ordinal(_add_prefix(placed, group, within, _ones()))
+    return out if first is None else out.where(F.col("ordinal") <= first)
+
+
+Cuts = Callable[[Column], list[Column]]
+
+
+def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts, out: str) -> DataFrame:
+    """Add the number of cut positions before each row.
+
+    A bucket without a cut inside has one answer for all its rows; only the few buckets that a cut
+    goes through are sorted, so nearly all rows are neither shuffled nor sorted.
+    """
+    placed = _with_offsets(coded, group, _ones()).withColumnRenamed("_before_total", "n_rows")
+    start, size = F.col("_o__before"), F.col("_b__before")
+    positions = cuts(F.col("n_rows"))
+    split = F.lit(False)
+    for c in positions:
+        split = split | ((start < c) & (c < start + size))
+    passed = lambda at: sum((at > c).cast("int") for c in positions)
+    clear = placed.where(~split).withColumn(out, passed(start + 1))
+    row = F.row_number().over(Window.partitionBy(*group, "_code").orderBy(*within))
+    edge = placed.where(split).withColumn("_at", start + row).withColumn(out, passed(F.col("_at"))).drop("_at")
+    spare = [c for c in ("_k", "_h", "_code", "_o__before", "_b__before", "n_rows") if c in placed.columns]
+    return clear.unionByName(edge).drop(*spare)
+
+
+def cut_by_value(df: DataFrame, order: str | Column, tie: str, cuts: Cuts, group: Sequence[str] = (),
+                 descending: bool = True, out: str = "part", buckets: int | None = None) -> DataFrame:
+    """Number of cut positions before a row's place in the order of a value, 0 .. len(cuts).
+
+    ``cuts`` gives the positions from the number of rows: a row at 1-based place p lies behind the cut c
+    when p > c.
+    """
+    group = list(group)
+    coded, within = _code_by_value(df, order, group, tie, descending, buckets)
+    return _cut_at(coded, within, group, cuts, out)
+
+
+def cut_by_hash(df: DataFrame, key: str, seed: int | str, cuts: Cuts, group: Sequence[str] = (), out: str = "part") -> DataFrame:
+    """As :func:`cut_by_value`, in the order of the seeded hash of a unique id."""
+    coded, within = _code_by_hash(df, key, seed)
+    return _cut_at(coded, within, list(group), cuts, out)
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequence[str] = (),
@@ -123,14 +190,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: S
     """Exact quantiles with linear interpolation, one column per name in ``probs``.
 
     The built-in exact ``percentile`` keeps every distinct value in one task's buffer; here values
-    are counted, put in order by :func:`prefix_sums`, and only the two neighbours of each rank are kept.
+    are counted, and only the buckets that hold the two neighbours of a rank are put in order.
     """
     group = list(group)
-    counts = df.where(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    placed = prefix_sums(counts, value, {"_first": F.col("_c")}, group, None, False, buckets)
+    known = df.where(F.col(value).isNotNull()).select(*group, value)
+    counts = known.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    ranks = {n: f"((_first_total - 1) * {num(p)})" for n, p in probs.items()}
+    needed = F.expr(" OR ".join(f"(_o__first <= ceil({x}) AND floor({x}) < _o__first + _b__first)" for x in ranks.values()))
+    placed = prefix_sums(counts, value, {"_first": F.col("_c")}, group, None, False, buckets, known, needed)
     aggs = []
-    for name, p in probs.items():
-        rank = f"((_first_total - 1) * {num(p)})"
+    for name, rank in ranks.items():
         for side, at in (("lo", f"floor({rank})"), ("hi", f"ceil({rank})")):
             here = f"_first <= {at} AND {at} < _first + _c"
             aggs.append(F.expr(f"max(CASE WHEN {here} THEN CAST({value} AS DOUBLE) END) AS _{side}_{name}"))

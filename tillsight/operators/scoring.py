@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .features import KEY, score_distribution, segment_distribution, top_n
 from ..functions.exprs import fixed, num
-from .segments import SegmentModel, assign, squared_term, with_scaled
+from .segments import SegmentModel, assign, scaled_expr
 
 
 def linear_score(df: DataFrame, weights: dict[str, float], intercept: float = 0.0, digits: int | None = 6,
@@ -55,25 +55,27 @@ def explain(df: DataFrame, model: SegmentModel | None, features: list[str] | Non
         same = F.round(F.lit(1.0 / max(len(names), 1)), 4)
         items = [F.struct(F.lit(n).alias("feature"), same.alias("impact"), F.lit("positive").alias("direction")) for n in names]
         return df.withColumn("top_features", F.array(*items))
-    centres = list(enumerate(model.centroids))
+    scaled = F.expr("array(" + ", ".join(scaled_expr(model, i) for i in range(len(names))) + ")")
+    centres = [f"array({', '.join(num(x) for x in c)})" for c in model.centroids]
     least = lambda parts: f"least({', '.join(parts)})" if len(parts) > 1 else parts[0]
-    z = with_scaled(df, model).withColumns({
-        f"_t{k}": F.expr(" + ".join(squared_term(i, c) for i, c in enumerate(centre))) for k, centre in centres
-    }).withColumn("_base", F.expr(f"1D / (1D + sqrt({least([f'_t{k}' for k, _ in centres])}))"))
-
-    def impact(i: int) -> str:
-        dist = least([f"_t{k} - {squared_term(i, c[i])} + {num(c[i] ** 2)}" for k, c in centres])
-        return f"round(abs(_base - 1D / (1D + sqrt(greatest({dist}, 0D)))), 4)"
-
-    z = z.withColumns({f"_i{i}": F.expr(impact(i)) for i in range(len(names))})
+    # Loops over arrays keep the expression small; written out it would outgrow what the JVM compiles.
+    z = df.withColumn("_z", scaled).withColumns({
+        f"_t{k}": F.expr(f"aggregate(zip_with(_z, {c}, (x, y) -> (x - y) * (x - y)), 0D, (s, x) -> s + x)")
+        for k, c in enumerate(centres)
+    })
+    base = f"1D / (1D + sqrt({least([f'_t{k}' for k in range(len(centres))])}))"
+    dist = least([f"_t{k} - pow(v - get({c}, i), 2) + pow(get({c}, i), 2)" for k, c in enumerate(centres)])
+    z = z.withColumn("_base", F.expr(base)).withColumn(
+        "_impact", F.expr(f"transform(_z, (v, i) -> round(abs(_base - 1D / (1D + sqrt(greatest({dist}, 0D)))), 4))")
+    )
+    listed = "array(" + ", ".join(f"'{name}'" for name in names) + ")"
     # The field order is the sort order: larger impact first, then the order of the feature list.
-    items = ", ".join(
-        f"named_struct('m', -_i{i}, 'p', {i}, 'feature', '{name}', 'impact', _i{i}, 'direction', "
-        f"CASE WHEN coalesce(CAST({name} AS DOUBLE), 0D) > {num(model.means[i])} THEN 'positive' ELSE 'negative' END)"
-        for i, name in enumerate(names)
+    items = (
+        f"transform(_impact, (m, i) -> named_struct('m', -m, 'p', i, 'feature', get({listed}, i), 'impact', m, "
+        "'direction', CASE WHEN get(_z, i) > 0D THEN 'positive' ELSE 'negative' END))"
     )
     ordered = F.expr(
-        f"transform(sort_array(array({items})), s -> named_struct('feature', s.feature, 'impact', s.impact, 'direction', s.direction))"
+        f"transform(sort_array({items}), s -> named_struct('feature', s.feature, 'impact', s.impact, 'direction', s.direction))"
     )
     return z.select(*df.columns, ordered.alias("top_features"))
 

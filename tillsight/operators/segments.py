@@ -116,7 +116,7 @@ def silhouette(df: DataFrame, cols: list[str], segment: str = "segment_id", samp
     import pandas as pd
 
     rows = standardise(df, cols) if scaled else df
-    placed = hash_ordinal(rows, key, seed).where(F.col("ordinal") <= sample)
+    placed = hash_ordinal(rows, key, seed, first=sample)
     points = placed.select(F.col(segment).cast("int").alias("s"), *[F.col(c).cast("double").alias(c) for c in cols])
     points = points.persist(StorageLevel.MEMORY_AND_DISK)
     spark = df.sparkSession

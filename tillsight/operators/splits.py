@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..config import DEFAULT_RATE, PERSONA_RATES
 from ..functions.exprs import clip, hash_uniform, scalar_of
 from .features import KEY, promoted_only, purchasers
-from .ordinal import exact_quantiles, global_ordinal, hash_ordinal
+from .ordinal import cut_by_hash, exact_quantiles, global_ordinal, hash_ordinal
 
 
 @dataclass(frozen=True)
@@ -55,26 +55,21 @@ class TemporalSplitter:
         return sizes
 
 
-def _cut(ordinal: Column, n: Column, cuts: dict[str, float], last: str) -> Column:
-    """Name by position: int(n * fraction) rows up to each cumulative fraction, the rest to ``last``."""
-    out = None
-    for name, fraction in cuts.items():
-        here = ordinal <= F.floor(n * F.lit(float(fraction)))
-        out = F.when(here, name) if out is None else out.when(here, name)
-    return out.otherwise(last)
+def _named_cut(df: DataFrame, key: str, seed: int, cuts: dict[str, float], last: str, group: list[str]) -> DataFrame:
+    """Name by place in hash order: int(n * fraction) rows up to each cumulative fraction, the rest to ``last``."""
+    ends = lambda n: [F.floor(n * F.lit(float(f))) for f in cuts.values()]
+    names = F.array(*[F.lit(x) for x in [*cuts, last]])
+    return cut_by_hash(df, key, seed, ends, group, "_part").withColumn("split", F.get(names, F.col("_part"))).drop("_part")
 
 
 def random_split(df: DataFrame, cuts: dict[str, float], last: str, seed: int = 42, key: str = KEY) -> DataFrame:
     """Exact-size split in seeded hash order; ``cuts`` are cumulative, e.g. {"train": .6, "val": .8}."""
-    placed = hash_ordinal(df, key, seed)
-    return placed.withColumn("split", _cut(F.col("ordinal"), F.col("n_rows"), cuts, last)).drop("ordinal", "n_rows")
+    return _named_cut(df, key, seed, cuts, last, [])
 
 
 def stratified_split(df: DataFrame, label: str, fraction: float = 0.8, seed: int = 42, key: str = KEY) -> DataFrame:
     """Train/val split with the same share of each label."""
-    placed = hash_ordinal(df, key, seed, [label])
-    name = _cut(F.col("ordinal"), F.col("n_rows"), {"train": fraction}, "val")
-    return placed.withColumn("split", name).drop("ordinal", "n_rows")
+    return _named_cut(df, key, seed, {"train": fraction}, "val", [label])
 
 
 def time_folds(df: DataFrame, date_col: str, n: int = 5, gap: int = 7, key: str = KEY) -> DataFrame:
@@ -149,11 +144,14 @@ def _top_share(df: DataFrame, score: str, q: float) -> DataFrame:
 
 def label_percentile(df: DataFrame, q: float = 0.72, noise: float = 0.0, seed: int = 42) -> DataFrame:
     """Rule label: frequent, high-spending, mostly in-store customers; the top share is positive."""
-    cuts = df.agg(F.max("frequency").alias("f"), F.max("monetary").alias("m"))
-    f55 = scalar_of(exact_quantiles(df, "frequency", {"c": 0.55}).select("c"))
-    m55 = scalar_of(exact_quantiles(df, "monetary", {"c": 0.55}).select("c"))
-    fmax = scalar_of(cuts.select("f"))
-    mmax = scalar_of(cuts.select("m"))
+    both = df.select(F.col("frequency").cast("double").alias("f"), F.col("monetary").cast("double").alias("m"))
+    marks = exact_quantiles(both.unpivot([], ["f", "m"], "feature", "value"), "value", {"mid": 0.55, "top": 1.0}, ["feature"])
+    pick = lambda feature, c: F.max(F.when(F.col("feature") == feature, F.col(c)))
+    row = marks.agg(F.struct(
+        pick("f", "mid").alias("f55"), pick("m", "mid").alias("m55"), pick("f", "top").alias("fmax"), pick("m", "top").alias("mmax")
+    ).alias("_marks"))
+    df = df.withColumn("_marks", scalar_of(row))
+    f55, m55, fmax, mmax = (F.col(f"_marks.{c}") for c in ("f55", "m55", "fmax", "mmax"))
     gate = ((F.col("frequency") > f55) & (F.col("monetary") > m55) & (F.col("online_ratio") < 0.45)).cast("double")
     score = (
         F.lit(0.60) * gate + F.lit(0.25) * (F.col("frequency") / (fmax + F.lit(1e-8)))
@@ -161,7 +159,7 @@ def label_percentile(df: DataFrame, q: float = 0.72, noise: float = 0.0, seed: i
     )
     if noise:
         score = score + _gauss(seed, noise)
-    return _top_share(df.withColumn("rule_score", score), "rule_score", q)
+    return _top_share(df.withColumn("rule_score", score).drop("_marks"), "rule_score", q)
 
 
 def concept_score(concept: str) -> Column:
