@@ -127,7 +127,10 @@ def silver_features(txns: DataFrame, snapshot: dt.date, k: int = 3,
     weighted squared distances), which does not cancel like sums of squares do.
     """
     cells = daily_cells(txns)
-    mine = Window.partitionBy(KEY)
+    # The whole customer, in the order that the day window needs too: one sort serves both.
+    mine = Window.partitionBy(KEY).orderBy("ingest_date", "category").rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     mean = F.sum("amount").over(mine) / F.sum("n").over(mine)
     first_of_day = F.row_number().over(Window.partitionBy(KEY, "ingest_date").orderBy("category")) == 1
     cells = cells.withColumn("_mean", mean).withColumn(

@@ -147,8 +147,8 @@ def hash_ordinal(df: DataFrame, key: str, seed: int | str, group: Sequence[str]
 Cuts = Callable[[Column], list[Column]]
 
 
-def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts, out: str) -> DataFrame:
-    """Add the number of cut positions before each row.
+def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts, out: str, flags: bool = False) -> DataFrame:
+    """Add the number of cut positions before each row, or with ``flags`` an array telling which.
 
     A bucket without a cut inside has one answer for all its rows; only the few buckets that a cut
     goes through are sorted, so nearly all rows are neither shuffled nor sorted.
@@ -159,7 +159,10 @@ def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts
     split = F.lit(False)
     for c in positions:
         split = split | ((start < c) & (c < start + size))
-    passed = lambda at: sum((at > c).cast("int") for c in positions)
+    if flags:
+        passed = lambda at: F.array(*[at > c for c in positions])
+    else:
+        passed = lambda at: sum((at > c).cast("int") for c in positions)
     clear = placed.where(~split).withColumn(out, passed(start + 1))
     row = F.row_number().over(Window.partitionBy(*group, "_code").orderBy(*within))
     edge = placed.where(split).withColumn("_at", start + row).withColumn(out, passed(F.col("_at"))).drop("_at")
@@ -168,15 +171,15 @@ def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts
 
 
 def cut_by_value(df: DataFrame, order: str | Column, tie: str, cuts: Cuts, group: Sequence[str] = (),
-                 descending: bool = True, out: str = "part", buckets: int | None = None) -> DataFrame:
-    """Number of cut positions before a row's place in the order of a value, 0 .. len(cuts).
+                 descending: bool = True, out: str = "part", buckets: int | None = None, flags: bool = False) -> DataFrame:
+    """Number of cut positions before a row's place in the order of a value, 0 .. len(cuts) (or which, see above).
 
     ``cuts`` gives the positions from the number of rows: a row at 1-based place p lies behind the cut c
     when p > c.
     """
     group = list(group)
     coded, within = _code_by_value(df, order, group, tie, descending, buckets)
-    return _cut_at(coded, within, group, cuts, out)
+    return _cut_at(coded, within, group, cuts, out, flags)
 
 
 def cut_by_hash(df: DataFrame, key: str, seed: int | str, cuts: Cuts, group: Sequence[str] = (), out: str = "part") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..config import DEFAULT_RATE, PERSONA_RATES
 from ..functions.exprs import clip, hash_uniform, scalar_of
 from .features import KEY, promoted_only, purchasers
-from .ordinal import cut_by_hash, exact_quantiles, global_ordinal, hash_ordinal
+from .ordinal import cut_by_hash, cut_by_value, exact_quantiles, hash_ordinal
 
 
 @dataclass(frozen=True)
@@ -78,14 +78,19 @@ def time_folds(df: DataFrame, date_col: str, n: int = 5, gap: int = 7, key: str
     Fold k tests one block of ``rows // (n + 1)`` rows and trains on all earlier rows but the last
     ``gap``. A row takes part in at most n folds.
     """
-    placed = global_ordinal(df, F.unix_micros(F.col(date_col).cast("timestamp")), key, descending=False)
-    block = F.floor(F.col("n_rows") / (n + 1))
-    position = F.col("ordinal") - 1
+    at = F.unix_micros(F.col(date_col).cast("timestamp"))
+
+    def ends(rows):
+        block = F.floor(rows / (n + 1))
+        starts = [rows - block * (n - k) for k in range(n)]
+        return [s - gap for s in starts] + starts + [s + block for s in starts]
+
+    placed = cut_by_value(df, at, key, ends, descending=False, out="_behind", flags=True)
     entries = []
-    for k in range(1, n + 1):
-        start = F.col("n_rows") - (n - k + 1) * block
-        role = F.when(position < start - gap, "train").when((position >= start) & (position < start + block), "test")
-        entries.append(F.struct(F.lit(k).alias("fold"), role.alias("role")))
+    for k in range(n):
+        before_gap, begun, over = (F.get("_behind", k + i * n) for i in range(3))
+        role = F.when(~before_gap, "train").when(begun & ~over, "test")
+        entries.append(F.struct(F.lit(k + 1).alias("fold"), role.alias("role")))
     many = F.filter(F.array(*entries), lambda s: s["role"].isNotNull())
     exploded = placed.withColumn("_f", F.explode(many))
     return exploded.select(*df.columns, F.col("_f.fold").alias("fold"), F.col("_f.role").alias("role"))
@@ -94,17 +99,16 @@ def time_folds(df: DataFrame, date_col: str, n: int = 5, gap: int = 7, key: str
 def resample(df: DataFrame, n: int, seed: int = 42, key: str = "transaction_id") -> DataFrame:
     """Exactly ``n`` rows: a hash-ordered subset, or all rows plus as many repeats as are missing.
 
-    Each top-up row is drawn by its position from the hash order, with replacement, by an equi-join.
+    Each top-up row is drawn by its position in the hash order, with replacement, by an equi-join.
     """
-    placed = hash_ordinal(df, key, seed)
-    cols = df.columns
-    kept = placed.where(F.col("ordinal") <= n).select(*cols)
-    spark = df.sparkSession
-    draws = spark.range(n).withColumn("_n", scalar_of(df.agg(F.count(F.lit(1)).alias("c"))))
-    draws = draws.where(F.col("id") < F.greatest(F.lit(n) - F.col("_n"), F.lit(0))).select(
-        (F.floor(hash_uniform("id", f"{seed}|draw") * F.col("_n")) + 1).alias("ordinal")
+    total = df.count()
+    if n <= total:
+        return cut_by_hash(df, key, seed, lambda _: [F.lit(n)], out="_part").where(F.col("_part") == 0).drop("_part")
+    draws = df.sparkSession.range(n - total).select(
+        (F.floor(hash_uniform("id", f"{seed}|draw") * total) + 1).alias("ordinal")
     )
-    return kept.unionByName(placed.drop("n_rows").join(draws, "ordinal").select(*cols))
+    extra = hash_ordinal(df, key, seed).join(draws, "ordinal").select(*df.columns)
+    return df.unionByName(extra)
 
 
 # ---- Labels ----
