@@ -52,17 +52,17 @@ def psi_reference_long(expected: DataFrame, actual: DataFrame) -> DataFrame:
     limits = expected.groupBy("feature").agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
 
     def counted(side: DataFrame, name: str) -> DataFrame:
-        # One row of limits a feature; the values are counted before anything is shuffled.
-        placed = side.join(F.broadcast(limits), "feature").where(
-            (F.col("value") >= F.col("lo") - 1e-6) & (F.col("value") <= F.col("hi") + 1e-6)
-        )
-        return placed.groupBy("feature", linear_bin("value", "lo", "hi", PSI_BINS).alias("bin")).agg(
+        # One row of limits a feature; the values are counted before anything is shuffled. Bin -1 is out of range.
+        inside = (F.col("value") >= F.col("lo") - 1e-6) & (F.col("value") <= F.col("hi") + 1e-6)
+        at = F.when(inside, linear_bin("value", "lo", "hi", PSI_BINS)).otherwise(-1)
+        return side.join(F.broadcast(limits), "feature").groupBy("feature", at.alias("bin")).agg(
             F.count(F.lit(1)).alias(name)
         )
 
-    both = counted(expected, "e").join(counted(actual, "a"), ["feature", "bin"], "full")
-    known = actual.select("feature").distinct()
-    return _index(both.fillna({"e": 0, "a": 0}), [], 1e-4).join(F.broadcast(known), "feature", "left_semi")
+    e, a = counted(expected, "e"), counted(actual, "a")
+    both = e.join(a, ["feature", "bin"], "full").fillna({"e": 0, "a": 0})
+    known = a.select("feature").distinct()
+    return _index(both, [], 1e-4).join(F.broadcast(known), "feature", "left_semi")
 
 
 def psi_reference(expected: DataFrame, actual: DataFrame, cols: Sequence[str]) -> DataFrame:

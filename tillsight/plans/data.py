@@ -15,7 +15,7 @@ from ..session import materialise, shared_folder
 from ..sources import adapters as ad, readers, writers
 from ..streaming import parse_payload, read_txn_stream, start_bronze
 from .registry import (
-    SEGMENT_MODEL, ev, feats, query, r, rounded, rt, score_log, scored, sql, names_sql, ordinal_sql,
+    IMPACTS, SEGMENT_MODEL, ev, feats, query, r, rounded, rt, score_log, scored, sql, names_sql, ordinal_sql,
 )
 from .registry import cte
 
@@ -155,13 +155,14 @@ def _(spark, d):
     return spark.read.schema("customer_id string, persona string, market_segment string").csv(path, header=True)
 
 
-@query("k5_append_audit")
+@query("k5_append_audit", sql("""SELECT i.customer_id, '1.0.0' AS model_version, round(least(greatest(1e0 / (1e0 + distance), 0), 1), 6) AS propensity_score,
+  feature AS top_feature, impact AS top_feature_impact, DATE '2001-08-02' AS scored_date FROM impacts i JOIN scored s USING (customer_id) WHERE place = 1""", impacts=IMPACTS))
 def _(spark, d):
     path = _new_path(spark, "audit")
     s = sc.confidence(materialise(feats(spark, d), "features"), SEGMENT_MODEL)
     s = fe.stamp(sc.explain(s, SEGMENT_MODEL), model_version="1.0.0").withColumn("scored_at", F.lit("2001-08-02").cast("timestamp"))
     writers.append_audit(sc.audit_rows(s), path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("scored_at")
 
 
 METRICS = """SELECT category, metric, value FROM (UNPIVOT (SELECT category, CAST(count(*) AS DOUBLE) AS n, round(sum(total_amount), 2) AS amount,
@@ -178,12 +179,22 @@ def _(spark, d):
     return spark.read.parquet(path).select("category", "metric", "value")
 
 
-@query("k7_write_report")
+_TEN = lambda way: f"SELECT string_agg(customer_id, '|' ORDER BY propensity_score {way}, customer_id) FROM (SELECT * FROM scored ORDER BY propensity_score {way}, customer_id LIMIT 10)"
+
+
+@query("k7_write_report", sql(f"""SELECT count(*) AS n_customers, round(avg(propensity_score), 6) AS mean, round(quantile_cont(propensity_score, 0.9), 6) AS p90, round(max(propensity_score), 6) AS max,
+  ({_TEN('DESC')}) AS top_ten, ({_TEN('ASC')}) AS bottom_ten, (SELECT string_agg(segment_id || ':' || n, '|' ORDER BY segment_id) FROM (SELECT segment_id, count(*) AS n FROM scored GROUP BY 1)) AS segments FROM scored"""))
 def _(spark, d):
     path = _new_path(spark, "report")
     report = sc.score_report(scored(spark, d), "propensity", "Production", "2001-08-02T00:00:00Z")
     writers.write_report(report, path)
-    return spark.read.json(path, schema=report.schema)
+    back = spark.read.json(path, schema=report.schema)
+    ids = lambda c: F.array_join(F.transform(c, lambda x: x["customer_id"]), "|")
+    return back.select(
+        "n_customers", "score_distribution.mean", "score_distribution.p90", "score_distribution.max",
+        ids("top_10_customers").alias("top_ten"), ids("bottom_10_customers").alias("bottom_ten"),
+        F.expr("array_join(transform(segment_distribution, s -> concat(s.segment_id, ':', s.n)), '|')").alias("segments"),
+    )
 
 
 @query("k8_register_views", sql("SELECT segment_id, count(*) AS n, round(sum(propensity_score), 4) AS score FROM scored GROUP BY 1"))

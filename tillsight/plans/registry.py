@@ -210,6 +210,13 @@ def dist_sql(k: int, skip: int | None = None) -> str:
 cte("segd", f"SELECT *, {', '.join(f'{dist_sql(k)} AS d{k}' for k in range(3))} FROM feats")
 cte("scored", f"""SELECT * EXCLUDE (d0, d1, d2), CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS segment_id,
   least(d0, d1, d2) AS distance, {r(f'1e0 / (1e0 + exp(-({_Z})))', 6)} AS propensity_score FROM segd""")
+_IMPACT = lambda i: f"round(abs(1e0 / (1e0 + distance) - 1e0 / (1e0 + least({', '.join(dist_sql(k, i) for k in range(3))}))), 4)"
+_ITEMS = " UNION ALL ".join(
+    f"SELECT customer_id, {i} AS pos, '{f}' AS feature, {_IMPACT(i)} AS impact, CASE WHEN {f} > {SEGMENT_MODEL.means[i]!r}::DOUBLE THEN 'positive' ELSE 'negative' END AS direction, CAST({f} AS DOUBLE) AS value FROM scored"
+    for i, f in enumerate(SEGMENT_MODEL.features)
+)
+IMPACTS = f"SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY impact DESC, pos) AS place FROM ({_ITEMS})"
+cte("impacts", IMPACTS)
 cte("score_log", f"""SELECT o_orderkey AS log_id, 'CUST-' || o_custkey AS customer_id, {r('1e0 - exp(-o_totalprice / 200000e0)', 6)} AS propensity_score,
   CAST(o_orderkey % 3 AS INTEGER) AS segment_id, o_orderdate AS scored_at, '1.0.0' AS model_version FROM orders""")
 cte("rtd", """SELECT *, CAST(date_diff('day', (SELECT min(CAST("timestamp" AS DATE)) FROM rt), CAST("timestamp" AS DATE)) AS INTEGER) AS day FROM rt""")

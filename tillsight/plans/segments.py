@@ -8,7 +8,7 @@ from ..config import API9
 from ..operators import features as fe, scoring as sc, segments as sg, selection as se
 from ..session import materialise
 from .registry import (
-    INTERCEPT, SEGMENT_MODEL, WEIGHTS, cte, dist_sql, feats, hash_ordinal_sql, query, r, rounded, scored, sql,
+    INTERCEPT, SEGMENT_MODEL, WEIGHTS, cte, feats, hash_ordinal_sql, query, r, rounded, scored, sql,
 )
 
 SCALED = ["recency_days", "frequency", "online_ratio"]
@@ -77,15 +77,6 @@ def _(spark, d):
     return sc.confidence(feats(spark, d), SEGMENT_MODEL).select("customer_id", "segment_id", "propensity_score")
 
 
-_N = len(SEGMENT_MODEL.features)
-_IMPACT = lambda i: f"round(abs(1e0 / (1e0 + distance) - 1e0 / (1e0 + least({', '.join(dist_sql(k, i) for k in range(3))}))), 4)"
-_ITEMS = " UNION ALL ".join(
-    f"SELECT customer_id, {i} AS pos, '{f}' AS feature, {_IMPACT(i)} AS impact, CASE WHEN {f} > {SEGMENT_MODEL.means[i]!r}::DOUBLE THEN 'positive' ELSE 'negative' END AS direction, CAST({f} AS DOUBLE) AS value FROM scored"
-    for i, f in enumerate(SEGMENT_MODEL.features)
-)
-cte("impacts", f"SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY impact DESC, pos) AS place FROM ({_ITEMS})")
-
-
 def explained(spark, d):
     f = sc.confidence(materialise(feats(spark, d), "features"), SEGMENT_MODEL)
     return sc.explain(f, SEGMENT_MODEL)
