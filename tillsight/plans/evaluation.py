@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from ..config import COMPLEXITY_ORDER, ENSEMBLES
 from ..operators import metrics as me, selection as se
-from .registry import auc_sql, cte, customer_labels, metrics_table, model_scores, names_sql, query, r, rounded, score_log, sql, lift_sql
+from .registry import auc_sql, cte, metrics_table, model_scores, names_sql, query, r, rounded, sql
 
 
 @query("v1_auc", sql(f"SELECT experiment, model, split, positives, negatives, {r('auc', 6)} AS auc FROM split_auc"))
@@ -97,7 +97,6 @@ cte("gated", f"""SELECT *, CASE WHEN model <> 'logistic_regression' AND round(te
     THEN printf('ensemble justification — AUC gain %.4f < required 0.015 over best single model', round(test_auc - single, 4)) ELSE '' END AS reason
   FROM (SELECT *, coalesce(max(test_auc) FILTER (WHERE model = 'logistic_regression') OVER p, 0) AS lr,
     max(test_auc) FILTER (WHERE model NOT IN ({names_sql(ENSEMBLES)})) OVER p AS single FROM metrics WINDOW p AS (PARTITION BY experiment))""")
-# Thresholds that let some models of the small test tables through.
 _ORDER = "CASE model " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(COMPLEXITY_ORDER)) + " ELSE 99 END"
 cte("chosen", f"""SELECT experiment, arg_min(model, c) AS selected_model, arg_min(test_auc, c) AS selected_auc FROM (
   SELECT *, {_ORDER} AS c, max(test_auc) OVER (PARTITION BY experiment) AS best FROM gated WHERE reason = '') WHERE test_auc >= best - 0.01e0 GROUP BY 1""")
@@ -136,7 +135,7 @@ def _(spark, d):
     return se.select_or_best(gated(spark, d))
 
 
-# ---- Curves: weekly revenue of each category stands in for a metric over steps ----
+# ---- Curves: mean daily amount of each category stands in for a metric over steps ----
 
 cte("curve", """SELECT category, CAST(date_diff('day', DATE '2024-01-01', ingest_date) AS INTEGER) AS step, round(avg(total_amount), 6) AS value FROM ev GROUP BY 1, 2""")
 
@@ -169,8 +168,6 @@ def _(spark, d):
     return best("max").unionByName(best("min")).select("category", "how", "step", "value")
 
 
-cte("lc", """SELECT model, CAST(CASE WHEN split = 'train' THEN 1 ELSE 2 END AS INTEGER) AS train_size, fold, experiment,
-  auc AS train_auc FROM lc_auc""")
 cte("lc_auc", auc_sql("model_scores", ["model", "split", "fold", "experiment"]))
 
 

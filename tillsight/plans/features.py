@@ -205,10 +205,6 @@ def _(spark, d):
     return me.deciles(hot, tie="log_id").select("log_id", "propensity_score", "decile")
 
 
-# The largest i with i * n // 10 <= position.
-_SLICE = "(SELECT max(i) FROM range(10) t(i) WHERE i * n_rows // 10 <= ordinal - 1)"
-
-
 @query("w4_slice_deciles", sql(f"SELECT log_id, CAST((10 * ordinal - 1) // n_rows + 1 AS INTEGER) AS decile FROM ({ordinal_sql('score_log', 'propensity_score', 'log_id')})"))
 def _(spark, d):
     return me.slice_deciles(score_log(spark, d), tie="log_id").select("log_id", "decile")

@@ -11,7 +11,7 @@ from ..operators import drift as dr, features as fe, outcome as oc
 from ..session import materialise
 from ..sources import adapters as ad
 from .data import outcomes
-from .registry import cte, ev, features_sql, metrics_table, model_scores, ordinal_sql, query, r, rounded, rt, scored, sql
+from .registry import cte, ev, features_sql, metrics_table, model_scores, query, r, rounded, rt, scored, sql
 
 _SEG = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SEG5)
 _LIST = ", ".join(SEG5)
@@ -100,10 +100,7 @@ def _(spark, d):
 _SNAP_COLS = ["frequency", "monetary", "avg_basket_size", "online_ratio"]
 cte("snaps", """SELECT DATE '2024-01-01' + CAST(date_diff('day', DATE '2024-01-01', ingest_date) // 3 * 3 AS INTEGER) AS snapshot_date, customer_id, CAST(count(*) AS DOUBLE) AS frequency,
   round(sum(total_amount), 2) AS monetary, round(avg(total_amount), 6) AS avg_basket_size, count(*) FILTER (WHERE channel = 'online') / count(*) AS online_ratio FROM ev GROUP BY 1, 2""")
-cte("snap_long", f"SELECT CAST(snapshot_date AS DATE) AS snapshot_date, feature, value FROM (UNPIVOT snap_wide ON {', '.join(_SNAP_COLS)} INTO NAME feature VALUE value)")
-cte("snap_wide", f"SELECT snapshot_date, {', '.join(_SNAP_COLS)} FROM snaps")
-CTE_LONG = f"SELECT CAST(snapshot_date AS DATE) AS snapshot_date, feature, value FROM (UNPIVOT (SELECT snapshot_date, {', '.join(_SNAP_COLS)} FROM snaps) ON {', '.join(_SNAP_COLS)} INTO NAME feature VALUE value)"
-cte("snap_long", CTE_LONG)
+cte("snap_long", f"SELECT CAST(snapshot_date AS DATE) AS snapshot_date, feature, value FROM (UNPIVOT (SELECT snapshot_date, {', '.join(_SNAP_COLS)} FROM snaps) ON {', '.join(_SNAP_COLS)} INTO NAME feature VALUE value)")
 cte("ref_long", "SELECT feature, value FROM snap_long WHERE snapshot_date < DATE '2024-01-07'")
 cte("ref_lim", "SELECT feature, min(value) AS elo, max(value) AS ehi FROM ref_long GROUP BY 1")
 cte("snap_limits", """SELECT snapshot_date, feature, least(min(value), any_value(elo)) AS lo, greatest(max(value), any_value(ehi)) AS hi

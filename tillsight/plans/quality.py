@@ -7,8 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from ..operators import quality as q
-from ..sources import adapters as ad
-from .registry import cte, query, r, rounded, rt, scored, sql
+from .registry import cte, query, r, rounded, scored, sql
 
 NOW = dt.datetime(2001, 6, 1)
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ..config import LOCAL8
 from ..operators import features as fe, metrics as me, segments as sg, splits as sp, training as tr
 from ..session import materialise
-from ..sources import adapters as ad
 from .registry import query, rt, feats
 
 
