@@ -41,17 +41,18 @@ def _code_by_value(df: DataFrame, order: str | Column, group: list[str], tie: st
     else:
         coded = keyed.withColumn("_bounds", scalar_of(sampled.agg(sketch)))
 
-    place = {
-        "_above": F.expr("size(filter(_bounds, b -> b > _k))"),
-        "_same": F.expr("size(filter(_bounds, b -> b = _k))"),
-    }
+    # Binary search in the sorted boundaries: how many are at most the key, how many are below it.
+    steps = ", ".join(str(2 ** j) for j in reversed(range((buckets - 1).bit_length())))
+    count = lambda op: F.expr(f"aggregate(array({steps}), 0, (at, step) -> at + IF(get(_bounds, at + step - 1) {op} _k, step, 0))")
+    coded = coded.withColumns({"_upto": count("<="), "_below": count("<")})
+    place = {"_above": F.expr(f"{buckets - 1} - _upto"), "_same": F.expr("_upto - _below")}
     sub = "0"
     if tie is not None:
         place["_h"] = F.md5(F.col(tie).cast("string"))
         sub = "CAST(floor(CAST(conv(substring(_h, 1, 8), 16, 10) AS DOUBLE) / 4294967296D * _same) AS INT)"
     # Never null, and said so: otherwise the join below adds a null filter that evaluates it again.
     code = F.expr(f"coalesce(_above * {2 * buckets} + CASE WHEN _same > 0 THEN 1 + {sub} ELSE 0 END, 0)")
-    coded = coded.withColumns(place).withColumn("_code", code).drop("_bounds", "_above", "_same")
+    coded = coded.withColumns(place).withColumn("_code", code).drop("_bounds", "_upto", "_below", "_above", "_same")
     return coded, [F.desc("_k")] + ([F.asc("_h"), F.asc(tie)] if tie else [])
 
 
