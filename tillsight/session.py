@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -33,23 +34,40 @@ def build_session(app: str = "tillsight", master: str | None = None, shuffle_par
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; only where unset (single machine) a folder of our own."""
+    """The folder that driver and executors share: ``spark.checkpoint.dir`` of the session.
+
+    Where it is unset, a single machine (master ``local``) gets a temporary folder of its own. A cluster
+    raises: a local folder would be a different one on each executor and results would be silently partial.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir is unset: name a folder that driver and executors share")
         folder = tempfile.mkdtemp(prefix="tillsight-")
         spark.sparkContext.setCheckpointDir(folder)
         folder = spark.sparkContext.getCheckpointDir()
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession, name: str) -> str:
+    """An unused path for an intermediate table, under a folder of this application in the shared folder."""
+    return f"{shared_folder(spark)}/tillsight-{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write ``df`` once as a parquet table in the shared folder and read it back.
 
     For inputs that an operator reads several times (bounds, counts, rows): the plan is computed
-    once, later passes prune columns, and a lost executor only re-reads files.
+    once, later passes prune columns, and a lost executor only re-reads files. The tables live until
+    ``drop_intermediates`` is called.
     """
-    spark = df.sparkSession
-    app = spark.sparkContext.applicationId
-    path = f"{shared_folder(spark)}/tillsight-{app}/{name}-{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_intermediates(spark: SparkSession) -> None:
+    """Delete this application's intermediate tables; frames that still read them become unusable."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tillsight-{spark.sparkContext.applicationId}")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
