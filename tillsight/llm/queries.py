@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillsight.llm import quality_rules
+from tillsight.llm import decontamination, quality_rules
 from tillsight.llm.common import table
 
 QUERIES: dict = {}
@@ -27,3 +27,13 @@ def op10(spark, d):
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
+_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+
+@query("op1_decontamination")
+def op1(spark, d):
+    found = decontamination.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+                        "contaminated", "n_near_items")
