@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillsight.llm import decontamination, quality_rules
+from tillsight.llm import decontamination, personal_data, quality_rules
 from tillsight.llm.common import table
 
 QUERIES: dict = {}
@@ -29,11 +29,20 @@ def op10(spark, d):
         F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
-_WORDS = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
-
-
 @query("op1_decontamination")
 def op1(spark, d):
     found = decontamination.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
                         "contaminated", "n_near_items")
+
+
+def _joined(spans: str, keep: str = "true"):
+    """kind:start:end of the spans, comma-joined in their order."""
+    return F.array_join(F.expr(f"transform(filter({spans}, s -> {keep}), s -> concat(s.kind, ':', s.start, ':', s.end))"), ",")
+
+
+@query("op5_personal_data")
+def op5(spark, d):
+    found = personal_data.personal_data(table(spark, d, "documents"))
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS LONG)").alias(f"n_{k}") for k in personal_data.BASE]
+    return found.select("doc_id", *counts, F.sha2(_joined("spans", "s.base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
