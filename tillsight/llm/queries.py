@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tillsight.llm import decontamination, personal_data, quality_rules
+from tillsight.llm import decontamination, ngram_jaccard, personal_data, quality_rules
 from tillsight.llm.common import table
 
 QUERIES: dict = {}
@@ -46,3 +46,8 @@ def op5(spark, d):
     found = personal_data.personal_data(table(spark, d, "documents"))
     counts = [F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS LONG)").alias(f"n_{k}") for k in personal_data.BASE]
     return found.select("doc_id", *counts, F.sha2(_joined("spans", "s.base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query("op4_ngram_jaccard")
+def op4(spark, d):
+    return ngram_jaccard.linked(table(spark, d, "documents"), size=3, percent=90)
