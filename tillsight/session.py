@@ -62,7 +62,7 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     ``drop_intermediates`` is called.
     """
     path = new_folder(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
