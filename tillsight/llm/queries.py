@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillsight.llm import decontamination, ngram_jaccard, personal_data, quality_rules
+from tillsight.llm import curve_packing, decontamination, ngram_jaccard, personal_data, quality_rules, token_files
 from tillsight.llm.common import table
+from tillsight.session import new_folder
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -51,3 +53,15 @@ def op5(spark, d):
 @query("op4_ngram_jaccard")
 def op4(spark, d):
     return ngram_jaccard.linked(table(spark, d, "documents"), size=3, percent=90)
+
+
+@query("op2_token_files")
+def op2(spark, d):
+    folder = new_folder(spark, "tokens")
+    token_files.write_tokens(table(spark, d, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.checksums(token_files.read_tokens(spark, folder))
+
+
+@query("op9_curve_packing")
+def op9(spark, d):
+    return curve_packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
