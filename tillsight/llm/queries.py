@@ -5,7 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tillsight.llm import curve_packing, decontamination, ngram_jaccard, personal_data, quality_rules, token_files
+from tillsight.llm import (
+    curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, secrets, token_files,
+)
 from tillsight.llm.common import table
 from tillsight.session import new_folder
 
@@ -65,3 +67,15 @@ def op2(spark, d):
 @query("op9_curve_packing")
 def op9(spark, d):
     return curve_packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
+
+
+@query("op3_secret_scans")
+def op3(spark, d):
+    found = secrets.scan(table(spark, d, "documents"))
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS LONG)").alias(f"n_{k}") for k in secrets.BASE]
+    return found.select("doc_id", *counts, F.sha2(_joined("spans", "s.base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
+
+
+@query("op8_language_id")
+def op8(spark, d):
+    return language_id.identify(table(spark, d, "documents"))
