@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: White space that separates words where a contract names it: blank, tab, line feed, vertical tab, form feed, return.
@@ -36,16 +36,15 @@ def small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def ordinals(df: DataFrame, group: list[str], order: list[str], name: str, buckets: int = 256) -> DataFrame:
+def ordinals(df: DataFrame, group: list[str], order: list[str], name: str, rows_each: int = 50_000) -> DataFrame:
     """Adds ``name``: the place of each row within its group, from 0 without gaps, in an order by hash.
 
     Rows go to buckets by a hash of ``order`` (columns that together tell rows apart); the sizes of the buckets
-    are added up, which is a table of groups x buckets rows, and only rows of a bucket are sorted together. Rows
-    that agree in all of ``order`` are interchangeable. ``df`` must be a written table, as it is read twice.
+    are added up, which is a table of groups x buckets rows, and only rows of a bucket (about ``rows_each``) are
+    sorted together. Rows that agree in all of ``order`` are interchangeable. ``df`` must be a written table, as it is read twice.
     """
+    buckets = max(64, df.count() // rows_each)
     b = df.withColumn("_b", F.pmod(F.xxhash64(*order), F.lit(buckets)))
-    from pyspark.sql import Window
-
     sizes = b.groupBy(*group, "_b").count()
     before = F.sum("count").over(Window.partitionBy(*group).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))
     starts = sizes.select(*group, "_b", F.coalesce(before, F.lit(0)).alias("_start"))

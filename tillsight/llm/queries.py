@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
-    curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, secrets, token_files,
+    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, secrets, token_files,
 )
 from tillsight.llm.common import table
 from tillsight.session import new_folder
@@ -79,3 +79,8 @@ def op3(spark, d):
 @query("op8_language_id")
 def op8(spark, d):
     return language_id.identify(table(spark, d, "documents"))
+
+
+@query("op7_balanced_shards")
+def op7(spark, d):
+    return balanced_shards.sharded(table(spark, d, "documents"), shards=40)
