@@ -5,7 +5,7 @@ that no benchmark item has can be in no match. Per window of an item the terms a
 in the whole corpus. The list of the rarest term is intersected with that of the second rarest (positions less than
 ``reach`` apart), and what is left is checked against the lists of all terms of the window: the phrase occurs where
 every position less its offset agrees, a proximity match is where each distinct term lies within ``reach`` words
-of the rarest one. Lists are cut into bins of ``reach`` positions, so a frequent term in a long document is not paired with itself.
+of the rarest one. Lists are cut into bins of positions, so a frequent term in a long document is not paired with itself.
 """
 
 from __future__ import annotations
@@ -76,25 +76,26 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 10, reach: int =
     spots = materialise(spots.select("wid", "len", "off", "term", "rank", "n_terms"), "window_terms")
     first = spots.where("rank = 1").select("wid", "len", "n_terms", F.col("off").alias("off1"), F.col("term").alias("term1"))
     second = spots.where("rank = 2").select(F.col("wid").alias("wid2"), F.col("term").alias("term2"))
-    pairs = first.join(second, F.col("wid") == F.col("wid2"), "left").drop("wid2")
     post = index.postings
-    at = post.join(small(pairs, 500_000), F.col("term") == F.col("term1")).select(
-        "k1", "k2", "wid", "len", "n_terms", "term2", "off1", F.col("pos").alias("pos1"))
-    lone = at.where("len = 1")
+    pairs = first.join(second, F.col("wid") == F.col("wid2"), "left").drop("wid2")
+    at = post.join(small(pairs, 500_000), F.col("term") == F.col("term1")).select("k1", "k2", "wid", "len", "term2", F.col("pos").alias("pos1"))
+    wide = 8 * reach
     lists = post.join(small(second.select(F.col("term2").alias("term")).distinct(), 500_000), "term", "left_semi").select(
         F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("term").alias("t2"), F.col("pos").alias("pos2"),
-        F.expr(f"pos div {reach}").alias("bin2"))
-    near_bins = F.sequence(F.expr(f"pos1 div {reach}") - 1, F.expr(f"pos1 div {reach}") + 1)
-    both = at.where("len > 1").withColumn("bin", F.explode(near_bins)).join(
+        F.expr(f"pos div {wide}").alias("bin2"))
+    near_bins = F.sequence(F.expr(f"greatest(pos1 - {reach}, 0) div {wide}"), F.expr(f"(pos1 + {reach}) div {wide}"))
+    both = at.where("len > 1").drop("len").withColumn("bin", F.explode(near_bins)).join(
         lists, (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")) & (F.col("term2") == F.col("t2"))
         & (F.col("bin") == F.col("bin2")) & (F.abs(F.col("pos1") - F.col("pos2")) <= reach), "left_semi")
+    likely = both.select("k1", "k2", "wid", "pos1").union(at.where("len = 1").select("k1", "k2", "wid", "pos1")).distinct()
+    facts = first.select(F.col("wid").alias("fw"), "len", "n_terms", "off1")
+    likely = materialise(likely.join(small(facts, 500_000), F.col("wid") == F.col("fw")).drop("fw"), "likely")
     columns = ["k1", "k2", "wid", "len", "n_terms", "off1", "pos1"]
-    likely = materialise(both.select(columns).unionByName(lone.select(columns)).distinct(), "likely")
     # Of the postings only those of documents with something left are needed.
     owners = likely.select(F.col("k1").alias("a1"), F.col("k2").alias("a2")).distinct()
     rest = post.join(small(owners, 200_000), (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")), "left_semi").select(
         F.col("k1").alias("a1"), F.col("k2").alias("a2"), F.col("term").alias("t2"), F.col("pos").alias("pos2"),
-        F.expr(f"pos div {reach}").alias("bin2")).distinct()
+        F.expr(f"pos div {wide}").alias("bin2")).distinct()
     probes = likely.join(small(spots.select(F.col("wid").alias("w"), "off", "term"), 500_000), F.col("wid") == F.col("w"))
     probes = probes.withColumn("bin", F.explode(near_bins))
     seen = probes.join(rest, (F.col("k1") == F.col("a1")) & (F.col("k2") == F.col("a2")) & (F.col("term") == F.col("t2"))
