@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
-    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, secrets, token_files,
+    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, repeats, secrets, token_files,
 )
 from tillsight.llm.common import table
 from tillsight.session import new_folder
@@ -84,3 +84,8 @@ def op8(spark, d):
 @query("op7_balanced_shards")
 def op7(spark, d):
     return balanced_shards.sharded(table(spark, d, "documents"), shards=40)
+
+
+@query("op6_repeats")
+def op6(spark, d):
+    return repeats.without_repeats(table(spark, d, "documents"), keep=False).drop("kept")
