@@ -36,50 +36,42 @@ def units(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarr
     runs = Runs(b)
     at = np.arange(len(b) - gram + 1)
     values = runs.hashes(at, at + gram)
-    # Least value of each window of ``width``: the rest of the row it starts in, and the head of the row it ends in.
+    # Half of the hash above, the place below: the least is the leftmost gram of least hash.
+    ranked = (values & np.uint64(0xFFFFFFFF00000000)) | at.astype(np.uint64)
+    # Least of each window of ``width``: of the rest of the row it starts in, and of the head of the row it ends in.
     rows = -(-len(values) // width)
     grid = np.full(rows * width, np.uint64(0xFFFFFFFFFFFFFFFF))
-    grid[: len(values)] = values
+    grid[: len(values)] = ranked
     grid = grid.reshape(rows, width)
     head = np.minimum.accumulate(grid, axis=1).ravel()
     rest = np.minimum.accumulate(grid[:, ::-1], axis=1)[:, ::-1].ravel()
     least = np.minimum(rest[:n], head[width - 1: width - 1 + n])
-    # Its leftmost place in the window. While the least value stays, so does the place, until the start passes it.
-    change = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-    ends = np.append(change[1:], n)
-    firsts, places = [], []
-    order = np.argsort(values, kind="stable")
-    ranked = values[order]
-    lo, hi = np.searchsorted(ranked, least[change], "left"), np.searchsorted(ranked, least[change], "right")
-    for s, e, a, z in zip(change.tolist(), ends.tolist(), lo.tolist(), hi.tolist(), strict=True):
-        if z - a == 1:
-            firsts.append(s)
-            places.append(int(order[a]))
-        else:
-            spots = order[a:z]
-            i = int(np.searchsorted(spots, s))
-            while s < e:
-                firsts.append(s)
-                places.append(int(spots[i]))
-                s, i = int(spots[i]) + 1, i + 1
-    first, place = np.array(firsts), np.array(places)
+    first = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
+    place = (least[first] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     count = np.append(first[1:], n) - first
     full = runs.hashes(first, first + count + length - 1) + (place - first).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
     return values[place].view(np.int64), full.view(np.int64), first, count
 
 
+def words(text: np.ndarray, pad: int = 0) -> np.ndarray:
+    """The eight bytes from each place on as one number, zero bytes after the end; for ``pad`` places more."""
+    n = len(text) + pad
+    padded = np.zeros(n + 8, dtype=np.uint64)
+    padded[: len(text)] = text
+    key = padded[:n]
+    for j in range(1, 8):
+        key = (key << np.uint64(8)) | padded[j: j + n]
+    return key
+
+
 def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     """Suffixes of ``text`` (uint8) sorted by their first ``depth`` bytes at least, as if zero bytes followed the text.
 
     Starts from eight bytes; then suffixes still tied are sorted by the rank of the suffix h bytes on, h doubling.
     """
     n = len(text)
-    padded = np.zeros(n + 8, dtype=np.uint64)
-    padded[:n] = text
-    key = np.zeros(n, dtype=np.uint64)
-    for j in range(8):
-        key = (key << np.uint64(8)) | padded[j: j + n]
-    sa = np.argsort(key, kind="stable")
+    key = words(text)[:n]
+    sa = np.argsort(key)
     # Suffixes of under eight bytes come before equal keys, by length.
     ordered = key[sa]
     new = np.append(True, ordered[1:] != ordered[:-1])
@@ -93,7 +85,7 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
     while h < depth and len(slots):
         tied = sa[slots]
         group, further = rank[tied], rank[np.minimum(tied + h, n)]
-        order = np.argsort(group * (n + 1) + further + 1, kind="stable")
+        order = np.argsort(group * (n + 1) + further + 1)
         tied, group, further = tied[order], group[order], further[order]
         sa[slots] = tied
         new = np.append(True, (group[1:] != group[:-1]) | (further[1:] != further[:-1]))
@@ -104,17 +96,16 @@ def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
 
 
 def _common(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, depth: int) -> np.ndarray:
-    """Common prefix lengths, up to ``depth``, of suffixes i of ``a`` and j of ``b`` (both padded by depth bytes)."""
+    """Common prefix lengths, up to about ``depth``, of suffixes i and j; a and b are ``words`` with as many places after the end."""
     out = np.zeros(len(i), dtype=np.int64)
-    live = np.arange(len(i))
-    for step in (16, 4, 1):
-        reach = np.arange(step)
-        stop = live
-        while len(stop):
-            same = (a[i[stop, None] + out[stop, None] + reach] == b[j[stop, None] + out[stop, None] + reach]).all(axis=1)
-            stop = stop[same]
-            out[stop] += step
-            stop = stop[out[stop] + step <= depth]
+    live, at = np.arange(len(i)), 0
+    while len(live) and at < depth:
+        x = a[i[live] + at] ^ b[j[live] + at]
+        same = x == 0
+        other = x[~same]
+        out[live[~same]] = at + sum((other < np.uint64(1 << (64 - 8 * k))).astype(np.int64) for k in range(1, 8))
+        live, at = live[same], at + 8
+    out[live] = at
     return out
 
 
@@ -127,21 +118,22 @@ def neighbours(text: np.ndarray, sa: np.ndarray, depth: int = LENGTH) -> np.ndar
     n = len(text)
     before = np.full(n, -1, dtype=np.int64)
     before[sa[1:]] = sa[:-1]
-    prev = np.append(0, text[:-1])
-    partner = np.where(before > 0, text[np.maximum(before - 1, 0)], 0)
     at = np.arange(n)
-    kept = (before > 0) & (at > 0) & (prev == partner) & (np.append(-1, before[:-1]) == before - 1)
-    fresh = np.flatnonzero(~kept & (before >= 0))
-    # Past the end the pads would agree, so lengths are capped by what is left.
-    padded = np.concatenate([text.astype(np.int16), np.full(depth + 32, -1, np.int16)])
+    kept = (before > 0) & (np.append(-1, before[:-1]) == before - 1)
+    kept[1:] &= text[:-1] == text[np.maximum(before[1:] - 1, 0)]
+    # Where Kasai's rule starts afresh, lengths are found to twice the depth, so that what follows from them is seldom cut short.
+    limit = 2 * depth
+    eights = words(text, limit + 8)
     length = np.zeros(n, dtype=np.int64)
-    length[fresh] = np.minimum(_common(padded, fresh, padded, before[fresh], depth), np.minimum(n - fresh, n - before[fresh]))
-    # A kept place has its forerunner's length less the distance, unless that was cut at ``depth``: then it is compared.
-    origin = np.maximum.accumulate(np.where(kept, -1, at))
+
+    def compare(i: np.ndarray, most: int) -> None:
+        # Past the end zero bytes agree, so lengths are capped by what is left.
+        length[i] = np.minimum(_common(eights, i, eights, before[i], most), np.minimum(n - i, n - before[i]))
+
+    compare(np.flatnonzero(~kept & (before >= 0)), limit)
+    origin = np.maximum.accumulate(np.where(kept, 0, at))
     length[kept] = np.maximum(length[origin[kept]] - (at[kept] - origin[kept]), 0)
-    cut = np.flatnonzero(kept & (length[origin] >= depth))
-    if len(cut):
-        length[cut] = np.minimum(_common(padded, cut, padded, before[cut], depth), np.minimum(n - cut, n - before[cut]))
+    compare(np.flatnonzero(kept & (length[origin] >= limit) & (length < depth)), depth)
     return np.minimum(length[sa[1:]], depth)
 
 
@@ -168,15 +160,15 @@ class Shard:
     def merge(self, other: "Shard") -> None:
         """Marks in both the starts whose string the other has, found by binary search in its suffix array."""
         starts = np.flatnonzero(self.valid)
-        pad = np.full(2 * self.length + 16, -1, np.int16)
-        a, b = np.concatenate([self.text.astype(np.int16), pad]), np.concatenate([other.text.astype(np.int16), pad])
+        a, b = words(self.text, self.length), words(other.text, self.length)
         rows = other.sa[other.valid[other.sa]]
         lo, hi = np.zeros(len(starts), np.int64), np.full(len(starts), len(rows), np.int64)
         while (open_ := np.flatnonzero(lo < hi)).size:
             mid = (lo[open_] + hi[open_]) // 2
             i, j = starts[open_], rows[mid]
-            lcp = np.minimum(_common(a, i, b, j, self.length), self.length)
-            less = (lcp < self.length) & (b[j + np.minimum(lcp, self.length - 1)] < a[i + np.minimum(lcp, self.length - 1)])
+            lcp = _common(a, i, b, j, self.length)
+            differ = np.minimum(lcp, self.length - 1)
+            less = (lcp < self.length) & (other.text[j + differ] < self.text[i + differ])
             lo[open_[less]] = mid[less] + 1
             hi[open_[~less]] = mid[~less]
         inside = lo < len(rows)
