@@ -57,6 +57,14 @@ def ordinals(df: DataFrame, group: list[str], order: list[str], name: str, rows_
     return placed.withColumn(name, F.col("_start") + place - 1).drop("_b", "_sb", "_start", *[f"_g{i}" for i in range(len(group))])
 
 
+def parts(batches: Iterable, size: int = 4 << 20) -> Iterator:
+    """Arrow batches cut to about ``size`` bytes (a row at least), so that a worker unpacks little at a time."""
+    for b in batches:
+        step = max(1, int(b.num_rows * size / max(b.nbytes, 1)))
+        for first in range(0, b.num_rows, step):
+            yield b.slice(first, step)
+
+
 def slices(texts: Iterable[str], limit: int) -> Iterator[tuple[int, list[str]]]:
     """Runs of texts of about ``limit`` characters together (at least one text), with the first one's position."""
     first, size, run = 0, 0, []

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
-from tillsight.llm.common import slices
+from tillsight.llm.common import parts, slices
 from tillsight.llm.hashing import Runs, blank_words
 
 BUCKETS, DIMENSIONS, BITS, SEED = 512, 4, 12, 20240611
@@ -72,7 +72,7 @@ def curve_keys(texts: list[str | None]) -> np.ndarray:
 
 
 def _keyed(batches):
-    for b in batches:
+    for b in parts(batches):
         yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("text"), pa.array(curve_keys(b.column("text").to_pylist()), pa.int64())],
                                          names=["doc_id", "text", "curve"])
 
@@ -130,13 +130,12 @@ def _pack(path: str, kind: str, end_id: int, length: int, with_ids: bool):
 
         encoder = Encoder(path, kind)
         packer = Packer(length, TaskContext.get().partitionId() << 40)
-        for b in batches:
-            for lo in range(0, b.num_rows, 2000):
-                part, done = b.slice(lo, 2000), []
-                for doc_id, ids in zip(part.column("doc_id").to_pylist(), encoder.encode(part.column("text").to_pylist()), strict=True):
-                    done += packer.add(doc_id, np.append(ids, np.int32(end_id)))
-                if done:
-                    yield batch(done)
+        for b in parts(batches):
+            done = []
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist()), strict=True):
+                done += packer.add(doc_id, np.append(ids, np.int32(end_id)))
+            if done:
+                yield batch(done)
         if last := packer.close():
             yield batch(last)
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import slices
+from tillsight.llm.common import parts, slices
 from tillsight.llm.hashing import VALUES
 
 PLACES_BITS, LONGEST = 16, 4
@@ -68,7 +68,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _pack(batches):
-    for b in batches:
+    for b in parts(batches):
         texts = b.column("text").to_pylist()
         keep = [i for i, t in enumerate(texts) if has_letter(t)]
         bits = [np.packbits(presence([texts[i]])[0]).tobytes() for i in keep]
@@ -110,7 +110,7 @@ def fit(labelled: DataFrame, max_rows: int = 1600, landmarks: int = 240, ridge:
 
 def _score(model: Model | None):
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             texts = b.column("text").to_pylist()
             known = [i for i, t in enumerate(texts) if model and has_letter(t)]
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import slices, small, with_key
+from tillsight.llm.common import parts, slices, small, with_key
 from tillsight.llm.hashing import Runs, blank_words, mix
 from tillsight.session import materialise
 
@@ -70,7 +70,7 @@ def _sketches(size: int, percent: int):
                         ("s2", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             n, s1, s2, windows = [], [], [], []
             for s in shingle_sets(b.column("text").to_pylist(), size):
                 n.append(len(s))
@@ -91,7 +91,7 @@ def _compare(size: int, percent: int):
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("both", pa.int64()), ("either", pa.int64())])
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             x, y = b.column("x").to_pylist(), b.column("y").to_pylist()
             out = []
             for i, (s, t) in enumerate(zip(shingle_sets(b.column("tx").to_pylist(), size), shingle_sets(b.column("ty").to_pylist(), size), strict=True)):

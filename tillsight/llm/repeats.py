@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import small
+from tillsight.llm.common import parts, small
 from tillsight.llm.hashing import Runs
 from tillsight.session import materialise
 
@@ -224,7 +224,7 @@ def _shards(length: int, shard: int):
 
     def run(batches):
         held, size, own, own_size = [], 0, [], 0  # whole anchors, and the rows of the anchor that is being read
-        for b in batches:
+        for b in parts(batches):
             for row in zip(*(b.column(c).to_pylist() for c in ("anchor", "full", "n", "data")), strict=True):
                 if own and own[-1][:2] == row[:2]:
                     continue  # a repeated row of the document that stands for a unit
@@ -250,13 +250,11 @@ def _find_units(length: int, gram: int):
     schema = pa.schema([("tk", pa.binary()), ("anchor", pa.int64()), ("full", pa.int64()), ("pos", pa.int64()), ("n", pa.int64())])
 
     def run(batches):
-        for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                found = [units((t or "").encode(), length, gram) for t in part.column("text").to_pylist()]
-                which = np.repeat(np.arange(part.num_rows), [len(f[0]) for f in found])
-                cols = [pa.array(np.concatenate([f[k] for f in found]), pa.int64()) for k in range(4)]
-                yield pa.RecordBatch.from_arrays([part.column("tk").take(pa.array(which)), *cols], schema=schema)
+        for b in parts(batches):
+            found = [units((t or "").encode(), length, gram) for t in b.column("text").to_pylist()]
+            which = np.repeat(np.arange(b.num_rows), [len(f[0]) for f in found])
+            cols = [pa.array(np.concatenate([f[k] for f in found]), pa.int64()) for k in range(4)]
+            yield pa.RecordBatch.from_arrays([b.column("tk").take(pa.array(which)), *cols], schema=schema)
 
     return run
 
@@ -265,7 +263,7 @@ def _cut(length: int):
     schema = pa.schema([("anchor", pa.int64()), ("full", pa.int64()), ("n", pa.int64()), ("data", pa.binary())])
 
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             rows = []
             for text, wanted in zip(b.column("text").to_pylist(), b.column("wanted").to_pylist(), strict=True):
                 data = text.encode()
@@ -277,7 +275,7 @@ def _cut(length: int):
 
 def _strip(length: int, keep: bool):
     def run(batches):
-        for b in batches:
+        for b in parts(batches):
             n_bytes, n_removed, n_spans, sums, kept = [], [], [], [], []
             for text, copies, spans in zip(*(b.column(c).to_pylist() for c in ("text", "copies", "spans")), strict=True):
                 data = (text or "").encode()

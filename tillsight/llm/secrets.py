@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import small, with_key
+from tillsight.llm.common import parts, small, with_key
 from tillsight.session import materialise
 
 BASE = ["assign", "access", "hex"]
@@ -74,7 +74,7 @@ _PART = pa.struct([("role", pa.string()), ("scope", pa.int64()), ("start", pa.in
 
 
 def _extract(batches):
-    for b in batches:
+    for b in parts(batches):
         bases, weak = [], []
         for t in b.column("text").to_pylist():
             base = base_spans(t or "")
@@ -121,7 +121,7 @@ def scan(docs: DataFrame, reach: int = REACH) -> DataFrame:
 
 
 def _mask(batches):
-    for b in batches:
+    for b in parts(batches):
         texts = []
         for text, spans in zip(b.column("text").to_pylist(), b.column("spans").to_pylist(), strict=True):
             if spans:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import small
+from tillsight.llm.common import parts, small
 
 SCHEMA = "doc_id long, begin long, n_tokens long, ids array<int>"
 ORC = {
@@ -36,14 +36,12 @@ def _encode(path: str, kind: str, end_id: int):
         from tillsight.llm.tokens import Encoder
 
         encoder, begin = Encoder(path, kind), 0
-        for b in batches:
-            for lo in range(0, max(1, b.num_rows), 2000):
-                part = b.slice(lo, 2000)
-                ids = [np.append(x, np.int32(end_id)) for x in encoder.encode(part.column("text").to_pylist())]
-                sizes = np.array([len(x) for x in ids], dtype=np.int64)
-                begins = begin + np.cumsum(sizes) - sizes
-                begin += int(sizes.sum())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(begins), pa.array(sizes), id_lists(ids)], schema=schema)
+        for b in parts(batches):
+            ids = [np.append(x, np.int32(end_id)) for x in encoder.encode(b.column("text").to_pylist())]
+            sizes = np.array([len(x) for x in ids], dtype=np.int64)
+            begins = begin + np.cumsum(sizes) - sizes
+            begin += int(sizes.sum())
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(begins), pa.array(sizes), id_lists(ids)], schema=schema)
 
     return run
 
@@ -70,7 +68,7 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
 
 def _sums(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])
-    for b in batches:
+    for b in parts(batches):
         lists = b.column("ids")
         flat, bounds = lists.flatten().to_numpy(zero_copy_only=False).astype("<u4"), lists.offsets.to_numpy()
         bounds = bounds - bounds[0]
