@@ -31,6 +31,23 @@ def with_key(docs: DataFrame, text: Column) -> DataFrame:
     })
 
 
+def without(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key (see ``with_key``) is not among the distinct k1, k2 of ``keys``, with their own columns alone."""
+    return _by_key(docs, keys, "left_anti")
+
+
+def only(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose key is among those of ``keys``."""
+    return _by_key(docs, keys, "left_semi")
+
+
+def _by_key(docs: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+    other = small(keys.select(F.col("k1").alias("_j1"), F.col("k2").alias("_j2")), 1_000_000)
+    # The columns go into a struct, so that none of them can clash with the key's.
+    rows = with_key(docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row")), F.col("text"))
+    return rows.join(other, (F.col("k1") == F.col("_j1")) & (F.col("k2") == F.col("_j2")), how).select("_row.*")
+
+
 def small(df: DataFrame, rows: int) -> DataFrame:
     """``df`` with a broadcast hint if it was counted to have at most ``rows`` rows, else as it is (a shuffle join)."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import ascii_lower, small, with_key
+from tillsight.llm.common import ascii_lower, small, with_key, without
 from tillsight.session import materialise
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -110,7 +110,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 10, reach: int =
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, reach: int = 20) -> DataFrame:
-    """Per document row: doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), contaminated, n_near_items.
+    """Per document row: doc_id, n_words, n_hit, n_items, item_ids (sorted as strings), contaminated, n_near_items, and the key k1, k2.
 
     A word is hit if it lies in any occurrence of a window. Items with a null id hit words but are not listed or counted.
     Null and empty texts have no words and no hits. Rows repeated with the same id and text get a result each. Windows
@@ -132,4 +132,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame, size: int = 10, reach:
     n_hit, ids = F.coalesce("n_hit", F.lit(0)), F.coalesce("item_ids", F.array().cast("array<string>"))
     return out.select(
         "doc_id", "n_words", n_hit.cast("long").alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
-        (n_hit > 0).alias("contaminated"), F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"))
+        (n_hit > 0).alias("contaminated"), F.coalesce("n_near_items", F.lit(0)).cast("long").alias("n_near_items"), "k1", "k2")
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, size: int = 10, reach: int = 20) -> DataFrame:
+    """The rows of ``docs``, all columns, in which no window of an item occurs."""
+    found = contamination(docs, benchmark, size, reach).where("contaminated")
+    return without(docs, materialise(found.select("k1", "k2").distinct(), "contaminated"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import parts, slices, small, with_key
+from tillsight.llm.common import only, parts, slices, small, with_key, without
 from tillsight.llm.hashing import Runs, blank_words, mix
 from tillsight.session import materialise
 
@@ -143,7 +143,8 @@ def _fits(percent: int, a: str, b: str):
 
 
 def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """Per document row: doc_id, n_shingles, component_id, n_links (texts of other sets that it links to, as verified).
+    """Per document row: doc_id, n_shingles, component_id, n_links (texts of other sets that it links to, as verified), and
+    the key k1, k2 and the group (a number; null for the empty set).
 
     Documents link when the Jaccard similarity of their sets is at least ``percent`` hundredths. ``component_id`` is the smallest doc_id
     that links reach. Equal sets are one node. Null, empty and blank texts have the empty set and link with nothing: their
@@ -210,10 +211,11 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     if not pairs.isEmpty():
         texts = _texts(keyed, nodes, pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct())
         links.append(materialise(_verified(pairs, texts, size, percent), "links"))
-    out = sketch.select("doc_id", "rid", F.col("n").alias("n_shingles"))
+    out = sketch.select("doc_id", "rid", F.col("n").alias("n_shingles"), "k1", "k2")
     if not links:
         own = out.join(members.withColumnRenamed("rid", "mr"), F.col("rid") == F.col("mr"), "left")
-        return own.select("doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"))
+        return own.select("doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"),
+                          "k1", "k2", F.col("node").alias("group"))
     edges = links[0] if len(links) == 1 else links[0].union(links[1])
     labels = components(edges)
     degree = edges.select(F.explode(F.array("x", "y")).alias("dn")).groupBy("dn").agg(F.count(F.lit(1)).alias("n_links"))
@@ -221,8 +223,23 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     grouped = firsts.join(labels.withColumnRenamed("node", "ln"), F.col("node") == F.col("ln")).select("node", "label", "first_id")
     least = grouped.groupBy("label").agg(F.min("first_id").alias("least_id")).withColumnRenamed("label", "gl")
     named = grouped.join(least, F.col("label") == F.col("gl")).join(degree, F.col("node") == F.col("dn")).select(
-        F.col("node").alias("gn"), "least_id", "n_links")
+        F.col("node").alias("gn"), "least_id", "n_links", "label")
     flat = members.join(named, F.col("node") == F.col("gn"), "left").select(
-        F.col("rid").alias("mr"), F.coalesce("least_id", "first_id").alias("component_id"), "n_links")
+        F.col("rid").alias("mr"), F.coalesce("least_id", "first_id").alias("component_id"), "n_links", F.coalesce("label", "node").alias("group"))
     return out.join(flat, F.col("rid") == F.col("mr"), "left").select(
-        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "k1", "k2", "group")
+
+
+def representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
+    """One row of ``docs``, all columns, for each group: that of the smallest id (null last), and of one row where it is repeated.
+
+    Documents of the empty set are in no group and stay.
+    """
+    found = materialise(linked(docs, size, percent).where("group IS NOT NULL").select("doc_id", "k1", "k2", "group"), "groups")
+    first = found.groupBy(F.col("group").alias("fg")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "k1", "k2")).alias("first"))
+    marked = found.join(first, F.col("group") == F.col("fg")).withColumn("stays", F.struct("k1", "k2") == F.struct("first.k1", "first.k2"))
+    keys = materialise(marked.groupBy("k1", "k2").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows")), "keys")
+    left = without(docs, keys.where("NOT stays OR rows > 1"))
+    repeated = keys.where("stays AND rows > 1")
+    return left.unionByName(only(docs, repeated).dropDuplicates(["doc_id", "text"]))

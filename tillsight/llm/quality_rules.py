@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillsight.llm.common import small
+from tillsight.llm.common import small, with_key, without
 from tillsight.session import materialise
 
 #: name -> (expression over the measures, cutoffs from loose to strict); a document is rejected above the cutoff.
@@ -134,3 +134,11 @@ def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float
     measured = materialise(measures(docs.select("doc_id", "text", F.col(stratum).alias("_s")), "_s"), "measures")
     cutoffs = certified_cutoffs(measured, labels.select("doc_id", "quality"), "_s", risk, alpha)
     return verdicts(measured, cutoffs, "_s")
+
+
+def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.01, alpha: float = 0.05) -> DataFrame:
+    """The rows of ``docs``, all columns, that the rules keep."""
+    keyed = with_key(docs.select("doc_id", "text", F.col(stratum).alias("_s")), F.col("text"))
+    measured = materialise(measures(keyed, "_s", "k1", "k2"), "measures")
+    judged = verdicts(measured, certified_cutoffs(measured, labels.select("doc_id", "quality"), "_s", risk, alpha), "_s")
+    return without(docs, materialise(judged.where(~F.col("kept")).select("k1", "k2").distinct(), "rejected"))

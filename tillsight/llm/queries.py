@@ -54,7 +54,7 @@ def op5(spark, d):
 
 @query("op4_ngram_jaccard")
 def op4(spark, d):
-    return ngram_jaccard.linked(table(spark, d, "documents"), size=3, percent=90)
+    return ngram_jaccard.linked(table(spark, d, "documents"), size=3, percent=90).drop("k1", "k2", "group")
 
 
 @query("op2_token_files")
