@@ -129,7 +129,18 @@ def test_silhouette_equals_brute_force(setup):
     got = rows(sg.silhouette(assigned, API9))[0]
     assert (got["n_sample"], got["silhouette"]) == (300, pytest.approx(np.mean(s)))
     assert rows(sg.silhouette(assigned, API9, sample=100))[0]["n_sample"] == 100
-    assert -1 <= sg.silhouette_squared(sg.standardise(assigned, API9), API9) <= 1
+    z = rows(sg.standardise(assigned, API9))
+    whole = rows(sg.silhouette_squared(sg.standardise(assigned, API9), API9))[0]
+    x = np.array([[r[c] for c in API9] for r in z], dtype=float)
+    seg = np.array([r["segment_id"] for r in z])
+    d2 = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    each = []
+    for i in range(len(x)):
+        own = seg == seg[i]
+        near = min(d2[i, seg == k].mean() for k in set(seg) - {seg[i]})
+        within = d2[i, own].sum() / max(own.sum() - 1, 1)
+        each.append(0.0 if own.sum() == 1 else (near - within) / max(near, within))
+    assert (whole["n_points"], whole["silhouette"]) == (300, pytest.approx(np.mean(each)))
 
 
 def test_kmeans_finds_blobs_and_repeats(spark):

@@ -82,3 +82,8 @@ def slug(c: str | Column) -> Column:
 
 def title(c: str | Column) -> Column:
     return F.initcap(F.translate(_col(c), "_", " "))
+
+
+def missing(c: Column) -> Column:
+    """Null, or NaN in a column of floating-point numbers."""
+    return c.isNull() | (F.typeof(c).isin("double", "float") & F.coalesce(c.cast("string") == "NaN", F.lit(False)))

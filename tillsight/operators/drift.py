@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from .ordinal import join_null_safe
 from ..config import PSI_BINS, PSI_DRIFT, PSI_WARN
 from ..functions.exprs import linear_bin
 
@@ -31,7 +32,9 @@ def _index(binned: DataFrame, keys: list[str], floor: float) -> DataFrame:
         binned.select(*keys, "feature").distinct()
         .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(PSI_BINS - 1))))
     )
-    full = spine.join(binned, [*keys, "feature", "bin"], "left").fillna({"e": 0, "a": 0})
+    # Empty bins are added as zeros and summed, so that a null key is a key like others.
+    full = binned.select(*keys, "feature", "bin", "e", "a").unionByName(
+        spine.withColumns({"e": F.lit(0), "a": F.lit(0)})).groupBy(*keys, "feature", "bin").agg(F.sum("e").alias("e"), F.sum("a").alias("a"))
     whole = Window.partitionBy(*keys, "feature")
     shares = full.select(
         *keys, "feature",
@@ -84,7 +87,7 @@ def psi_joint_long(expected: DataFrame, actual: DataFrame, keys: Sequence[str] =
         *keys, "feature", F.least("lo", "elo").alias("lo"), F.greatest("hi", "ehi").alias("hi")
     )
     at = linear_bin("value", "lo", "hi", PSI_BINS).alias("bin")
-    a = actual.join(F.broadcast(joint), [*keys, "feature"]).groupBy(*keys, "feature", at).agg(
+    a = join_null_safe(actual, F.broadcast(joint), [*keys, "feature"]).groupBy(*keys, "feature", at).agg(
         F.count(F.lit(1)).alias("a")
     )
     # The bins differ by snapshot, so the expected rows are counted once for each snapshot's edges.
@@ -96,10 +99,12 @@ def psi_joint_long(expected: DataFrame, actual: DataFrame, keys: Sequence[str] =
     else:
         spread = expected.join(F.broadcast(joint), "feature")
     e = spread.groupBy(*keys, "feature", at).agg(F.count(F.lit(1)).alias("e"))
-    both = e.join(a, [*keys, "feature", "bin"], "full").fillna({"e": 0, "a": 0})
+    # Summed, not joined, so that a null key is a key like others.
+    both = e.withColumn("a", F.lit(0)).unionByName(a.withColumn("e", F.lit(0))).groupBy(*keys, "feature", "bin").agg(
+        F.sum("e").alias("e"), F.sum("a").alias("a"))
     psi = _index(both, keys, 1e-6)
     flat = joint.select(*keys, "feature", (F.col("lo") == F.col("hi")).alias("_flat"))
-    return psi.join(F.broadcast(flat), [*keys, "feature"]).select(
+    return join_null_safe(psi, F.broadcast(flat), [*keys, "feature"]).select(
         *keys, "feature", F.when(F.col("_flat"), F.lit(0.0)).otherwise(F.col("psi")).alias("psi")
     )
 

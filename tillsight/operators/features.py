@@ -8,8 +8,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..config import DEFAULT_PERSONA, PROMOTED_CATEGORIES
-from ..functions.exprs import clip, ratio_or_zero, scalar_of
-from .ordinal import exact_quantiles
+from ..functions.exprs import clip, missing, ratio_or_zero, scalar_of
+from .ordinal import exact_quantiles, join_null_safe
 
 KEY = "customer_id"
 
@@ -360,8 +360,8 @@ def score_by_segment(df: DataFrame, col: str = "propensity_score") -> DataFrame:
         F.min(col).alias("min"), F.max(col).alias("max"),
     )
     quartiles = exact_quantiles(df, col, {"p25": 0.25, "p50": 0.5, "p75": 0.75}, ["segment_id"])
-    # One row a segment on both sides.
-    return stats.join(F.broadcast(quartiles.drop("n_values")), "segment_id")
+    # One row a segment on both sides; rows without a segment are one too.
+    return join_null_safe(stats, quartiles.drop("n_values"), ["segment_id"])
 
 
 def score_correlation(df: DataFrame, cols: list[str], score: str = "propensity_score") -> DataFrame:
@@ -391,7 +391,7 @@ def persona_summary(txns: DataFrame) -> DataFrame:
 
 
 def null_rates(df: DataFrame, cols: list[str]) -> DataFrame:
-    rates = df.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in cols])
+    rates = df.agg(*[F.avg(missing(F.col(c)).cast("double")).alias(c) for c in cols])
     return rates.unpivot([], cols, "column", "null_rate")
 
 

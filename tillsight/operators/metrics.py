@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.exprs import ratio_or_zero
 from .features import KEY
-from .ordinal import cut_by_value, prefix_sums
+from .ordinal import cut_by_value, join_null_safe, prefix_sums
 
 
 def rank_metrics(df: DataFrame, y: str = "label", p: str = "score", group: Sequence[str] = (),
@@ -85,7 +85,7 @@ def evaluate(scores: DataFrame, y: str = "label", p: str = "score", tie: str = K
     pick = lambda s: F.max(F.when(F.col("split") == s, F.col("auc")))
     aucs = per_split.groupBy(*group).agg(pick("test").alias("test_auc"), pick("train").alias("train_auc"))
     lifts = lift_d1(scores.where(F.col("split") == "test"), y, p, tie, group)
-    return aucs.join(F.broadcast(lifts.select(*group, "lift_at_decile1")), group)
+    return join_null_safe(aucs, lifts.select(*group, "lift_at_decile1"), group)
 
 
 def cv_std(scores: DataFrame, y: str = "label", p: str = "score",

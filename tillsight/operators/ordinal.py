@@ -11,33 +11,59 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.exprs import hash_key, num, scalar_of
 
-_MAX_BUCKETS = 1024
+_MAX_BUCKETS = 16_384
+#: Bounds and bucket totals are broadcast for at most this many groups; beyond it they are joined by a shuffle.
+BROADCAST_GROUPS = 1_000
 
 
 def default_buckets(df: DataFrame) -> int:
-    """As many buckets as the session has shuffle partitions, within 64..1024."""
+    """As many buckets as the session has shuffle partitions, within 64..16384: both grow with the data."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(64, min(_MAX_BUCKETS, parts))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which a null key equals a null key; the keys come back once, from the left."""
+    other = right.select("*", *[F.col(k).alias(f"_n_{k}") for k in keys]).drop(*keys)
+    on = F.lit(True)
+    for k in keys:
+        on = on & F.col(k).eqNullSafe(F.col(f"_n_{k}"))
+    return left.join(other, on, how).drop(*[f"_n_{k}" for k in keys])
+
+
+def _hint(df: DataFrame, group: list[str]) -> Callable[[DataFrame], DataFrame]:
+    """Broadcast for a counted, short list of groups; otherwise no hint."""
+    if not group or df.select(*group).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
+        return F.broadcast
+    return lambda table: table
+
+
 def _code_by_value(df: DataFrame, order: str | Column, group: list[str], tie: str | None, descending: bool,
                    buckets: int | None, sample_of: DataFrame | None = None) -> tuple[DataFrame, list[Column]]:
-    """Add the bucket number ``_code``, increasing in the wanted order; also returns the order inside a bucket."""
+    """Add the bucket number ``_code``, increasing in the wanted order; also returns the order inside a bucket.
+
+    The bucket is chosen by the value as a double; inside it rows are sorted by the value itself, so long integers
+    and decimals keep all their digits. NaN is above all numbers, as in Spark's own order; nulls come last in either direction.
+    """
     buckets = buckets or default_buckets(df)
-    key = (F.col(order) if isinstance(order, str) else order).cast("double")
-    # Always descending inside; nulls sort last.
-    key = F.coalesce(key if descending else -key, F.lit(float("-inf")))
-    keyed = df.withColumn("_k", key)
+    value = F.col(order) if isinstance(order, str) else order
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    double = value.cast("double")
+    top = F.lit(float("inf"))
+    # Always descending: what is not a number goes to the end where it belongs.
+    key = F.when(F.isnan(double), top if descending else -top).otherwise(double if descending else -double)
+    keyed = df.withColumns({"_v": value, "_k": key})
     sampled = keyed if sample_of is None else sample_of.select(*group, key.alias("_k"))
 
+    # Only the balance hangs on the boundaries, so a light sketch is enough.
     probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
-    sketch = F.expr(f"percentile_approx(_k, array({probs}), {max(10000, 20 * buckets)})").alias("_bounds")
+    sketch = F.coalesce(F.expr(f"percentile_approx(_k, array({probs}), {8 * buckets})"), F.array(F.lit(0.0))).alias("_bounds")
     if group:
-        coded = keyed.join(F.broadcast(sampled.groupBy(*group).agg(sketch)), group)
+        coded = join_null_safe(keyed, _hint(df, group)(sampled.groupBy(*group).agg(sketch)), group)
     else:
         coded = keyed.withColumn("_bounds", scalar_of(sampled.agg(sketch)))
 
@@ -45,27 +71,38 @@ def _code_by_value(df: DataFrame, order: str | Column, group: list[str], tie: st
     steps = ", ".join(str(2 ** j) for j in reversed(range((buckets - 1).bit_length())))
     count = lambda op: F.expr(f"aggregate(array({steps}), 0, (at, step) -> at + IF(get(_bounds, at + step - 1) {op} _k, step, 0))")
     coded = coded.withColumns({"_upto": count("<="), "_below": count("<")})
-    place = {"_above": F.expr(f"{buckets - 1} - _upto"), "_same": F.expr("_upto - _below")}
-    sub = "0"
+    # Rows of one double are cut further by hash only where the double stands for one value.
+    if isinstance(kind, (T.DoubleType, T.FloatType)):
+        one = "abs(_k) < double('Infinity')"
+    elif isinstance(kind, (T.DecimalType, T.LongType)):
+        one = "abs(_k) < 9007199254740992D" if isinstance(kind, T.LongType) else str(kind.precision <= 15).lower()
+    else:
+        one = "true"
+    place = {"_above": F.expr(f"{buckets - 1} - _upto"), "_same": F.expr(f"IF({one}, _upto - _below, least(_upto - _below, 1))")}
+    sub, spread = "0", "0"
     if tie is not None:
-        place["_h"] = F.md5(F.col(tie).cast("string"))
-        sub = "CAST(floor(CAST(conv(substring(_h, 1, 8), 16, 10) AS DOUBLE) / 4294967296D * _same) AS INT)"
+        place["_h"] = F.md5(F.coalesce(F.col(tie).cast("string"), F.lit("")))
+        share = "CAST(conv(substring(_h, 1, 8), 16, 10) AS DOUBLE) / 4294967296D"
+        sub, spread = f"CAST(floor({share} * _same) AS INT)", f"CAST(floor({share} * {buckets}) AS INT)"
     # Never null, and said so: otherwise the join below adds a null filter that evaluates it again.
-    code = F.expr(f"coalesce(_above * {2 * buckets} + CASE WHEN _same > 0 THEN 1 + {sub} ELSE 0 END, 0)")
+    last = 2 * buckets * buckets
+    code = F.expr(f"coalesce(IF(_k IS NULL, {last} + {spread}, _above * {2 * buckets} + CASE WHEN _same > 0 THEN 1 + {sub} ELSE 0 END), 0)")
     coded = coded.withColumns(place).withColumn("_code", code).drop("_bounds", "_upto", "_below", "_above", "_same")
-    return coded, [F.desc("_k")] + ([F.asc("_h"), F.asc(tie)] if tie else [])
+    inside = F.desc_nulls_last("_v") if descending else F.asc_nulls_last("_v")
+    return coded, [inside] + ([F.asc("_h"), F.asc(tie)] if tie else [])
 
 
 def _code_by_hash(df: DataFrame, key: str, seed: int | str) -> tuple[DataFrame, list[Column]]:
-    """The hash is uniform, so its first three digits (4096 values) are already balanced buckets."""
-    coded = df.withColumn("_h", hash_key(key, seed)).withColumn("_code", F.coalesce(F.substring("_h", 1, 3), F.lit("")))
+    """The hash is uniform, so its first digits (three or more, by the session's partitions) are already balanced buckets."""
+    digits = 3 if default_buckets(df) <= 4096 else 4
+    coded = df.withColumn("_h", hash_key(key, seed)).withColumn("_code", F.coalesce(F.substring("_h", 1, digits), F.lit("")))
     return coded, [F.asc("_h"), F.asc(key)]
 
 
 def _with_offsets(coded: DataFrame, group: list[str], values: dict[str, Column]) -> DataFrame:
     """Add for each value the sum over earlier buckets (_o_), over the own bucket (_b_) and over the group (_total).
 
-    One row per bucket is broadcast: at most ``2 * buckets`` (or 4096) rows for each group.
+    One row per bucket and group is joined; it is broadcast where the groups were counted to be few.
     """
     sums = coded.groupBy(*group, "_code").agg(*[F.sum(v).alias(f"_b_{n}") for n, v in values.items()])
     whole = Window.partitionBy(*group)
@@ -76,7 +113,7 @@ def _with_offsets(coded: DataFrame, group: list[str], values: dict[str, Column])
             F.sum(f"_b_{n}").over(whole).alias(f"{n}_total"),
         )
     ])
-    return coded.join(F.broadcast(offsets), [*group, "_code"])
+    return join_null_safe(coded, _hint(coded, group)(offsets), [*group, "_code"])
 
 
 def _add_prefix(placed: DataFrame, group: list[str], within: list[Column], values: dict[str, Column]) -> DataFrame:
@@ -84,7 +121,7 @@ def _add_prefix(placed: DataFrame, group: list[str], within: list[Column], value
     out = placed.withColumns({
         n: F.coalesce(F.sum(v).over(before), F.lit(0)) + F.col(f"_o_{n}") for n, v in values.items()
     })
-    return out.drop("_k", "_h", "_code", *[f"{p}{n}" for n in values for p in ("_o_", "_b_")])
+    return out.drop("_k", "_v", "_h", "_code", *[f"{p}{n}" for n in values for p in ("_o_", "_b_")])
 
 
 def prefix_sums(
@@ -100,8 +137,8 @@ def prefix_sums(
 ) -> DataFrame:
     """Add, per row, the sums of ``values`` over all rows before it (exclusive) within its group.
 
-    ``group`` must be a short list of values (models, features, splits): boundaries and bucket totals
-    are broadcast. ``tie`` is a unique id; without it equal sort values must not occur in a group.
+    Groups may be null and many: boundaries and bucket totals are broadcast only where the groups were counted
+    to be few (models, features, splits), else joined by a shuffle. ``tie`` is a unique id; without it equal sort values must not occur in a group.
     Totals come back as ``<name>_total``. When ``df`` is itself an aggregate, ``sample_of`` is the table
     below it: the boundaries then come from one pass that combines on the map side, without a shuffle
     of their own. ``needed`` is a condition on the bucket (_o_, _b_, _total columns): rows of other
@@ -167,7 +204,7 @@ def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts
     clear = placed.where(~split).withColumn(out, passed(start + 1))
     row = F.row_number().over(Window.partitionBy(*group, "_code").orderBy(*within))
     edge = placed.where(split).withColumn("_at", start + row).withColumn(out, passed(F.col("_at"))).drop("_at")
-    spare = [c for c in ("_k", "_h", "_code", "_o__before", "_b__before", "n_rows") if c in placed.columns]
+    spare = [c for c in ("_k", "_v", "_h", "_code", "_o__before", "_b__before", "n_rows") if c in placed.columns]
     return clear.unionByName(edge).drop(*spare)
 
 

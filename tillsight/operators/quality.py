@@ -10,6 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..config import NULL_RATE_MAX, REQUIRED_FEATURES, SUITE_PASS_SCORE
+from ..functions.exprs import missing
 
 
 class ValidationFailed(ValueError):
@@ -45,10 +46,10 @@ class Expectation:
         """True for a row that breaks the rule. Nulls break every rule with a bound, a pattern or a set."""
         c = F.col(self.column) if self.column else None
         if self.kind == "not_null":
-            return c.isNull()
+            return missing(c)
         if self.kind == "between":
             lo, hi = self.args.get("min_value"), self.args.get("max_value")
-            ok = F.lit(True)
+            ok = F.lit(True) if lo is None and hi is None else ~missing(c)
             if lo is not None:
                 ok = ok & F.coalesce(c >= F.lit(lo), F.lit(False))
             if hi is not None:
@@ -135,7 +136,7 @@ def feature_counters(df: DataFrame) -> DataFrame:
         (
             F.count(F.lit(1)) - F.countDistinct(key) - F.coalesce(F.max(c(key).isNull().cast("int")), F.lit(0))
         ).alias("duplicate_ids"),
-        *[F.count_if(c(name).isNull()).alias(f"null_{name}") for name in REQUIRED_FEATURES],
+        *[F.count_if(missing(c(name))).alias(f"null_{name}") for name in REQUIRED_FEATURES],
         count_if(c("recency_days") < 0).alias("bad_recency"),
         F.min(F.when(c("recency_days") < 0, c("recency_days").cast("double"))).alias("worst_recency"),
         count_if(c("frequency") < 1).alias("bad_frequency"),
@@ -248,7 +249,7 @@ OUTPUT_COLUMNS = ["customer_id", "segment_id", "propensity_score", "scored_at",
 def output_counters(df: DataFrame) -> DataFrame:
     """Rows, null cells over all columns and out-of-range scores of a score table."""
     p = F.col("propensity_score")
-    nulls = [F.count_if(F.col(c).isNull()) for c in df.columns]
+    nulls = [F.count_if(missing(F.col(c))) for c in df.columns]
     total = nulls[0]
     for x in nulls[1:]:
         total = total + x

@@ -6,11 +6,11 @@ import math
 from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.storagelevel import StorageLevel
 
-from ..functions.exprs import num
+from ..functions.exprs import num, scalar_of
+from ..session import materialise
 from .features import KEY
 from .ordinal import hash_ordinal
 
@@ -118,7 +118,7 @@ def silhouette(df: DataFrame, cols: list[str], segment: str = "segment_id", samp
     rows = standardise(df, cols) if scaled else df
     placed = hash_ordinal(rows, key, seed, first=sample)
     points = placed.select(F.col(segment).cast("int").alias("s"), *[F.col(c).cast("double").alias(c) for c in cols])
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
+    points = materialise(points, "silhouette-sample")
     spark = df.sparkSession
     held = points.toPandas()  # at most ``sample`` rows
     matrix, seg = held[cols].to_numpy(dtype=float), held["s"].to_numpy()
@@ -152,10 +152,26 @@ def silhouette(df: DataFrame, cols: list[str], segment: str = "segment_id", samp
     return per.agg(F.count(F.lit(1)).alias("n_sample"), F.avg("value").alias("silhouette"))
 
 
-def silhouette_squared(df: DataFrame, cols: list[str], segment: str = "segment_id") -> float:
-    """Silhouette with squared distances over all rows, in linear time; its values differ from :func:`silhouette`."""
-    ready = VectorAssembler(inputCols=cols, outputCol="features").transform(df).withColumn("prediction", F.col(segment).cast("int"))
-    return ClusteringEvaluator(featuresCol="features").evaluate(ready)
+def silhouette_squared(df: DataFrame, cols: list[str], segment: str = "segment_id") -> DataFrame:
+    """Mean silhouette with squared distances over all rows, as one row (n_points, silhouette).
+
+    A point's mean squared distance to a segment follows from the segment's count, sums and sum of squares, so two passes
+    do, however many rows there are; what is sent to every task is one row a segment. A point alone in its segment counts as 0.
+    Its values differ from :func:`silhouette`, which takes plain distances.
+    """
+    square = sum((F.col(c) * F.col(c) for c in cols), F.lit(0.0))
+    totals = df.groupBy(F.col(segment).alias("k")).agg(
+        F.count(F.lit(1)).cast("double").alias("n"), F.sum(square).alias("q"), *[F.sum(c).alias(f"s{i}") for i, c in enumerate(cols)])
+    every = totals.agg(F.collect_list(F.struct("*")).alias("t"))
+    rows = df.withColumns({"_t": scalar_of(every), "_x2": square, "_own": F.col(segment)})
+    dot = " + ".join(f"{c} * t.s{i}" for i, c in enumerate(cols))
+    sum_to = f"greatest(t.q + t.n * _x2 - 2 * ({dot}), 0D)"
+    rows = rows.select(
+        F.expr("filter(_t, t -> t.k <=> _own)[0].n").alias("n_own"),
+        F.expr(f"array_max(transform(filter(_t, t -> t.k <=> _own), t -> {sum_to} / greatest(t.n - 1, 1D)))").alias("a"),
+        F.expr(f"array_min(transform(filter(_t, t -> NOT (t.k <=> _own)), t -> {sum_to} / t.n))").alias("b"))
+    value = F.expr("CASE WHEN n_own = 1 THEN 0D ELSE coalesce(try_divide(b - a, greatest(a, b)), 0D) END")
+    return rows.agg(F.count(F.lit(1)).alias("n_points"), F.avg(value).alias("silhouette"))
 
 
 def segmentation_summary(sil: DataFrame, sizes: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.storagelevel import StorageLevel
 
 from .features import KEY, fill
@@ -139,14 +139,27 @@ def _draw(space: dict[str, Any], rng: random.Random) -> dict[str, Any]:
     return point
 
 
-# Search spaces. Fixed values.
+# Search spaces. Fixed values; a depth without bound is Spark's largest, 30. ``c`` is the inverse penalty per row.
 SPACES = {
-    "lr": {"reg": ("log", 1e-5, 1e-1), "balanced": [True, False]},
+    "lr": {"c": ("log", 1e-3, 1e2), "balanced": [True, False]},
     "dt": {"max_depth": (2, 7), "min_leaf": (2, 19), "balanced": [True, False]},
-    "rf": {"n_trees": (50, 199), "max_depth": [5, 8, 12], "min_leaf": (1, 14), "subset": ["sqrt", "log2"], "balanced": [True, False]},
+    "rf": {"n_trees": (50, 199), "max_depth": [5, 8, 30], "min_leaf": (1, 14), "subset": ["sqrt", "log2"], "balanced": [True, False]},
 }
 
 
+def _with_penalty(params: dict[str, Any], n: int) -> dict[str, Any]:
+    """Turns ``c`` into the penalty ``reg`` = 1 / (c * rows) that Spark's averaged loss takes."""
+    return {**{k: v for k, v in params.items() if k != "c"}, **({"reg": 1.0 / (params["c"] * n)} if "c" in params else {})}
+
+
+def _fold_auc(builder: Builder, train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, params: dict[str, Any]) -> float:
+    """AUC on the test part; 0 where the training part has one class only (or no row) or the test part has no row."""
+    n, low, high = train.agg(F.count(label), F.min(label), F.max(label)).first()
+    if low == high or test.isEmpty():
+        return 0.0
+    return model_auc(fit(builder, train, cols, label, **_with_penalty(params, n)), test, label)
+
+
 def random_search(builder: Builder, df: DataFrame, cols: Sequence[str], date_col: str, space: dict[str, Any],
                   n: int = 10, n_folds: int = 5, gap: int = 7, label: str = "label", seed: int = 42):
     """Randomised search on forward-chaining folds.
@@ -164,17 +177,14 @@ def random_search(builder: Builder, df: DataFrame, cols: Sequence[str], date_col
             for k in range(1, n_folds + 1):
                 part = folds.where(F.col("fold") == k)
                 train, test = part.where("role = 'train'"), part.where("role = 'test'")
-                try:
-                    aucs.append(model_auc(fit(builder, train, cols, label, **params), test, label))
-                except Exception:  # a fold that cannot be fitted scores 0
-                    aucs.append(0.0)
+                aucs.append(_fold_auc(builder, train, test, cols, label, params))
             mean = sum(aucs) / len(aucs)
             std = math.sqrt(sum((a - mean) ** 2 for a in aucs) / len(aucs))
             trials.append((trial, mean, std, {k: str(v) for k, v in params.items()}, params))
     finally:
         folds.unpersist()
     best = max(trials, key=lambda t: (t[1], -t[0]))
-    model = fit(builder, df, cols, label, **best[4])
+    model = fit(builder, df, cols, label, **_with_penalty(best[4], df.count()))
     table = df.sparkSession.createDataFrame(
         [t[:4] for t in trials], "trial int, mean_auc double, cv_std double, params map<string,string>"
     )
@@ -187,8 +197,8 @@ def stack(train: DataFrame, cols: Sequence[str], members: dict[str, tuple[Builde
 
     Returns a function that scores a DataFrame. Members are refitted on all rows for scoring.
     """
-    placed = hash_ordinal(train.select(KEY, label, *cols), KEY, seed)
-    placed = placed.withColumn("_fold", (F.col("ordinal") % folds).cast("int")).drop("ordinal", "n_rows")
+    # Members of folds need no order: the hash's remainder deals them without a sort.
+    placed = train.select(KEY, label, *cols).withColumn("_fold", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed)), F.lit(folds)).cast("int"))
     placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         parts = []
@@ -229,8 +239,7 @@ def learning_curve(builder: Builder, df: DataFrame, cols: Sequence[str], shares:
             for share in shares:
                 train = rest.where(F.col("ordinal") <= F.lit(int(n * share)))
                 model = fit(builder, train, cols, label, **params)
-                size = int(n * share * (folds - 1) / folds)
-                rows.append((model_name, size, f, model_auc(model, train, label), model_auc(model, val, label)))
+                rows.append((model_name, train.count(), f, model_auc(model, train, label), model_auc(model, val, label)))
     finally:
         placed.unpersist()
     return df.sparkSession.createDataFrame(rows, "model string, train_size int, fold int, train_auc double, val_auc double")
@@ -259,13 +268,13 @@ def loss_curve(train: DataFrame, val: DataFrame, cols: Sequence[str], label: str
     return train.sparkSession.createDataFrame(rows, "round int, train_loss double, val_loss double")
 
 
-def calibrate(val: DataFrame, score: str = "propensity_score", label: str = "label") -> IsotonicRegressionModel:
+def calibrate(val: DataFrame, score: str = "propensity_score", label: str = "label", digits: int | None = None) -> IsotonicRegressionModel:
     """Isotonic regression of the label on the score.
 
-    Rows with the same score to six digits are one weighted point (their fit is the same), so at most
-    a million points enter, whatever the number of customers.
+    Rows with exactly the same score are one weighted point, which changes nothing. ``digits`` rounds the scores first: a coarser fit
+    for scores with very many distinct values, off unless asked for.
     """
-    points = val.groupBy(F.round(score, 6).alias("features")).agg(
+    points = val.groupBy((F.col(score).cast("double") if digits is None else F.round(score, digits)).alias("features")).agg(
         F.avg(F.col(label).cast("double")).alias("label"), F.count(F.lit(1)).cast("double").alias("weight")
     )
     return IsotonicRegression(weightCol="weight").fit(points)
@@ -286,7 +295,7 @@ def load_model(path: str) -> PipelineModel:
 
 
 __all__ = [
-    "Builder", "GBT_PRESETS", "SPACES", "SparkSession", "apply_calibration", "apply_model", "calibrate", "class_weights",
+    "Builder", "GBT_PRESETS", "SPACES", "apply_calibration", "apply_model", "calibrate", "class_weights",
     "curve_summary", "dt", "fit", "fit_dt", "fit_gbt", "fit_lr", "fit_rf", "gbt", "learning_curve", "load_model",
     "loss_curve", "lr", "model_auc", "random_search", "rf", "save_model", "stack", "sweep",
 ]

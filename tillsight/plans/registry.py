@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.exprs import half_up, hash_uniform
+from ..functions.exprs import half_up, hash_uniform, scalar_of
 from ..operators import features as fe
 from ..operators.segments import SegmentModel, assign
 from ..session import materialise
@@ -123,7 +123,6 @@ MODEL_STRENGTH = {
     "voting_ensemble": (0.318, 0.008),
     "stacking_ensemble": (0.35, 0.01),
 }
-CATEGORIES = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD"]
 
 
 def customer_labels(spark: SparkSession, d: str) -> DataFrame:
@@ -131,7 +130,9 @@ def customer_labels(spark: SparkSession, d: str) -> DataFrame:
     sliced = fe.window_slices(rt(spark, d), **ad.RETAIL_BOUNDS)
     every = sliced.groupBy("customer_id").agg(F.max(F.when(F.col("in_test_labels"), 1).otherwise(0)).alias("_any"))
     bought = sliced.where("in_test_labels").select("customer_id", F.col("category").alias("experiment")).distinct()
-    grid = every.select("customer_id", F.explode(F.array(*[F.lit(c) for c in CATEGORIES])).alias("experiment"))
+    # Every category that occurs; a short list.
+    categories = sliced.where("category IS NOT NULL").agg(F.sort_array(F.collect_set("category")).alias("c"))
+    grid = every.select("customer_id", F.explode(scalar_of(categories)).alias("experiment"))
     return grid.join(bought.withColumn("label", F.lit(1)), ["customer_id", "experiment"], "left").withColumn(
         "label", F.coalesce("label", F.lit(0))
     )
@@ -221,7 +222,7 @@ cte("score_log", f"""SELECT o_orderkey AS log_id, 'CUST-' || o_custkey AS custom
   CAST(o_orderkey % 3 AS INTEGER) AS segment_id, o_orderdate AS scored_at, '1.0.0' AS model_version FROM orders""")
 cte("rtd", """SELECT *, CAST(date_diff('day', (SELECT min(CAST("timestamp" AS DATE)) FROM rt), CAST("timestamp" AS DATE)) AS INTEGER) AS day FROM rt""")
 cte("customer_labels", f"""SELECT g.customer_id, g.experiment, CASE WHEN b.customer_id IS NULL THEN 0 ELSE 1 END AS label
-  FROM (SELECT customer_id, unnest([{names_sql(CATEGORIES)}]) AS experiment FROM (SELECT DISTINCT customer_id FROM rt)) g
+  FROM (SELECT customer_id, experiment FROM (SELECT DISTINCT customer_id FROM rt) CROSS JOIN (SELECT DISTINCT category AS experiment FROM rt)) g
   LEFT JOIN (SELECT DISTINCT customer_id, category FROM rtd WHERE day > {ad.RETAIL_BOUNDS['labels_end']}) b
   ON g.customer_id = b.customer_id AND g.experiment = b.category""")
 _MODELS = ", ".join(f"('{m}', ({w!r})::DOUBLE, ({x!r})::DOUBLE)" for m, (w, x) in MODEL_STRENGTH.items())

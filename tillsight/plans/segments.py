@@ -44,10 +44,21 @@ def _(spark, d):
     return rounded(sg.silhouette(scored(spark, d), API9, sample=1000), silhouette=6)
 
 
-@query("m4_silhouette_squared")
+_X2 = " + ".join(f"{c} * {c}" for c in API9)
+_DOT = " + ".join(f"p.{c} * t.s_{c}" for c in API9)
+cte("sil_totals", f"SELECT segment_id AS k, count(*) AS n, sum({_X2}) AS q, {', '.join(f'sum({c}) AS s_{c}' for c in API9)} FROM standardised GROUP BY 1")
+cte("sil_squared", f"""SELECT count(*) AS n_points, avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS silhouette FROM (
+  SELECT customer_id, max(n) FILTER (WHERE k = segment_id) AS own_n, max(total / greatest(n - 1, 1)) FILTER (WHERE k = segment_id) AS a, min(total / n) FILTER (WHERE k <> segment_id) AS b
+  FROM (SELECT p.customer_id, p.segment_id, t.k, t.n, greatest(t.q + t.n * ({_X2}) - 2 * ({_DOT}), 0) AS total FROM standardised p CROSS JOIN sil_totals t) GROUP BY customer_id)""")
+
+
+def _silhouette(spark, d):
+    return sg.silhouette_squared(sg.standardise(scored(spark, d), API9), API9)
+
+
+@query("m4_silhouette_squared", sql(f"SELECT n_points, {r('silhouette', 6)} AS silhouette FROM sil_squared"))
 def _(spark, d):
-    s = sg.standardise(scored(spark, d), API9)
-    return spark.createDataFrame([(sg.silhouette_squared(s, API9),)], "silhouette double")
+    return rounded(_silhouette(spark, d), silhouette=6)
 
 
 cte("sizes", "SELECT max(n) / sum(n) AS max_share, min(n) / sum(n) AS min_share FROM (SELECT count(*) AS n FROM scored GROUP BY segment_id)")
@@ -55,10 +66,10 @@ cte("sizes", "SELECT max(n) / sum(n) AS max_share, min(n) / sum(n) AS min_share
 
 @query("m6_segmentation_gates", sql("""SELECT CASE WHEN round(silhouette, 6) < 0.25 THEN 'silhouette_score' WHEN max_share > 0.6 THEN 'dominant_cluster' WHEN min_share <= 0.01 THEN 'tiny_cluster' END AS gate_name,
   CASE WHEN round(silhouette, 6) < 0.25 THEN round(silhouette, 4) WHEN max_share > 0.6 THEN round(max_share, 4) WHEN min_share <= 0.01 THEN round(min_share, 4) END AS actual_value,
-  NOT (round(silhouette, 6) < 0.25 OR max_share > 0.6 OR min_share <= 0.01) AS passed FROM sil CROSS JOIN sizes"""))
+  NOT (round(silhouette, 6) < 0.25 OR max_share > 0.6 OR min_share <= 0.01) AS passed FROM sil_squared CROSS JOIN sizes"""))
 def _(spark, d):
     s = scored(spark, d)
-    row = sg.segmentation_summary(sg.silhouette(s, API9, sample=1000), fe.segment_sizes(s))
+    row = sg.segmentation_summary(_silhouette(spark, d), fe.segment_sizes(s))
     return se.segmentation_gates(row).select("failure.gate_name", "failure.actual_value", "passed")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
@@ -47,7 +48,9 @@ def read_reference(spark: SparkSession, path: str) -> DataFrame:
     try:
         ref = spark.read.schema("feature string, value double").parquet(path)
         empty = ref.isEmpty()
-    except Exception as exc:
+    except AnalysisException as exc:
+        if exc.getCondition() != "PATH_NOT_FOUND":
+            raise
         raise EmptySource(f"reference distributions not found at {path}") from exc
     if empty:
         raise EmptySource(f"reference distributions at {path} are empty; training must write them")
