@@ -77,10 +77,10 @@ def test_text(spark):
         ("c", 0.5, 1.0, 99.0, 350.5, 0.6, [f("monetary", "negative")]), ("d", 0.5, 1.0, 99.0, 350.5, 0.6, []),
     ], schema)
     got = {k: r["explanation"] for k, r in by(sc.explanation_text(df, ["frequency", "recency_days", "monetary", "online_ratio"])).items()}
-    start = "This customer received a propensity score of "
-    assert got["a"] == start + "0.42 primarily because their purchase frequency (25 visits) is above average and they shopped recently (10 days ago)."
-    assert got["b"] == start + "0.50 primarily because their last purchase was 99 days ago, above the average and their online shopping ratio (60%) is below average."
-    assert got["c"] == start + "0.50 primarily because their total spend (£350.50) is below average."
+    start = "Score "
+    assert got["a"] == start + "0.42: visits 25 (above average), days since last purchase 10 (below average)."
+    assert got["b"] == start + "0.50: days since last purchase 99 (above average), online share 60% (below average)."
+    assert got["c"] == start + "0.50: spend £350.50 (below average)."
     assert got["d"] == start + "0.50."
 
 

@@ -49,7 +49,7 @@ LIFT_WARN = 1.0
 SUITE_PASS_SCORE = 0.95
 NULL_RATE_MAX = 0.05
 
-# ---- Feature lists; a model always travels with the list it was fitted on ----
+# ---- Fixed values: feature lists; a model always travels with the list it was fitted on ----
 
 SEG5 = ["recency_days", "frequency", "monetary", "avg_basket_size", "online_ratio"]
 API9 = [
@@ -66,7 +66,7 @@ REQUIRED_FEATURES = [
     "avg_basket_size", "basket_std", "online_ratio", "active_days",
 ]
 
-# ---- Layer schemas ----
+# ---- Fixed values: layer schemas ----
 
 TRANSACTION_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.StringType(), False),
@@ -81,12 +81,6 @@ TRANSACTION_SCHEMA = T.StructType([
     T.StructField("channel", T.StringType()),
 ])
 
-BRONZE_SCHEMA = T.StructType(
-    [T.StructField("enqueued_at", T.TimestampType()), T.StructField("partition_id", T.IntegerType())]
-    + [T.StructField(f.name, f.dataType) for f in TRANSACTION_SCHEMA.fields]
-    + [T.StructField("ingest_date", T.DateType())]
-)
-
 # Flat hand-off format of transactions as CSV.
 CSV_SCHEMA = T.StructType([
     T.StructField("transaction_id", T.StringType()),

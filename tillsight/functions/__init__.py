@@ -1,7 +1,6 @@
 """Column expressions used by the operators."""
 
 from .exprs import (
-    as_date,
     clip,
     fixed,
     half_up,
@@ -17,6 +16,6 @@ from .exprs import (
 )
 
 __all__ = [
-    "as_date", "clip", "fixed", "half_up", "hash_key", "hash_uniform", "linear_bin", "num",
+    "clip", "fixed", "half_up", "hash_key", "hash_uniform", "linear_bin", "num",
     "ratio_or_zero", "scalar_of", "slug", "strip_prefix", "title",
 ]

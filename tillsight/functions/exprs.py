@@ -63,10 +63,6 @@ def linear_bin(x: str, lo: str, hi: str, bins: int) -> Column:
     return F.expr(" + ".join(f"CAST({x} >= {lo} + {num(i)} * {step} AS INT)" for i in range(1, bins)))
 
 
-def as_date(c: str | Column) -> Column:
-    return F.to_date(_col(c))
-
-
 def scalar_of(df: DataFrame) -> Column:
     """A one-row one-column DataFrame as a scalar subquery: no collect, no cross join."""
     return df.scalar()

@@ -150,14 +150,14 @@ def validate_features(df: DataFrame, null_rate_max: float = NULL_RATE_MAX) -> di
     missing = [c for c in REQUIRED_FEATURES if c not in df.columns]
     if missing:
         if df.isEmpty():
-            raise ValidationFailed("feature table is empty: nothing to validate or score")
+            raise ValidationFailed("no rows in the feature table")
         raise ValidationFailed("missing required column: " + ", ".join(missing))
     seen = feature_counters(df).first().asDict()
     n = seen["n_rows"]
     if n == 0:
-        raise ValidationFailed("feature table is empty: nothing to validate or score")
+        raise ValidationFailed("no rows in the feature table")
     if seen["duplicate_ids"] > 0:
-        raise ValidationFailed(f"duplicate customer_id found: {seen['duplicate_ids']} duplicate(s)")
+        raise ValidationFailed(f"duplicate customer_id in {seen['duplicate_ids']} rows")
     rates = {c: seen[f"null_{c}"] / n for c in REQUIRED_FEATURES}
     for name, rate in rates.items():
         if rate > null_rate_max:
@@ -165,13 +165,13 @@ def validate_features(df: DataFrame, null_rate_max: float = NULL_RATE_MAX) -> di
                 f"null rate exceeds threshold for '{name}': {rate:.1%} (threshold={null_rate_max:.1%})"
             )
     if seen["bad_recency"]:
-        raise ValidationFailed(f"recency_days must be >= 0, found value: {seen['worst_recency']}")
+        raise ValidationFailed(f"negative recency_days, down to {seen['worst_recency']}")
     if seen["bad_frequency"]:
-        raise ValidationFailed("frequency must be >= 1")
+        raise ValidationFailed("frequency below 1")
     if seen["bad_monetary"]:
-        raise ValidationFailed("monetary must be > 0")
+        raise ValidationFailed("monetary not above 0")
     if seen["bad_online_ratio"]:
-        raise ValidationFailed("online_ratio must be between 0 and 1")
+        raise ValidationFailed("online_ratio outside 0 to 1")
     return {
         "rows_validated": n, "columns_checked": list(REQUIRED_FEATURES), "null_rates": rates,
         "validation_passed": True, "timestamp": dt.datetime.now(dt.timezone.utc),

@@ -81,26 +81,22 @@ def explain(df: DataFrame, model: SegmentModel | None, features: list[str] | Non
 
 
 def _phrase(feature: Column, value: Column, direction: Column) -> Column:
-    """Wording of one feature in a sentence."""
-    rel = F.when(direction == "positive", "above").otherwise("below")
+    """One feature in words: its name, its value, and on which side of the average it lies."""
     whole = value.cast("bigint")
     text = lambda pattern, *args: F.format_string(pattern, *args)
-    return (
-        F.when(feature == "frequency", text("their purchase frequency (%d visits) is %s average", whole, rel))
-        .when(
-            feature == "recency_days",
-            F.when(direction == "positive", text("their last purchase was %d days ago, above the average", whole))
-            .otherwise(text("they shopped recently (%d days ago)", whole)),
-        )
-        .when(feature == "monetary", text("their total spend (£%s) is %s average", fixed(value, 2), rel))
-        .when(feature == "avg_basket_size", text("their average basket size (£%s) is %s average", fixed(value, 2), rel))
-        .when(feature == "basket_std", text("their basket variability (£%s std) is %s average", fixed(value, 2), rel))
-        .when(feature == "online_ratio", text("their online shopping ratio (%s%%) is %s average", fixed(value * 100, 0), rel))
-        .when(feature == "online_txns", text("their online transaction count (%d) is %s average", whole, rel))
-        .when(feature == "instore_txns", text("their in-store transaction count (%d) is %s average", whole, rel))
-        .when(feature == "active_days", text("their activity level (%d active days) is %s average", whole, rel))
-        .otherwise(text("their %s (%s) is %s average", F.translate(feature, "_", " "), fixed(value, 2), rel))
+    name = (
+        F.when(feature == "frequency", text("visits %d", whole))
+        .when(feature == "recency_days", text("days since last purchase %d", whole))
+        .when(feature == "monetary", text("spend £%s", fixed(value, 2)))
+        .when(feature == "avg_basket_size", text("mean basket £%s", fixed(value, 2)))
+        .when(feature == "basket_std", text("basket spread £%s", fixed(value, 2)))
+        .when(feature == "online_ratio", text("online share %s%%", fixed(value * 100, 0)))
+        .when(feature == "online_txns", text("online orders %d", whole))
+        .when(feature == "instore_txns", text("store orders %d", whole))
+        .when(feature == "active_days", text("days with a purchase %d", whole))
+        .otherwise(text("%s %s", F.translate(feature, "_", " "), fixed(value, 2)))
     )
+    return F.concat(name, F.when(direction == "positive", F.lit(" (above average)")).otherwise(F.lit(" (below average)")))
 
 
 def explanation_text(df: DataFrame, features: list[str]) -> DataFrame:
@@ -112,11 +108,11 @@ def explanation_text(df: DataFrame, features: list[str]) -> DataFrame:
         item = F.get("top_features", i)
         return _phrase(item["feature"], F.try_element_at("_v", item["feature"]), item["direction"])
 
-    start = F.format_string("This customer received a propensity score of %s", fixed("propensity_score", 2))
+    start = F.format_string("Score %s", fixed("propensity_score", 2))
     count = F.size("top_features")
     out = (
-        F.when(count >= 2, F.concat(start, F.lit(" primarily because "), part(0), F.lit(" and "), part(1), F.lit(".")))
-        .when(count == 1, F.concat(start, F.lit(" primarily because "), part(0), F.lit(".")))
+        F.when(count >= 2, F.concat(start, F.lit(": "), part(0), F.lit(", "), part(1), F.lit(".")))
+        .when(count == 1, F.concat(start, F.lit(": "), part(0), F.lit(".")))
         .otherwise(F.concat(start, F.lit(".")))
     )
     return with_values.withColumn("explanation", out).drop("_v")

@@ -47,7 +47,7 @@ def _(spark, d):
 def _(spark, d):
     path = _new_path(spark, "bronze")
     writers.overwrite(_events_with_date(spark, d), path, ["ingest_date"])
-    return readers.read_lookback(readers.read_table(spark, path), "ingest_date", 7, ad.EVENTS_SNAPSHOT, check=False)
+    return readers.read_lookback(readers.read_table(spark, path), "ingest_date", 7, ad.EVENTS_SNAPSHOT)
 
 
 @query("s4_read_txn_csv", sql("""SELECT transaction_id, customer_id, persona, CAST(ingest_date AS TIMESTAMP) AS date, category, channel,

@@ -89,12 +89,12 @@ def _(spark, d):
 
 
 cte("gated", f"""SELECT *, CASE WHEN model <> 'logistic_regression' AND round(test_auc - lr, 4) < 0.03e0
-    THEN printf('baseline gate — gain %.4f < required 0.03 over logistic_regression baseline', round(test_auc - lr, 4))
-  WHEN round(train_auc - test_auc, 4) >= 0.08e0 THEN printf('overfit gate — train-test gap %.3f >= 0.08', round(train_auc - test_auc, 4))
-  WHEN lift_at_decile1 < 2.5e0 THEN printf('lift gate — lift %.2f < 2.5', lift_at_decile1)
-  WHEN cv_std >= 0.03e0 THEN printf('stability gate — cv_std %.3f >= 0.030', cv_std)
+    THEN printf('baseline gate: %.4f more AUC than logistic_regression, 0.03 asked for', round(test_auc - lr, 4))
+  WHEN round(train_auc - test_auc, 4) >= 0.08e0 THEN printf('overfit gate: training AUC %.3f above test AUC, limit 0.08', round(train_auc - test_auc, 4))
+  WHEN lift_at_decile1 < 2.5e0 THEN printf('lift gate: top decile lift %.2f, 2.5 asked for', lift_at_decile1)
+  WHEN cv_std >= 0.03e0 THEN printf('stability gate: fold deviation %.3f, limit 0.030', cv_std)
   WHEN model IN ({names_sql(ENSEMBLES)}) AND round(test_auc - single, 4) < 0.015e0
-    THEN printf('ensemble justification — AUC gain %.4f < required 0.015 over best single model', round(test_auc - single, 4)) ELSE '' END AS reason
+    THEN printf('ensemble gate: %.4f more AUC than the best single model, 0.015 asked for', round(test_auc - single, 4)) ELSE '' END AS reason
   FROM (SELECT *, coalesce(max(test_auc) FILTER (WHERE model = 'logistic_regression') OVER p, 0) AS lr,
     max(test_auc) FILTER (WHERE model NOT IN ({names_sql(ENSEMBLES)})) OVER p AS single FROM metrics WINDOW p AS (PARTITION BY experiment))""")
 _ORDER = "CASE model " + " ".join(f"WHEN '{m}' THEN {i}" for i, m in enumerate(COMPLEXITY_ORDER)) + " ELSE 99 END"
@@ -117,10 +117,10 @@ def _(spark, d):
 
 
 @query("g4_selection_report", sql("""SELECT g.experiment, g.n_approved, c.selected_model, g.rejected,
-  CASE WHEN g.n_approved = 0 THEN NULL WHEN g.n_approved = 1 THEN 'Only model passing all quality gates.'
-   WHEN round(g.best - c.selected_auc, 4) <= 0.01e0 THEN printf('Occam''s razor tiebreaker: %s selected over higher-AUC models because gap of %.4f is within 0.01 tolerance. Simpler model preferred for interpretability.', c.selected_model, round(g.best - c.selected_auc, 4))
-   ELSE printf('Highest test AUC among approved models: %.4f', c.selected_auc) END AS selection_reason,
-  CASE WHEN g.n_approved = 0 THEN 'no model passed all quality gates. Failures: ' || g.rejected END AS error
+  CASE WHEN g.n_approved = 0 THEN NULL WHEN g.n_approved = 1 THEN 'One model passed every gate.'
+   WHEN round(g.best - c.selected_auc, 4) <= 0.01e0 THEN printf('Occam: %s is the simplest model within 0.01 of the best AUC, %.4f below it', c.selected_model, round(g.best - c.selected_auc, 4))
+   ELSE printf('Best test AUC of the approved models: %.4f', c.selected_auc) END AS selection_reason,
+  CASE WHEN g.n_approved = 0 THEN 'no model passed: ' || g.rejected END AS error
   FROM (SELECT experiment, count(*) FILTER (WHERE reason = '') AS n_approved, max(test_auc) FILTER (WHERE reason = '') AS best,
     coalesce(string_agg(model || ': ' || reason, '; ' ORDER BY model) FILTER (WHERE reason <> ''), '') AS rejected FROM gated GROUP BY 1) g LEFT JOIN chosen c USING (experiment)"""))
 def _(spark, d):

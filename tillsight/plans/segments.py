@@ -99,20 +99,19 @@ def _(spark, d):
     return e.select("customer_id", (F.col("place") + 1).alias("place"), "t.feature", "t.impact", "t.direction")
 
 
-_REL = "CASE WHEN direction = 'positive' THEN 'above' ELSE 'below' END"
-_PH = f"""CASE feature WHEN 'frequency' THEN printf('their purchase frequency (%d visits) is %s average', CAST(trunc(value) AS BIGINT), {_REL})
-  WHEN 'recency_days' THEN CASE WHEN direction = 'positive' THEN printf('their last purchase was %d days ago, above the average', CAST(trunc(value) AS BIGINT)) ELSE printf('they shopped recently (%d days ago)', CAST(trunc(value) AS BIGINT)) END
-  WHEN 'monetary' THEN printf('their total spend (£%.2f) is %s average', value, {_REL}) WHEN 'avg_basket_size' THEN printf('their average basket size (£%.2f) is %s average', value, {_REL})
-  WHEN 'basket_std' THEN printf('their basket variability (£%.2f std) is %s average', value, {_REL}) WHEN 'online_ratio' THEN printf('their online shopping ratio (%.0f%%) is %s average', value * 100, {_REL})
-  WHEN 'online_txns' THEN printf('their online transaction count (%d) is %s average', CAST(trunc(value) AS BIGINT), {_REL}) WHEN 'instore_txns' THEN printf('their in-store transaction count (%d) is %s average', CAST(trunc(value) AS BIGINT), {_REL})
-  WHEN 'active_days' THEN printf('their activity level (%d active days) is %s average', CAST(trunc(value) AS BIGINT), {_REL}) END"""
+_REL = "CASE WHEN direction = 'positive' THEN ' (above average)' ELSE ' (below average)' END"
+_WHOLE = "CAST(trunc(value) AS BIGINT)"
+_PH = f"""CASE feature WHEN 'frequency' THEN printf('visits %d', {_WHOLE}) WHEN 'recency_days' THEN printf('days since last purchase %d', {_WHOLE})
+  WHEN 'monetary' THEN printf('spend £%.2f', value) WHEN 'avg_basket_size' THEN printf('mean basket £%.2f', value) WHEN 'basket_std' THEN printf('basket spread £%.2f', value)
+  WHEN 'online_ratio' THEN printf('online share %.0f%%', value * 100) WHEN 'online_txns' THEN printf('online orders %d', {_WHOLE})
+  WHEN 'instore_txns' THEN printf('store orders %d', {_WHOLE}) WHEN 'active_days' THEN printf('days with a purchase %d', {_WHOLE}) END || {_REL}"""
 
 
 # Two-digit amounts may sit on an exact half, which printers round differently; the text query rounds them first.
-_PH2 = _PH.replace("%.2f) is %s average', value", "%.2f) is %s average', round(value + 1e-5, 2)").replace("%.2f std) is %s average', value", "%.2f std) is %s average', round(value + 1e-5, 2)").replace("value * 100,", "round(value * 100 + 1e-5, 0),")
+_PH2 = _PH.replace("%.2f', value)", "%.2f', round(value + 1e-5, 2))").replace("value * 100)", "round(value * 100 + 1e-5, 0))")
 
 
-@query("e4_explanation_text", sql(f"""SELECT i.customer_id, printf('This customer received a propensity score of %.2f', round(any_value(s.score) + 1e-5, 2)) || ' primarily because ' || max(ph) FILTER (WHERE place = 1) || ' and ' || max(ph) FILTER (WHERE place = 2) || '.' AS explanation
+@query("e4_explanation_text", sql(f"""SELECT i.customer_id, printf('Score %.2f', round(any_value(s.score) + 1e-5, 2)) || ': ' || max(ph) FILTER (WHERE place = 1) || ', ' || max(ph) FILTER (WHERE place = 2) || '.' AS explanation
   FROM (SELECT customer_id, place, {_PH2} AS ph FROM impacts WHERE place <= 2) i JOIN (SELECT customer_id, round(least(greatest(1e0 / (1e0 + distance), 0), 1), 6) AS score FROM scored) s USING (customer_id) GROUP BY i.customer_id"""))
 def _(spark, d):
     e = explained(spark, d)

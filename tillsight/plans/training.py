@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..config import LOCAL8
+from ..config import LOCAL8, SEG5
 from ..operators import features as fe, metrics as me, segments as sg, splits as sp, training as tr
 from ..session import materialise
-from .registry import query, rt, feats
+from .registry import query, feats
 
 
 def training_set(spark, d):
     """Features of all customers with the rule label, a split and the last order date; written once."""
-    t = rt(spark, d)
+    t = spark.read.parquet(f"{d}/orders.parquet").select(
+        F.concat(F.lit("CUST-"), F.col("o_custkey").cast("string")).alias("customer_id"), F.col("o_orderdate").cast("timestamp").alias("timestamp"))
     f = materialise(feats(spark, d).drop("top_categories"), "features")
     lab = sp.label_percentile(f, noise=0.12)
     last = t.groupBy("customer_id").agg(F.max("timestamp").alias("last_transaction_date"))
@@ -36,39 +37,39 @@ def _fit_query(name, fit):
 _fit_query("t1_fit_lr", lambda train, val: tr.fit_lr(train, LOCAL8, balanced=True, reg=0.001))
 _fit_query("t2_fit_dt", lambda train, val: tr.fit_dt(train, LOCAL8, max_depth=5, min_leaf=5))
 _fit_query("t3_fit_rf", lambda train, val: tr.fit_rf(train, LOCAL8, n_trees=40, max_depth=6, min_leaf=3))
-_fit_query("t4_fit_gbt", lambda train, val: tr.fit_gbt(train, val, LOCAL8, n_rounds=15, max_depth=3, rate=0.2))
+_fit_query("t4_fit_gbt", lambda train, val: tr.fit_gbt(train, val, LOCAL8, n_rounds=50, max_depth=3, rate=0.1))
 
 
 @query("t5_random_search")
 def _(spark, d):
     train = _parts(training_set(spark, d))[0]
-    model, table = tr.random_search(tr.dt, train, LOCAL8, "last_transaction_date", tr.SPACES["dt"], n=3, n_folds=3)
+    model, table = tr.random_search(tr.dt, train, LOCAL8, "last_transaction_date", tr.SPACES["dt"], n=10, n_folds=5)
     return table.withColumn("params", F.to_json("params"))
 
 
 @query("t7_stack")
 def _(spark, d):
     train, _, test = _parts(training_set(spark, d))
-    score = tr.stack(train, LOCAL8, {"lr": (tr.lr, {"reg": 0.001}), "dt": (tr.dt, {"max_depth": 4})})
+    score = tr.stack(train, LOCAL8, {"lr": (tr.lr, {"reg": 0.001}), "rf": (tr.rf, {"n_trees": 40, "max_depth": 6}), "gbt": (tr.gbt, tr.GBT_PRESETS["xgboost"])})
     return me.rank_metrics(materialise(score(test).select("customer_id", "label", F.col("propensity_score").alias("score")), "scores"))
 
 
 @query("t8_learning_curve")
 def _(spark, d):
     train = _parts(training_set(spark, d))[0]
-    return tr.curve_summary(tr.learning_curve(tr.lr, train, LOCAL8, [0.4, 1.0], 2, model_name="logistic_regression"))
+    return tr.curve_summary(tr.learning_curve(tr.lr, train, LOCAL8, [0.2, 0.4, 0.6, 0.8, 1.0], 3, model_name="logistic_regression"))
 
 
 @query("t9_sweep")
 def _(spark, d):
     train, val, _ = _parts(training_set(spark, d))
-    return tr.sweep(tr.dt, train, val, LOCAL8, "max_depth", [2, 4, 8])
+    return tr.sweep(tr.dt, train, val, LOCAL8, "max_depth", list(range(2, 13)))
 
 
 @query("t10_loss_curve")
 def _(spark, d):
     train, val, _ = _parts(training_set(spark, d))
-    return tr.loss_curve(train, val, LOCAL8, n_rounds=8, max_depth=3)
+    return tr.loss_curve(train, val, LOCAL8, n_rounds=50, max_depth=3)
 
 
 @query("v5_calibrate")
@@ -83,5 +84,13 @@ def _(spark, d):
 @query("m2_fit_segments")
 def _(spark, d):
     f = materialise(feats(spark, d), "features")
-    model = sg.fit_segments(f, LOCAL8, k=3, restarts=3, max_iter=20)
+    model = sg.fit_segments(f, LOCAL8, k=3, restarts=10, max_iter=50)
     return fe.segment_profiles(sg.assign(f, model), ["recency_days", "frequency", "monetary"])
+
+
+@query("m2_fit_segments_published")
+def _(spark, d):
+    """Five segments on the five segmentation features."""
+    f = materialise(feats(spark, d), "features")
+    model = sg.fit_segments(f, SEG5, k=5, restarts=10, max_iter=50)
+    return fe.segment_profiles(sg.assign(f, model), SEG5)
