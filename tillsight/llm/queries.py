@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
-    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, repeats, secrets, token_files,
+    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, repeats, secrets, sql, token_files,
 )
 from tillsight.llm.common import table
 from tillsight.session import new_folder
@@ -25,7 +25,7 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op10_quality_rules")
+@query("op10_quality_rules", sql.QUALITY_RULES)
 def op10(spark, d):
     judged = quality_rules.judge(table(spark, d, "documents"), table(spark, d, "labels"))
     return judged.select(
@@ -33,11 +33,10 @@ def op10(spark, d):
         F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
-@query("op1_decontamination")
+@query("op1_decontamination", sql.DECONTAMINATION)
 def op1(spark, d):
     found = decontamination.contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
-    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
-                        "contaminated", "n_near_items")
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def _joined(spans: str, keep: str = "true"):
@@ -52,9 +51,9 @@ def op5(spark, d):
     return found.select("doc_id", *counts, F.sha2(_joined("spans", "s.base"), 256).alias("base_sha256"), _joined("spans").alias("spans"))
 
 
-@query("op4_ngram_jaccard")
+@query("op4_ngram_jaccard", sql.NGRAM_JACCARD)
 def op4(spark, d):
-    return ngram_jaccard.linked(table(spark, d, "documents"), size=3, percent=90).drop("k1", "k2", "group")
+    return ngram_jaccard.linked(table(spark, d, "documents"), size=3, percent=90).select("doc_id", "n_shingles", "component_id")
 
 
 @query("op2_token_files")
