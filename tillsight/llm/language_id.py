@@ -82,14 +82,18 @@ def fit(labelled: DataFrame, max_rows: int = 1600, landmarks: int = 240, ridge:
     Null languages, ids and texts are left out, and texts without a letter. None where nothing is left.
     """
     rows = labelled.select("doc_id", "text", "lang").where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
-    names = sorted(r.lang for r in rows.select("lang").distinct().limit(max_rows + 1).collect())
-    if len(names) > max_rows:
+    counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(max_rows + 1).collect()}
+    if len(counts) > max_rows:
         raise ValueError(f"more than max_rows = {max_rows} languages")
-    if not names:
+    if not counts:
         return None
-    each = max_rows // len(names)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text")))
-    sample = rows.withColumn("r", rank).where(F.col("r") <= each).mapInArrow(_pack, "lang string, r int, bits binary").collect()
+    each = max_rows // len(counts)
+    # A hash below a bound that about twice as many rows as wanted pass leaves few rows to rank, whatever the size of a language.
+    bounds = labelled.sparkSession.createDataFrame([(k, (2 * each + 60) / n) for k, n in counts.items()], "bl string, bound double")
+    share = F.shiftrightunsigned(F.xxhash64("doc_id"), 11) / float(1 << 53)
+    near = rows.join(F.broadcast(bounds), F.col("lang") == F.col("bl")).where(share < F.col("bound"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(share, "doc_id", F.xxhash64("text")))
+    sample = near.withColumn("r", rank).where(F.col("r") <= each).mapInArrow(_pack, "lang string, r int, bits binary").collect()
     if not sample:
         return None
     sample.sort(key=lambda r: (r.r, r.lang))
