@@ -50,6 +50,8 @@ def test_partition_writes(spark, tmp_path):
         writers.replace_partitions(spark.createDataFrame([("c", "d2", 9)], df.schema), path, ["run_date"])
     got = {(r["id"], r["run_date"], r["v"]) for r in rows(spark.read.parquet(path))}
     assert got == {("a", "d1", 1), ("c", "d2", 9)}
+    writers.replace_partitions(df.limit(0), path, ["run_date"], named=[("d2",)])  # a run without rows
+    assert {r["id"] for r in rows(spark.read.parquet(path))} == {"a"}
     writers.overwrite(df.withColumn("extra", F.lit(1)), path)  # a new schema
     assert "extra" in spark.read.parquet(path).columns
     assert writers.stage(df, str(tmp_path / "s")) == 2

@@ -19,13 +19,28 @@ def overwrite(df: DataFrame, path: str, by: list[str] | None = None) -> None:
     _balanced(df, by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    """Replace only the partitions present in ``df``; running again gives the same table."""
+def replace_partitions(df: DataFrame, path: str, by: list[str], named: list[tuple] | None = None) -> None:
+    """Replace the partitions present in ``df``; running again gives the same table.
+
+    ``named`` lists partitions (one tuple of values each) that the run stands for: those of them that ``df`` has no row of
+    are emptied, so that a run without rows does not leave an older one's behind.
+    """
     (
         _balanced(df, by).write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by).parquet(path)
     )
+    if not named:
+        return
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for values in named:
+        here = F.lit(True)
+        for column, value in zip(by, values, strict=True):
+            here = here & F.col(column).eqNullSafe(F.lit(value))
+        if df.where(here).isEmpty():
+            folder = jvm.org.apache.hadoop.fs.Path("/".join([path, *(f"{c}={v}" for c, v in zip(by, values, strict=True))]))
+            folder.getFileSystem(conf).delete(folder, True)
 
 
 def export_csv(df: DataFrame, path: str) -> None:
