@@ -36,7 +36,7 @@ def random_texts(r, n):
     return out
 
 
-@pytest.mark.parametrize("shard", [1 << 20, 300])
+@pytest.mark.parametrize("shard", [1 << 18, 40])
 def test_against_brute_force(spark, make_docs, shard):
     r = random.Random(9)
     texts = random_texts(r, 150) + [None, "", "a", "x" * 500, "xy" * 300, "y" * 39, "y" * 40, "z" * 41, "q" * 20 + "w" * 90]
@@ -56,7 +56,7 @@ def test_suffix_arrays_and_common_prefixes():
         text = bytes(r.choice(b"abc"[: r.choice([1, 2, 3])]) for _ in range(r.randrange(1, 120)))
         depth = r.choice([8, 20, 64])
         a = np.frombuffer(text, np.uint8)
-        sa = rp.suffix_array(a, depth)
+        sa, _ = rp.suffix_array(a, depth)
         assert sorted(sa.tolist()) == list(range(len(text)))
         heads = [text[i:i + depth] for i in sa.tolist()]
         assert heads == sorted(heads)

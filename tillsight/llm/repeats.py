@@ -22,8 +22,8 @@ from tillsight.llm.hashing import Runs
 from tillsight.session import materialise
 
 LENGTH, GRAM = 400, 32
-#: Bytes of one suffix array.
-SHARD = 1 << 20
+#: Bytes of one suffix array: small enough for a processor's cache. One anchor's units may fill eight times as much.
+SHARD = 1 << 18
 
 
 def units(data: bytes, length: int = LENGTH, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -64,35 +64,47 @@ def words(text: np.ndarray, pad: int = 0) -> np.ndarray:
     return key
 
 
-def suffix_array(text: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def suffix_array(text: np.ndarray, depth: int = LENGTH, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Suffixes of ``text`` (uint8) sorted by their first ``depth`` bytes at least, as if zero bytes followed the text.
 
-    Starts from eight bytes; then suffixes still tied are sorted by the rank of the suffix h bytes on, h doubling.
+    Starts from eight bytes; then suffixes still tied are sorted by the rank of the suffix h bytes on, h doubling. Where ``starts`` flags
+    the suffixes that matter, the last rounds leave out those that no such suffix refers to; their order stays coarse. Also
+    returns the ranks before the last round, by which suffixes that share less than half the rounds' reach differ.
     """
     n = len(text)
     key = words(text)[:n]
     sa = np.argsort(key)
-    # Suffixes of under eight bytes come before equal keys, by length.
     ordered = key[sa]
     new = np.append(True, ordered[1:] != ordered[:-1])
     rank = np.zeros(n + 1, dtype=np.int64)
-    rank[n] = -1
-    head = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-    rank[sa] = head
-    h = 8
-    single = new & np.append(new[1:], True)
-    slots = np.flatnonzero(~single)
-    while h < depth and len(slots):
+    rank[sa] = np.maximum.accumulate(np.where(new, np.arange(1, n + 1), 0))
+    steps = [8]
+    while 2 * steps[-1] < depth:
+        steps.append(2 * steps[-1])
+    needed = [np.ones(n, dtype=bool) if starts is None else starts]
+    for h in reversed(steps[1:]):
+        wide = needed[0].copy()
+        wide[h:] |= needed[0][:-h] if h < n else False
+        needed.insert(0, wide)
+    slots = np.flatnonzero(~(new & np.append(new[1:], True)))
+    coarse = rank
+    for h, wanted in zip(steps, needed, strict=True):
+        slots = slots[wanted[sa[slots]]] if starts is not None else slots
+        if not len(slots):
+            break
+        if h == steps[-1]:
+            coarse = rank.copy()
         tied = sa[slots]
-        group, further = rank[tied], rank[np.minimum(tied + h, n)]
-        order = np.argsort(group * (n + 1) + further + 1)
-        tied, group, further = tied[order], group[order], further[order]
+        group = rank[tied]
+        order = np.argsort(group * (n + 1) + rank[np.minimum(tied + h, n)])
+        tied, group = tied[order], group[order]
+        further = rank[np.minimum(tied + h, n)]
+        # The slots of a group that are left in this round, in turn.
         sa[slots] = tied
         new = np.append(True, (group[1:] != group[:-1]) | (further[1:] != further[:-1]))
-        rank[tied] = np.maximum.accumulate(np.where(new, slots, 0))
+        rank[tied] = np.maximum.accumulate(np.where(new, slots + 1, 0))
         slots = slots[~(new & np.append(new[1:], True))]
-        h *= 2
-    return sa
+    return sa, coarse
 
 
 def _common(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, depth: int) -> np.ndarray:
@@ -109,15 +121,18 @@ def _common(a: np.ndarray, i: np.ndarray, b: np.ndarray, j: np.ndarray, depth: i
     return out
 
 
-def neighbours(text: np.ndarray, sa: np.ndarray, depth: int = LENGTH) -> np.ndarray:
+def neighbours(text: np.ndarray, sa: np.ndarray, depth: int = LENGTH, close: np.ndarray | None = None) -> np.ndarray:
     """For each place of ``sa`` but the first, the common prefix (up to ``depth``) with the suffix before it.
 
     Kasai's rule: one byte on, a suffix has at least the common prefix less one with its own predecessor. Where the bytes before
-    the two agree it is exactly that; only the other places are compared.
+    the two agree it is exactly that; only the other places are compared. Places that are not ``close`` count as 0.
     """
     n = len(text)
     before = np.full(n, -1, dtype=np.int64)
-    before[sa[1:]] = sa[:-1]
+    if close is None:
+        before[sa[1:]] = sa[:-1]
+    else:
+        before[sa[1:][close]] = sa[:-1][close]
     at = np.arange(n)
     kept = (before > 0) & (np.append(-1, before[:-1]) == before - 1)
     kept[1:] &= text[:-1] == text[np.maximum(before[1:] - 1, 0)]
@@ -148,20 +163,21 @@ class Shard:
         self.begin = np.cumsum(sizes) - sizes
         left = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(self.text))
         self.valid = left >= length
-        self.sa = suffix_array(self.text, length)
-        same = neighbours(self.text, self.sa, length) >= length
-        # Suffixes of one run of full common prefixes are equal strings; only whole strings of one unit count.
-        run = np.cumsum(np.append(True, ~same)) - 1
-        valid = self.valid[self.sa]
-        many = np.bincount(run, weights=valid, minlength=run[-1] + 1)[run] > 1
+        sa, coarse = suffix_array(self.text, length, self.valid)
+        # Only whole strings of one unit matter. Those that were apart before the last round share less than ``length``.
+        self.sa = sa[self.valid[sa]]
+        close = coarse[self.sa[1:]] == coarse[self.sa[:-1]]
+        same = neighbours(self.text, self.sa, length, close) >= length
+        # Suffixes of one run of full common prefixes are equal strings.
+        many = np.append(same, False) | np.append(False, same)
         self.again = np.zeros(len(self.text), dtype=bool)
-        self.again[self.sa[many & valid]] = True
+        self.again[self.sa[many]] = True
 
     def merge(self, other: "Shard") -> None:
         """Marks in both the starts whose string the other has, found by binary search in its suffix array."""
         starts = np.flatnonzero(self.valid)
         a, b = words(self.text, self.length), words(other.text, self.length)
-        rows = other.sa[other.valid[other.sa]]
+        rows = other.sa
         lo, hi = np.zeros(len(starts), np.int64), np.full(len(starts), len(rows), np.int64)
         while (open_ := np.flatnonzero(lo < hi)).size:
             mid = (lo[open_] + hi[open_]) // 2
@@ -197,7 +213,7 @@ def _judge(rows: list[tuple], length: int, shard: int) -> list[tuple]:
     """rows: (anchor, full, starts, bytes) of whole anchors. (anchor, full, ranges of repeated starts) of those that have some."""
     parts, size = [[]], 0
     for r in rows:
-        if size and size + len(r[3]) > shard:
+        if size and size + len(r[3]) > 8 * shard:
             parts.append([])
             size = 0
         parts[-1].append(r)
