@@ -126,13 +126,13 @@ def _pack(path: str, kind: str, end_id: int, length: int, with_ids: bool):
             names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
 
     def run(batches):
-        from tillsight.llm.tokens import Encoder
+        from tillsight.llm.tokens import encoder
 
-        encoder = Encoder(path, kind)
+        words = encoder(path, kind)
         packer = Packer(length, TaskContext.get().partitionId() << 40)
         for b in parts(batches):
             done = []
-            for doc_id, ids in zip(b.column("doc_id").to_pylist(), encoder.encode(b.column("text").to_pylist()), strict=True):
+            for doc_id, ids in zip(b.column("doc_id").to_pylist(), words.encode(b.column("text").to_pylist()), strict=True):
                 done += packer.add(doc_id, np.append(ids, np.int32(end_id)))
             if done:
                 yield batch(done)

@@ -33,11 +33,11 @@ def _encode(path: str, kind: str, end_id: int):
     schema = pa.schema([("doc_id", pa.int64()), ("begin", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
-        from tillsight.llm.tokens import Encoder
+        from tillsight.llm.tokens import encoder
 
-        encoder, begin = Encoder(path, kind), 0
+        words, begin = encoder(path, kind), 0
         for b in parts(batches):
-            ids = [np.append(x, np.int32(end_id)) for x in encoder.encode(b.column("text").to_pylist())]
+            ids = [np.append(x, np.int32(end_id)) for x in words.encode(b.column("text").to_pylist())]
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
             begins = begin + np.cumsum(sizes) - sizes
             begin += int(sizes.sum())

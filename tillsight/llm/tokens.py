@@ -7,6 +7,7 @@ distinct word, and ids are gathered by number. Strings of special tokens are ord
 
 from __future__ import annotations
 
+import functools
 import os
 import unicodedata
 from collections.abc import Iterator
@@ -20,7 +21,8 @@ OTHER, LETTER, NUMBER, SPACE = 0, 1, 2, 3
 #: Code points with the property White_Space.
 SPACES = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 _SLICE = 1_500_000
-_KEEP = 1_500_000
+#: Words kept per worker; beyond that it starts afresh.
+_KEEP = 700_000
 
 
 def _classes(size: int) -> np.ndarray:
@@ -171,3 +173,9 @@ class Encoder:
                 yield np.concatenate([self._slice([p])[0] for p in _cuttable(run[0], _SLICE)])
             else:
                 yield from self._slice(run)
+
+
+@functools.cache
+def encoder(path: str, kind: str) -> Encoder:
+    """The worker's own encoder: the words it knows serve its later tasks too."""
+    return Encoder(path, kind)
