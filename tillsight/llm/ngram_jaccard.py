@@ -10,7 +10,8 @@ meets more but asks for more matches. A pair must share min(k, k') prefix tokens
 Tokens that one set alone has come first in every prefix and meet nothing, so documents with text of their own are
 settled by counting. A token that many sets keep in their prefixes means large groups of near copies: such a list is first joined
 with one leader, a line of pairs; what the leader has linked needs no pairs among itself. Afterwards only pairs in which the two
-sides are still apart are formed, by joining those outside a list's largest component with the whole list.
+sides are still apart are formed, by joining those outside a list's largest component with the whole list; tokens that a text has for
+itself among all texts of such lists bound what it can share, which settles near copies that differ by too much.
 """
 
 from __future__ import annotations
@@ -87,7 +88,7 @@ def _sketches(size: int, percent: int):
     return run
 
 
-def _compare(size: int, percent: int):
+def _compare(size: int, percent: int, every: bool):
     schema = pa.schema([("x", pa.int64()), ("y", pa.int64()), ("both", pa.int64()), ("either", pa.int64())])
 
     def run(batches):
@@ -97,13 +98,24 @@ def _compare(size: int, percent: int):
             for i, (s, t) in enumerate(zip(shingle_sets(b.column("tx").to_pylist(), size), shingle_sets(b.column("ty").to_pylist(), size), strict=True)):
                 both = len(np.intersect1d(s, t, assume_unique=True))
                 either = len(s) + len(t) - both
-                if 100 * both >= percent * either:
+                if every or 100 * both >= percent * either:
                     out.append((x[i], y[i], both, either))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (zip(*out, strict=True) if out else [[]] * 4)], schema=schema)
 
     return run
 
 
+def _tokens(size: int):
+    def run(batches):
+        for b in parts(batches):
+            nodes = b.column("node").to_numpy()
+            sets = list(shingle_sets(b.column("text").to_pylist(), size))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(nodes, [len(s) for s in sets])), pa.array(np.concatenate(sets).view(np.int64))],
+                                             names=["node", "token"])
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of the undirected ``edges`` (x, y) reaches.
 
@@ -123,12 +135,12 @@ def components(edges: DataFrame) -> DataFrame:
         labels = jumped.select("node", F.col("new").alias("label"))
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """The pairs (x, y) of distinct nodes whose whole sets are linked."""
+def _verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int, every: bool = False) -> DataFrame:
+    """The pairs (x, y) of distinct nodes whose whole sets are linked, or with ``every`` all of them; what both and either have."""
     a = texts.select(F.col("node").alias("na"), F.col("text").alias("tx"))
     b = texts.select(F.col("node").alias("nb"), F.col("text").alias("ty"))
     side = pairs.join(a, F.col("x") == F.col("na")).join(b, F.col("y") == F.col("nb")).select("x", "y", "tx", "ty")
-    return side.mapInArrow(_compare(size, percent), "x long, y long, both long, either long")
+    return side.mapInArrow(_compare(size, percent, every), "x long, y long, both long, either long")
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -138,6 +150,30 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialise(found.dropDuplicates(["node"]), "texts")
 
 
+def _apart(rows: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
+    """Pairs (x, y) of texts under one leader that are in different components and may link, one side outside the leader's largest.
+
+    Two bounds settle most without a look: tokens of its own (``own``) no text shares; and of the leader's tokens two texts share at most
+    what the one with fewer has (``ov``), of other tokens at most what the one with fewer has besides its own.
+    """
+    met = compared.select(F.col("x").alias("cx"), F.col("y").alias("cy"), "both")
+    under = rows.select("node", "n", "label", "own", "lead").distinct()
+    under = under.join(met, (F.least("node", "lead") == F.col("cx")) & (F.greatest("node", "lead") == F.col("cy")), "left").withColumn(
+        "ov", F.when(F.col("node") == F.col("lead"), F.col("n")).otherwise(F.col("both"))).drop("cx", "cy", "both")
+    under = materialise(under, "under")
+    largest = under.groupBy("lead", "label").count().groupBy(F.col("lead").alias("ml")).agg(
+        F.max(F.struct("count", F.col("label").alias("major"))).alias("m")).select("ml", "m.major")
+    outside = under.join(largest, F.col("lead") == F.col("ml")).where("label <> major").drop("ml")
+    other = under.select(*[F.col(c).alias(f"{c}_r") for c in under.columns])
+    enough = lambda most: f"100 * ({most}) >= {percent} * (n + n_r - ({most}))"
+    may = F.expr(f"(own IS NULL OR own_r IS NULL OR {enough('least(n - own, n_r - own_r)')}) AND (own IS NULL OR own_r IS NULL OR ov IS NULL OR ov_r IS NULL OR "
+                 f"{enough('least(ov, ov_r) + least(n - ov - own, n_r - ov_r - own_r)')})")
+    # Where both are outside, the pair would come twice: keep one.
+    pairs = outside.join(other, (F.col("lead") == F.col("lead_r")) & (F.col("node") != F.col("node_r")) & (F.col("label") != F.col("label_r"))
+                         & ((F.col("label_r") == F.col("major")) | (F.col("node") < F.col("node_r"))) & _fits(percent, "n", "n_r") & may)
+    return pairs.select(F.least("node", "node_r").alias("x"), F.greatest("node", "node_r").alias("y"))
+
+
 def _fits(percent: int, a: str, b: str):
     return F.expr(f"100 * least({a}, {b}) >= {percent} * greatest({a}, {b})")
 
@@ -184,29 +220,26 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         F.least("node", "lead").alias("x"), F.greatest("node", "lead").alias("y")).distinct(), "stars")
     long_lists = not stars.isEmpty()
     if long_lists:
-        texts = _texts(keyed, nodes, stars.select(F.explode(F.array("x", "y")).alias("node")).distinct())
-        links.append(materialise(_verified(stars, texts, size, percent), "links"))
+        texts = _texts(keyed, nodes, rows.where(f"f > {LONG_LIST}").select("node").distinct())
+        compared = materialise(_verified(stars, texts, size, percent, every=True), "stars")
+        links.append(compared.where(f"100 * both >= {percent} * either").select("x", "y"))
         groups = components(links[0])
-        rows = materialise(rows.join(groups.withColumnRenamed("node", "gn"), F.col("node") == F.col("gn"), "left").withColumn(
-            "label", F.coalesce("label", "node")).drop("gn", "lead", "lead_n"), "lists")
+        # Tokens that one text alone has among all those in long lists: no other of them can share these.
+        own = texts.mapInArrow(_tokens(size), "node long, token long").groupBy("token").agg(
+            F.count(F.lit(1)).alias("c"), F.min("node").alias("on")).where("c = 1").groupBy("on").agg(F.count(F.lit(1)).alias("own"))
+        own = texts.select(F.col("node").alias("tn")).join(own, F.col("tn") == F.col("on"), "left").select("tn", F.coalesce("own", F.lit(0)).alias("own"))
+        facts = materialise(own.join(groups, F.col("tn") == F.col("node"), "left").select("tn", "own", "label"), "facts")
+        rows = materialise(rows.join(facts, F.col("node") == F.col("tn"), "left").withColumn("label", F.coalesce("label", "node")).drop("tn"), "lists")
     else:
         rows = rows.withColumn("label", F.col("node"))
-    # Then all pairs of short lists, and of long ones those outside the largest component with all.
-    right = rows.select("token", *[F.col(c).alias(f"{c}_r") for c in ("node", "n", "k", "label")])
-    short = rows.where(f"f <= {LONG_LIST}").join(right.withColumnRenamed("token", "tr"), (F.col("token") == F.col("tr")) & (F.col("node") < F.col("node_r")))
-    pairs = short
-    if long_lists:
-        by_label = rows.where(f"f > {LONG_LIST}").groupBy("token", "label").count()
-        largest = by_label.groupBy("token").agg(F.max(F.struct("count", F.col("label").alias("major"))).alias("m")).select(
-            F.col("token").alias("mt"), F.col("m.major").alias("major"))
-        outside = rows.join(largest, F.col("token") == F.col("mt")).where("label <> major").drop("mt")
-        cross = outside.join(right.withColumnRenamed("token", "tr"), (F.col("token") == F.col("tr")) & (F.col("node") != F.col("node_r")))
-        # Where both are outside, the pair comes twice: keep one.
-        cross = cross.where("label_r = major OR node < node_r").drop("major")
-        pairs = short.unionByName(cross)
-    pairs = pairs.where("label <> label_r").where(_fits(percent, "n", "n_r")).groupBy(
-        F.least("node", "node_r").alias("x"), F.greatest("node", "node_r").alias("y")).agg(
+    # Then all pairs of short lists that share enough tokens, and of long ones those outside a leader's largest component with all it was compared with.
+    brief = rows.where(f"f <= {LONG_LIST}").select("token", "node", "n", "k", "label")
+    right = brief.select(F.col("token").alias("tr"), *[F.col(c).alias(f"{c}_r") for c in ("node", "n", "k", "label")])
+    pairs = brief.join(right, (F.col("token") == F.col("tr")) & (F.col("node") < F.col("node_r")) & (F.col("label") != F.col("label_r"))
+                       & _fits(percent, "n", "n_r")).groupBy(F.col("node").alias("x"), F.col("node_r").alias("y")).agg(
         F.count(F.lit(1)).alias("met"), F.min(F.least("k", "k_r")).alias("k")).where("met >= k").select("x", "y")
+    if long_lists:
+        pairs = pairs.union(_apart(rows.where(f"f > {LONG_LIST}"), compared, percent)).distinct()
     pairs = materialise(pairs, "pairs")
     if not pairs.isEmpty():
         texts = _texts(keyed, nodes, pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct())
@@ -216,7 +249,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         own = out.join(members.withColumnRenamed("rid", "mr"), F.col("rid") == F.col("mr"), "left")
         return own.select("doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"),
                           "k1", "k2", F.col("node").alias("group"))
-    edges = links[0] if len(links) == 1 else links[0].union(links[1])
+    edges = links[0].select("x", "y") if len(links) == 1 else links[0].select("x", "y").union(links[1].select("x", "y"))
     labels = components(edges)
     degree = edges.select(F.explode(F.array("x", "y")).alias("dn")).groupBy("dn").agg(F.count(F.lit(1)).alias("n_links"))
     firsts = members.where("rid = node").select("node", "first_id")
