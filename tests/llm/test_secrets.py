@@ -52,3 +52,28 @@ def test_masking_keeps_rows_and_columns(spark, make_docs):
     assert sorted(((x.doc_id, x.text, x.n_chars, x.k1) for x in out.collect()), key=str) == sorted([
         (1, "é [SECRET] end", 14, "x"), (1, "é [SECRET] end", 14, "x"), (2, "clean", 5, "x"), (None, None, None, "x"), (None, "[SECRET]", 8, "x")], key=str)
     assert sc.masked(make_docs([])).count() == 0 and sc.scan(make_docs([])).count() == 0
+
+
+def brute_links(text, reach=sc.REACH):
+    parts = sc.weak_parts(text, sc.base_spans(text))
+    near = lambda a, b: a[1] == b[1] and b[2] <= a[3] + reach and b[3] >= a[2] - reach
+    role = {r: [p for p in parts if p[0] == r] for r in ("id", "secret", "endpoint")}
+    secrets = [s for s in role["secret"] if any(near(i, s) for i in role["id"])]
+    out = [("link_id", *i[2:]) for i in role["id"] if any(near(i, s) for s in role["secret"])]
+    out += [("link_secret", *s[2:]) for s in secrets]
+    out += [("link_endpoint", *e[2:]) for e in role["endpoint"] if any(near(s, e) for s in secrets)]
+    return sorted(set(out), key=lambda s: (s[1], sc.LINKED.index(s[0])))
+
+
+def test_links_do_not_depend_on_the_offset(spark, make_docs):
+    r = random.Random(5)
+    texts = []
+    for _ in range(300):
+        bits = ["client_id = webapp7", KEY, "https://example.org/" + "x" * r.randrange(1, 1500)]
+        r.shuffle(bits)
+        texts.append("." * r.randrange(1200) + " " + "".join(b + " " * r.randrange(1, 330) for b in bits))
+    texts.append("." * 200 + " https://example.org/" + "x" * 379 + " " * 19 + KEY + " client_id = webapp7")
+    got = {x.doc_id: [(s.kind, s.start, s.end) for s in x.spans] for x in sc.scan(make_docs(list(enumerate(texts)))).collect()}
+    want = {i: brute_links(t) for i, t in enumerate(texts)}
+    assert got == want
+    assert sum(any(k == "link_endpoint" for k, _, _ in v) for v in want.values()) > 100

@@ -2,8 +2,8 @@
 
 Expressions find the base secrets of a text, and weak parts that alone mean little: identifiers (account or client names, access keys),
 random-looking strings, and endpoints. Weak parts are joined in Spark by intervals: an identifier's surroundings (``reach`` code
-points to either side, in the same scope, a block of lines without an empty one) are cut into bins; a random string in one of them
-is linked to it, and an endpoint likewise to a linked string. Weak parts are reported only where linked. Parts have a least length, so few
+points to either side, in the same scope, a block of lines without an empty one) are cut into bins; a random string that touches one of
+them is linked to it, and an endpoint likewise to a linked string. Weak parts are reported only where linked. Parts have a least length, so few
 fit within a reach and the pairs grow with the text, not with its square.
 """
 
@@ -85,11 +85,16 @@ def _extract(batches):
 
 
 def _within(a: DataFrame, b: DataFrame, reach: int) -> DataFrame:
-    """Interval join: parts of ``a`` and ``b`` of one text and scope at most ``reach`` apart (columns of b end in _b)."""
-    bins = F.sequence(F.expr(f"greatest(start - {reach}, 0) div {reach}"), F.expr(f"(end + {reach}) div {reach}"))
-    spread = a.withColumn("bin", F.explode(bins))
-    other = b.select(*[F.col(c).alias(f"{c}_b") for c in ("rid", "scope", "start", "end")], F.expr(f"start div {reach}").alias("bin_b"))
+    """Interval join: parts of ``a`` and ``b`` of one text and scope at most ``reach`` apart (columns of b end in _b).
+
+    Both sides lie in every bin that they touch, ``a`` with its surroundings; a pair is formed in the first bin that both have.
+    """
+    first, last = F.expr(f"greatest(start - {reach}, 0) div {reach}"), F.expr(f"(end + {reach}) div {reach}")
+    spread = a.withColumn("first", first).withColumn("bin", F.explode(F.sequence("first", last)))
+    other = b.select(*[F.col(c).alias(f"{c}_b") for c in ("rid", "scope", "start", "end")], F.expr(f"start div {reach}").alias("first_b"),
+                     F.explode(F.expr(f"sequence(start div {reach}, end div {reach})")).alias("bin_b"))
     return spread.join(other, (F.col("rid") == F.col("rid_b")) & (F.col("scope") == F.col("scope_b")) & (F.col("bin") == F.col("bin_b"))
+                       & (F.col("bin") == F.greatest("first", "first_b"))
                        & (F.col("start_b") <= F.col("end") + reach) & (F.col("end_b") >= F.col("start") - reach))
 
 
