@@ -3,8 +3,8 @@
 Expressions find the base secrets of a text, and weak parts that alone mean little: identifiers (account or client names, access keys),
 random-looking strings, and endpoints. Weak parts are joined in Spark by intervals: an identifier's surroundings (``reach`` code
 points to either side, in the same scope, a block of lines without an empty one) are cut into bins; a random string that touches one of
-them is linked to it, and an endpoint likewise to a linked string. Weak parts are reported only where linked. Parts have a least length, so few
-fit within a reach and the pairs grow with the text, not with its square.
+them is linked to it, and an endpoint likewise to a linked string. Weak parts are reported only where linked. Parts have a least length (random
+strings 20 characters) and no greatest, so few fit within a reach and the pairs grow with the text, not with its square.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{32,}")  # the runs of [0-9a-f]+ that have 32 or more
 _NAMED = re.compile(r"""(?:client_?id|account(?:_?id)?|access_?key(?:_?id)?|user(?:name)?|login)["']?\x20*[:=]\x20*["']?([A-Za-z0-9_.@+-]{3,})""", re.I | re.A)
-_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,128}(?![A-Za-z0-9+/_=-])")
+_RANDOM = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 _ENDPOINT = re.compile(r"""[a-z][a-z0-9+]{1,9}://[^\s"'<>]{4,}|\b[a-z0-9-]+(?:\.[a-z0-9-]+)+:[0-9]{2,5}\b""")
 
 
