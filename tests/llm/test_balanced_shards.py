@@ -1,3 +1,4 @@
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -34,3 +35,31 @@ def test_groups_stay_together_and_counts_even(spark, make_docs):
 def test_few_rows(spark, make_docs):
     for rows in ([], [(1, "a")], [(1, "a"), (2, "a"), (3, "a")]):
         check(rows, bs.sharded(make_docs(rows), shards=5).collect(), 5)
+
+
+def test_groups_come_together_where_every_row_is_linked(spark, make_docs):
+    rows = [(2 * i + j, f"pair {i}") for i in range(600) for j in range(2)]
+    got = bs.sharded(make_docs(rows), shards=8).collect()
+    check(rows, got, 8)
+    where = defaultdict(set)
+    for x in got:
+        where[x.text_crc32].add(x.shard)
+    assert sum(len(w) == 1 for w in where.values()) >= 540  # without moves about 75
+
+
+def test_exchange_keeps_quotas_and_leaves_no_ring_or_chain():
+    r = random.Random(3)
+    for _ in range(300):
+        n = r.randrange(2, 9)
+        wanted = {(s, t): r.randrange(1, 30) for s in range(n) for t in range(n) if s != t and r.random() < 0.4}
+        room = [r.choice([0, 0, 0, 5]) for _ in range(n)]
+        after = list(room)
+        moved = bs.exchange(wanted, after)
+        assert all(0 < k <= wanted[e] for e, k in moved.items())
+        assert after == [room[s] + sum(k for (a, _), k in moved.items() if a == s) - sum(k for (_, b), k in moved.items() if b == s) for s in range(n)]
+        assert min(after) >= 0
+        left = {e for e, k in wanted.items() if moved.get(e, 0) < k}
+        assert not any(after[t] for _, t in left)
+        while ends := {t for _, t in left} - {s for s, _ in left}:
+            left = {e for e in left if e[1] not in ends}
+        assert not left
