@@ -36,7 +36,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences along the curve: one row per piece of a document, with its ids."""
-    return curve_packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return curve_packing.packed(docs, public_tokenizers.path("word_bpe_49k.json"), special=True)
 
 
 STAGES = [

@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tillsight.llm import curve_packing as cp
+from tillsight.llm import queries
 from tillsight.llm import token_files as tf
 from tillsight.llm.tokens import Encoder, _cuttable
 from tillsight.session import new_folder
@@ -103,3 +104,35 @@ def test_packing_is_a_round_trip(spark, make_docs):
         if d != 5:
             assert [i for p in own for i in p.ids] == ids and all(p.doc_tokens == len(ids) for p in own)
     assert cp.packed(make_docs([]), public_tokenizers.path(FILES["word"])).count() == 0
+
+
+SPECIAL = [*BITS, "<|endoftext|>", "<|startoftext|>", "<|endoftext|><|endoftext|>", "<|endof", "<|ENDOFTEXT|>", "<<|endoftext|>>"]
+
+
+def special_texts(n=2000):
+    r = random.Random(12)
+    return [None, "", "<|endoftext|>", " <|endoftext|>"] + ["".join(r.choice(SPECIAL) for _ in range(r.randrange(1, 20))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("kind", FILES)
+@pytest.mark.parametrize("size", [50, 1_500_000])
+def test_special_tokens_equal_the_untouched_library(kind, size, monkeypatch):
+    monkeypatch.setattr("tillsight.llm.tokens._SLICE", size)
+    plain = Tokenizer.from_file(public_tokenizers.path(FILES[kind]))
+    t = special_texts()
+    t.append("".join(x or "" for x in t[:300]))
+    for text, ids in zip(t, Encoder(public_tokenizers.path(FILES[kind]), kind, special=True).encode(t), strict=True):
+        assert ids.dtype == np.int32 and ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)[:200]
+
+
+def test_queries_encode_special_tokens(spark, make_docs, tmp_path):
+    t = special_texts(40)
+    make_docs(list(enumerate(t))).drop("k1", "words").write.parquet(f"{tmp_path}/documents.parquet")
+    for f, kind, end in ((queries.op2, "byte", 2), (queries.op9, "word", 1)):
+        plain = Tokenizer.from_file(public_tokenizers.path(FILES[kind]))
+        want = {i: len(plain.encode(x or "", add_special_tokens=False).ids) + 1 for i, x in enumerate(t)}
+        got = f(spark, str(tmp_path)).collect()
+        assert {x.doc_id: x.n_tokens if kind == "byte" else x.doc_tokens for x in got} == want
+        if kind == "byte":
+            assert {x.doc_id: x.ids_crc32 for x in got} == {
+                i: crc([*plain.encode(x or "", add_special_tokens=False).ids, end]) for i, x in enumerate(t)}

@@ -113,7 +113,7 @@ class Packer:
         return out
 
 
-def _pack(path: str, kind: str, end_id: int, length: int, with_ids: bool):
+def _pack(path: str, kind: str, end_id: int, length: int, with_ids: bool, special: bool):
     from tillsight.llm.token_files import id_lists
 
     def batch(pieces):
@@ -128,7 +128,7 @@ def _pack(path: str, kind: str, end_id: int, length: int, with_ids: bool):
     def run(batches):
         from tillsight.llm.tokens import encoder
 
-        words = encoder(path, kind)
+        words = encoder(path, kind, special)
         packer = Packer(length, TaskContext.get().partitionId() << 40)
         for b in parts(batches):
             done = []
@@ -142,13 +142,15 @@ def _pack(path: str, kind: str, end_id: int, length: int, with_ids: bool):
     return run
 
 
-def packed(docs: DataFrame, tokenizer: str, kind: str = "word", end_id: int = 1, length: int = 2048, with_ids: bool = True) -> DataFrame:
+def packed(docs: DataFrame, tokenizer: str, kind: str = "word", end_id: int = 1, length: int = 2048, with_ids: bool = True,
+           special: bool = False) -> DataFrame:
     """One row per piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids (empty if not wanted).
 
     A sequence is full, or its length is a power of two: nothing is padded. A null text is empty and has the end id alone;
     rows repeated are packed each; null ids are kept. The order along the curve is by key, then doc_id, then a hash of the text, which
-    makes a lost task's work come out the same. An empty table gives no piece.
+    makes a lost task's work come out the same. An empty table gives no piece. ``special``: strings of the tokenizer's added tokens
+    become these tokens, else they are ordinary text.
     """
     keyed = docs.select("doc_id", "text").mapInArrow(_keyed, "doc_id long, text string, curve long").withColumn("h", F.xxhash64("text"))
     along = keyed.repartitionByRange("curve", "doc_id", "h").sortWithinPartitions("curve", "doc_id", "h").select("doc_id", "text")
-    return along.mapInArrow(_pack(tokenizer, kind, end_id, length, with_ids), PIECES)
+    return along.mapInArrow(_pack(tokenizer, kind, end_id, length, with_ids, special), PIECES)

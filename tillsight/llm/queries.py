@@ -59,13 +59,13 @@ def op4(spark, d):
 @query("op2_token_files")
 def op2(spark, d):
     folder = new_folder(spark, "tokens")
-    token_files.write_tokens(table(spark, d, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"))
+    token_files.write_tokens(table(spark, d, "documents"), folder, public_tokenizers.path("byte_bpe_50k.json"), special=True)
     return token_files.checksums(token_files.read_tokens(spark, folder))
 
 
 @query("op9_curve_packing")
 def op9(spark, d):
-    return curve_packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False).drop("ids")
+    return curve_packing.packed(table(spark, d, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False, special=True).drop("ids")
 
 
 @query("op3_secret_scans")

@@ -29,13 +29,13 @@ def id_lists(ids: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32()))
 
 
-def _encode(path: str, kind: str, end_id: int):
+def _encode(path: str, kind: str, end_id: int, special: bool):
     schema = pa.schema([("doc_id", pa.int64()), ("begin", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
     def run(batches):
         from tillsight.llm.tokens import encoder
 
-        words, begin = encoder(path, kind), 0
+        words, begin = encoder(path, kind, special), 0
         for b in parts(batches):
             ids = [np.append(x, np.int32(end_id)) for x in words.encode(b.column("text").to_pylist())]
             sizes = np.array([len(x) for x in ids], dtype=np.int64)
@@ -46,14 +46,15 @@ def _encode(path: str, kind: str, end_id: int):
     return run
 
 
-def write_tokens(docs: DataFrame, folder: str, tokenizer: str, kind: str = "byte", end_id: int = 2) -> None:
+def write_tokens(docs: DataFrame, folder: str, tokenizer: str, kind: str = "byte", end_id: int = 2, special: bool = False) -> None:
     """Writes every document of ``docs`` to ORC files in ``folder``, ascending by doc_id; rows of one id by their text's hash.
 
     A null text is empty and has the end id alone; a null doc_id comes first. Repeated rows are written each. An empty table writes
-    an empty file or none. ``tokenizer`` is a path that every executor has.
+    an empty file or none. ``tokenizer`` is a path that every executor has;
+    ``special``: strings of its added tokens become these tokens, else they are ordinary text.
     """
     ordered = docs.select("doc_id", "text").withColumn("h", F.xxhash64("text")).repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h")
-    ordered.drop("h").mapInArrow(_encode(tokenizer, kind, end_id), SCHEMA).write.options(**ORC).orc(folder)
+    ordered.drop("h").mapInArrow(_encode(tokenizer, kind, end_id, special), SCHEMA).write.options(**ORC).orc(folder)
 
 
 def read_tokens(spark: SparkSession, folder: str) -> DataFrame:

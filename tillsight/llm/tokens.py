@@ -2,15 +2,18 @@
 
 The byte-level and word-level tokenizers used here merge within the words that their pattern cuts from the text. The pattern is followed here by
 comparing the classes of neighbouring characters, for many texts at once; the tokenizers library encodes every
-distinct word, and ids are gathered by number. Strings of special tokens are ordinary text.
+distinct word, and ids are gathered by number. Strings of special tokens are ordinary text, or with ``special`` cut out
+first, as the library does by default; they then get their own ids.
 """
 
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 
@@ -101,17 +104,30 @@ def _cuttable(text: str, limit: int) -> Iterator[str]:
 
 
 class Encoder:
-    """``encode(texts)`` yields the ids of each text. ``kind``: "byte" (byte-level words) or "word" (lower case, no blanks)."""
+    """``encode(texts)`` yields the ids of each text. ``kind``: "byte" (byte-level words) or "word" (lower case, no blanks).
 
-    def __init__(self, path: str, kind: str):
+    ``special``: strings of added tokens become these tokens, as in the library's encode; else they are ordinary text.
+    """
+
+    def __init__(self, path: str, kind: str, special: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.kind, self.words = kind, Words(kind == "byte")
+        self.added = self._added(path) if special else {}
+        self.cuts = re.compile("(%s)" % "|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
         self._forget()
 
+    @staticmethod
+    def _added(path: str) -> dict[str, int]:
+        with open(path, encoding="utf-8") as f:
+            tokens = json.load(f).get("added_tokens") or []
+        if odd := [t["content"] for t in tokens if t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]]:
+            raise ValueError(f"added tokens that are not plain strings: {odd}")
+        return {t["content"]: t["id"] for t in tokens}
+
     def _forget(self) -> None:
         self.places: dict[int, int] = {}
         self.offsets, self.lengths = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
@@ -168,7 +184,27 @@ class Encoder:
 
     def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
         """int32 ids of each text in turn; a null text has none."""
-        for _, run in slices((self._normal(t or "") for t in texts), _SLICE):
+        if not self.added:
+            yield from self._pieces(t or "" for t in texts)
+            return
+        tokens: list[list[int]] = []
+
+        def pieces() -> Iterator[str]:
+            for t in texts:
+                cut = self.cuts.split(t) if t and any(a in t for a in self.added) else [t or ""]
+                tokens.append([self.added[a] for a in cut[1::2]])
+                yield from cut[::2]
+
+        # What lies between two special tokens is encoded as a text of its own.
+        ids = self._pieces(pieces())
+        for i in range(len(texts)):
+            out = [next(ids)]
+            for token in tokens[i]:
+                out += [np.array([token], np.int32), next(ids)]
+            yield np.concatenate(out) if len(out) > 1 else out[0]
+
+    def _pieces(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        for _, run in slices(map(self._normal, texts), _SLICE):
             if len(run) == 1 and len(run[0]) > 2 * _SLICE:
                 yield np.concatenate([self._slice([p])[0] for p in _cuttable(run[0], _SLICE)])
             else:
@@ -176,6 +212,6 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str, kind: str) -> Encoder:
+def encoder(path: str, kind: str, special: bool = False) -> Encoder:
     """The worker's own encoder: the words it knows serve its later tasks too."""
-    return Encoder(path, kind)
+    return Encoder(path, kind, special)
