@@ -27,13 +27,16 @@ def _share(count: Column, total: Column, floor: float) -> Column:
 
 
 def _index(binned: DataFrame, keys: list[str], floor: float) -> DataFrame:
-    """PSI from (keys..., feature, bin, e, a): counts of both sides, ten rows a feature."""
+    """PSI from (keys..., feature, bin, e, a): counts of both sides, ten rows a feature.
+
+    Rows of bin -1 (out of range) keep their feature in the result, but no share counts them.
+    """
     spine = (
         binned.select(*keys, "feature").distinct()
         .withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(PSI_BINS - 1))))
     )
     # Empty bins are added as zeros and summed, so that a null key is a key like others.
-    full = binned.select(*keys, "feature", "bin", "e", "a").unionByName(
+    full = binned.where(F.col("bin") >= 0).select(*keys, "feature", "bin", "e", "a").unionByName(
         spine.withColumns({"e": F.lit(0), "a": F.lit(0)})).groupBy(*keys, "feature", "bin").agg(F.sum("e").alias("e"), F.sum("a").alias("a"))
     whole = Window.partitionBy(*keys, "feature")
     shares = full.select(

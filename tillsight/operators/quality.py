@@ -147,15 +147,15 @@ def feature_counters(df: DataFrame) -> DataFrame:
 
 def validate_features(df: DataFrame, null_rate_max: float = NULL_RATE_MAX) -> dict:
     """Check a feature table; the first broken rule raises, success returns a report."""
-    missing = [c for c in REQUIRED_FEATURES if c not in df.columns]
-    if missing:
+    absent = [c for c in REQUIRED_FEATURES if c not in df.columns]
+    if absent:
         if df.isEmpty():
-            raise ValidationFailed("no rows in the feature table")
-        raise ValidationFailed("missing required column: " + ", ".join(missing))
+            raise ValidationFailed("the feature table is empty")
+        raise ValidationFailed("missing required column: " + ", ".join(absent))
     seen = feature_counters(df).first().asDict()
     n = seen["n_rows"]
     if n == 0:
-        raise ValidationFailed("no rows in the feature table")
+        raise ValidationFailed("the feature table is empty")
     if seen["duplicate_ids"] > 0:
         raise ValidationFailed(f"duplicate customer_id in {seen['duplicate_ids']} rows")
     rates = {c: seen[f"null_{c}"] / n for c in REQUIRED_FEATURES}
