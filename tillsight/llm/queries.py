@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
-    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, repeats, secrets, sql, token_files,
+    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, recompression, repeats, secrets, sql, token_files,
 )
 from tillsight.llm.common import table
 from tillsight.session import new_folder
@@ -88,3 +88,8 @@ def op7(spark, d):
 @query("op6_repeats")
 def op6(spark, d):
     return repeats.without_repeats(table(spark, d, "documents"), keep=False).drop("kept")
+
+
+@query("op11_recompression", sql.RECOMPRESSION)
+def op11(spark, d):
+    return recompression.without_repeats(table(spark, d, "documents"), keep=False).drop("kept")

@@ -68,3 +68,11 @@ FROM m LEFT JOIN named USING (doc_id)"""
 
 
 QUALITY_RULES = _quality()
+
+RECOMPRESSION = f"""WITH d AS (SELECT doc_id, {_PLAIN.format(text="coalesce(text, '')")} AS w FROM documents),
+g AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM d, unnest(range(1, greatest(len(w) - 18, 1))) AS t(i)),
+again AS (SELECT doc_id, i FROM (SELECT *, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS place FROM g) WHERE place > 1),
+gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM again, unnest(range(i, i + 20)) AS t(p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(ps, i), false)), ' ')) AS kept_sha256
+FROM d LEFT JOIN gone USING (doc_id)"""
