@@ -63,11 +63,25 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     """
     path = new_folder(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``materialise`` returned as ``df``; frames that still read it become unusable.
+
+    For rounds in which each table replaces the one before: what is needed later must be written already.
+    """
+    _delete(df.sparkSession, df.written_to)
 
 
 def drop_intermediates(spark: SparkSession) -> None:
     """Delete this application's intermediate tables; frames that still read them become unusable."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tillsight-{spark.sparkContext.applicationId}")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, f"{shared_folder(spark)}/tillsight-{spark.sparkContext.applicationId}")
