@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from tillsight.llm import (
-    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, recompression, repeats, secrets, sql, token_files,
+    balanced_shards, curve_packing, decontamination, language_id, ngram_jaccard, personal_data, quality_rules, recompression, repeats, secrets, sql,
+    target_resampling, token_files, vector_codes,
 )
 from tillsight.llm.common import table
 from tillsight.session import new_folder
@@ -93,3 +94,14 @@ def op6(spark, d):
 @query("op11_recompression", sql.RECOMPRESSION)
 def op11(spark, d):
     return recompression.without_repeats(table(spark, d, "documents"), keep=False).drop("kept")
+
+
+@query("op12_target_resampling", sql.TARGET_RESAMPLING)
+def op12(spark, d):
+    return target_resampling.drawn(table(spark, d, "documents"), table(spark, d, "benchmark")).select(
+        "doc_id", "n_features", "weight", "score", "rank")
+
+
+@query("op13_vector_codes", sql.VECTOR_CODES)
+def op13(spark, d):
+    return vector_codes.coded(table(spark, d, "embeddings"))

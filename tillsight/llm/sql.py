@@ -76,3 +76,42 @@ gone AS (SELECT doc_id, list(DISTINCT p) AS ps FROM again, unnest(range(i, i + 2
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(ps), 0) AS BIGINT) AS n_removed,
   sha256(array_to_string(list_filter(w, lambda x, i: NOT coalesce(list_contains(ps, i), false)), ' ')) AS kept_sha256
 FROM d LEFT JOIN gone USING (doc_id)"""
+
+TARGET_RESAMPLING = f"""WITH tbl AS (SELECT list(c ORDER BY i) AS tb FROM (SELECT i,
+  list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) AS c FROM range(256) t(i))),
+w AS (SELECT 'd' AS side, doc_id AS id, {_WORDS} AS w FROM documents UNION ALL SELECT 'b', item_id, {_WORDS} FROM benchmark),
+f AS (SELECT side, id, array_to_string(w[i:i + k], ' ') AS s FROM w, range(0, 3) n(k), unnest(range(1, greatest(len(w) - k, 0) + 1)) AS t(i)),
+names AS MATERIALIZED (SELECT s, hex(encode(s)) AS h FROM (SELECT DISTINCT s FROM f)),
+crcs AS MATERIALIZED (SELECT s, xor(list_reduce(list_transform(range(0, len(h) // 2), lambda j: CAST('0x' || substr(h, 2 * j + 1, 2) AS BIGINT)),
+  lambda c, x: xor(c >> 8, tb[(xor(c, x) & 255) + 1]), 4294967295), 4294967295) % 10000 AS bucket FROM names, tbl),
+fb AS MATERIALIZED (SELECT side, id, bucket, count(*) AS n FROM f JOIN crcs USING (s) GROUP BY ALL),
+n AS (SELECT bucket, coalesce(sum(n) FILTER (WHERE side = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (WHERE side = 'b'), 0)::DOUBLE AS t FROM fb GROUP BY 1),
+g AS (SELECT bucket, CAST(floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM n) + 10000) / ((s + 1) * ((SELECT sum(t) FROM n) + 10000)))) AS BIGINT) AS gain FROM n),
+d AS (SELECT id AS doc_id, CAST(sum(n) AS BIGINT) AS n_features, CAST(sum(n * gain) AS BIGINT) AS weight FROM fb JOIN g USING (bucket) WHERE side = 'd' GROUP BY 1),
+x AS (SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+  CAST('0x' || substr(sha256('42:' || w.id), 1, 8) AS BIGINT)::DOUBLE AS h FROM w LEFT JOIN d ON d.doc_id = w.id WHERE side = 'd'),
+sc AS (SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296e0))) AS BIGINT) AS score FROM x),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, count(*) OVER () AS n FROM sc WHERE n_words >= 20)
+SELECT sc.doc_id, n_features, weight, score, CASE WHEN place <= 5 * n // 100 THEN place END AS rank FROM sc LEFT JOIN r USING (doc_id)"""
+
+
+def _vector_codes(rounds: int = 6) -> str:
+    ctes = ["""v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label,
+  list_transform(embedding, lambda c: CAST(floor(4096 * CAST(c AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)""",
+            "p AS MATERIALIZED (SELECT r, part, x[part * len(x) // 8 + 1:(part + 1) * len(x) // 8] AS x FROM v, range(8) t(part))",
+            "b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, x AS c FROM p WHERE r <= 16)"]
+    for i in range(rounds + 1):
+        ctes.append(f"""a{i} AS MATERIALIZED (SELECT r, part, any_value(x) AS x, arg_min(entry, [d, entry]) AS entry, min(d) AS d FROM (SELECT r, part, x, entry,
+  list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d FROM p JOIN b{i} USING (part)) GROUP BY r, part)""")
+        if i < rounds:
+            ctes.append(f"""b{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(n.c, b{i}.c) AS c FROM b{i} LEFT JOIN (SELECT part, entry, list(m ORDER BY j) AS c FROM (
+  SELECT part, entry, j, CAST(floor(sum(x[j]) / count(*)) AS BIGINT) AS m FROM a{i}, unnest(range(1, len(x) + 1)) AS t(j) GROUP BY 1, 2, 3) GROUP BY 1, 2) n USING (part, entry))""")
+    last = rounds
+    return "WITH " + ",\n".join(ctes) + f"""
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY part, entry)) FROM b{last}) AS codebooks_sha256
+FROM v JOIN (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM a{last} GROUP BY r) USING (r)"""
+
+
+VECTOR_CODES = _vector_codes()
