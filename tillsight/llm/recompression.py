@@ -4,8 +4,9 @@ The words of all documents are compressed in rounds. A round of runs names each
 deals the symbols to a left and a right class by a hash and names each neighbouring (left, right). A name is a function of what it
 stands for and of the round, so it is the same in every document and every task without a table of names. In a window the symbols
 at its ends may be compressed together with what lies outside; they are popped, round by round (a run at either end; a right one at the start,
-a left one at the end). What remains is compressed alike wherever the window stands. The symbol chosen in the last round that leaves any
-(the longest, then by hash, then the leftmost) is the window's anchor: equal windows have equal anchors at equal places.
+a left one at the end). What remains is compressed alike wherever the window stands. Of the last round that leaves any symbol, two neighbours are chosen
+(the longest pair, then by hash, then the leftmost; the symbol itself where it is alone). Their pair is the window's anchor: equal windows
+have equal anchors at equal places.
 
 Consecutive windows with one anchor form a unit, about one for six words. Spark names these globally: anchors that stand once cannot repeat; units
 equal in all words repeat wholly, all but the first; only windows of unequal units of one anchor are compared one by one.
@@ -22,13 +23,15 @@ from pyspark.sql import functions as F
 
 from tillsight.llm.common import parts, slices, small, with_key
 from tillsight.llm.hashing import Runs, blank_words, mix
-from tillsight.session import materialise
+from tillsight.session import discard, materialise
 
 WINDOW = 20
-#: One round of runs, then pairs: with windows of 20 words, symbols come to about five words.
-ROUNDS = "RPPPP"
+#: One round of runs, then pairs: with windows of 20 words, anchors come to about seven words.
+ROUNDS = "RPPP"
 #: Words that are compressed together; longer texts are cut into overlapping blocks, which give the same anchors.
 BLOCK = 1 << 20
+#: Keys that are broadcast at most; more are joined by a shuffle.
+FEW = 50_000
 
 _U = np.uint64
 _K1, _K2 = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
@@ -52,8 +55,8 @@ def _pairs(sym: np.ndarray, fresh: np.ndarray, right: np.ndarray, level: int) ->
     return np.where(new[follower], sym[at], mix(mix(sym[at] + _U(level + 1)) * _K2 + sym[follower])), new
 
 
-def _choose(sym: np.ndarray, at: np.ndarray, length: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
-    """Of the symbols lo..hi-1 of each window: the longest, then the one of least hash, then the leftmost."""
+def _choose(sym: np.ndarray, length: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Of the symbols lo..hi-1 of each window: the longest, then the one of least hash, then the leftmost; the number of its first one."""
     rank = ((_U(63) - np.minimum(length, 63).astype(_U)) << _U(56)) | (mix(sym) >> _U(8))
     best, where = rank[lo], lo.copy()
     live, step = np.flatnonzero(lo + 1 < hi), 1
@@ -77,9 +80,12 @@ def anchors(sym: np.ndarray, fresh: np.ndarray, window: int = WINDOW, rounds: st
     lo, hi, live, at = starts.copy(), starts + window, np.arange(len(starts)), np.arange(n)
 
     def settle(which):
-        if len(which):
-            chosen = _choose(sym, at, np.diff(np.append(at, n)), lo[which], hi[which])
-            name[which], place[which] = sym[chosen], at[chosen]
+        if not len(which):
+            return
+        length = np.diff(np.append(at, n))
+        pair, alone = mix(mix(sym) * _K2 + np.append(sym[1:], _U(0))), hi[which] - lo[which] == 1
+        chosen = _choose(pair, length + np.append(length[1:], 0), lo[which], hi[which] - ~alone)
+        name[which], place[which] = np.where(alone, sym[chosen], pair[chosen]), at[chosen]
 
     for level, kind in enumerate(rounds):
         if not len(live):
@@ -198,7 +204,7 @@ def _repeated(df: DataFrame, keys: list[str]) -> DataFrame:
     can split a key that holds very many rows.
     """
     often = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_c")).where("_c > 1").select(*[F.col(k).alias(f"_{k}") for k in keys])
-    often = small(materialise(often, "often"), 1_000_000)
+    often = small(materialise(often, "often"), FEW)
     on = F.lit(True)
     for k in keys:
         on = on & (F.col(k) == F.col(f"_{k}"))
@@ -212,7 +218,7 @@ def _later(df: DataFrame, keys: list[str], first: DataFrame) -> DataFrame:
     for k in keys:
         on = on & (F.col(k) == F.col(f"_{k}"))
     place = F.struct("k1", "k2", "start")
-    return df.join(small(other, 1_000_000), on).where(place > F.col("_first"))
+    return df.join(small(other, FEW), on).where(place > F.col("_first"))
 
 
 def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: str = ROUNDS, block: int = BLOCK, keep: bool = True) -> DataFrame:
@@ -224,9 +230,10 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: str = ROUNDS,
     equal where their anchors' 64-bit names and their own 64-bit hashes are.
     """
     keyed = with_key(docs.select("doc_id", "text"), F.col("text"))
-    found = keyed.select("k1", "k2", "text").mapInArrow(
-        _find_units(window, rounds, block), "k1 long, k2 long, start long, n long, anchor long, full long")
-    found = materialise(_repeated(materialise(found, "units"), ["anchor"]), "repeated")
+    every = materialise(keyed.select("k1", "k2", "text").mapInArrow(
+        _find_units(window, rounds, block), "k1 long, k2 long, start long, n long, anchor long, full long"), "units")
+    found = materialise(_repeated(every, ["anchor"]), "repeated")
+    discard(every)
     place = F.struct("k1", "k2", "start")
     kinds = materialise(found.groupBy("anchor", "full").agg(
         F.min(place).alias("first"), F.max(place).alias("last"), F.first("n").alias("n")), "kinds")
@@ -236,13 +243,16 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, rounds: str = ROUNDS,
     leaders = _repeated(kinds, ["anchor"]).select("anchor", "first.*", "n")
     wanted = leaders.groupBy(F.col("k1").alias("w1"), F.col("k2").alias("w2")).agg(F.collect_list(F.struct("start", "n", "anchor")).alias("wanted"))
     wanted = materialise(wanted, "wanted")
-    texts = keyed.join(small(wanted, 10_000), (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")))
+    own = (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))
+    texts = keyed.join(small(wanted.select("w1", "w2"), 1_000_000), own, "left_semi").join(wanted, own)
     windows = texts.select("text", "k1", "k2", "wanted").mapInArrow(_windows(window), "anchor long, hash long, k1 long, k2 long, start long")
     windows = materialise(windows, "windows")
     same = windows.groupBy("anchor", "hash").agg(F.min(place).alias("first"), F.max(place).alias("last")).where("first < last")
     single = _later(windows, ["anchor", "hash"], materialise(same, "same")).select("k1", "k2", F.col("start").alias("a"), (F.col("start") + 1).alias("b"))
 
-    ranges = whole.unionByName(single).groupBy(F.col("k1").alias("r1"), F.col("k2").alias("r2")).agg(F.collect_set(F.struct("a", "b")).alias("ranges"))
+    ranges = whole.unionByName(single).groupBy(F.col("k1").alias("r1"), F.col("k2").alias("r2")).agg(F.collect_list(F.struct("a", "b")).alias("ranges"))
     ranges = materialise(ranges, "ranges")
+    for done in (found, kinds, wanted, windows):
+        discard(done)
     out = keyed.join(small(ranges, 10_000), (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")), "left").select("doc_id", "text", "ranges")
     return out.mapInArrow(_strip(window, keep), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string")
