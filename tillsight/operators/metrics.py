@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.exprs import ratio_or_zero
 from .features import KEY
 from .ordinal import cut_by_value, join_null_safe, prefix_sums
+from ..session import materialise
 
 
 def rank_metrics(df: DataFrame, y: str = "label", p: str = "score", group: Sequence[str] = (),
@@ -74,18 +75,47 @@ def lift_d1(df: DataFrame, y: str = "label", p: str = "score", tie: str = KEY, g
 
 
 def evaluate(scores: DataFrame, y: str = "label", p: str = "score", tie: str = KEY,
-             group: Sequence[str] = ("experiment", "model")) -> DataFrame:
-    """Metrics table of many models: test and train AUC, lift of the test top decile.
+             group: Sequence[str] = ("experiment", "model"), fold: str | None = "fold") -> DataFrame:
+    """Metrics table of many models: test and train AUC, lift of the test top decile, deviation of the AUC over folds (``cv_std``).
 
-    ``scores`` has one row per (group, split, customer) with splits 'train' and 'test'. Both sides of
-    the final join have one row per model.
+    ``scores`` has one row per (group, split, customer) with splits 'train' and 'test' and, unless ``fold`` is None, a fold. One pass counts both classes per
+    score in each split and each fold; everything comes from prefix sums over these counts. Where the top decile ends inside a score
+    that several rows share, only these rows are read again, in the order of the md5 of their ids.
     """
     group = list(group)
-    per_split = rank_metrics(scores, y, p, [*group, "split"])
-    pick = lambda s: F.max(F.when(F.col("split") == s, F.col("auc")))
-    aucs = per_split.groupBy(*group).agg(pick("test").alias("test_auc"), pick("train").alias("train_auc"))
-    lifts = lift_d1(scores.where(F.col("split") == "test"), y, p, tie, group)
-    return join_null_safe(aucs, lifts.select(*group, "lift_at_decile1"), group)
+    parts = [F.struct(F.lit("split").alias("_kind"), F.col("split").cast("string").alias("_part"))]
+    if fold:
+        parts.append(F.struct(F.lit("fold").alias("_kind"), F.col(fold).cast("string").alias("_part")))
+    counts = scores.select(*group, p, y, F.inline(F.array(*parts))).groupBy(*group, "_kind", "_part", p).agg(
+        F.sum(F.col(y).cast("bigint")).alias("_pos"), F.sum((1 - F.col(y)).cast("bigint")).alias("_neg"))
+    counts = materialise(counts, "counts")
+    placed = prefix_sums(counts, p, {"_pa": F.col("_pos"), "_na": F.col("_neg")}, [*group, "_kind", "_part"])
+    before, here = F.col("_pa") + F.col("_na"), F.col("_pos") + F.col("_neg")
+    top = F.greatest(F.floor((F.col("_pa_total") + F.col("_na_total")) / 10), F.lit(1))
+    cut = (before < top) & (before + here >= top)
+    sums = placed.groupBy(*group, "_kind", "_part").agg(
+        F.sum("_pos").alias("_p"), F.sum("_neg").alias("_n"),
+        F.sum(F.col("_neg") * (F.col("_pa") + F.lit(0.5) * F.col("_pos"))).alias("_wins"),
+        # The score that the top decile ends in: positives before it, rows still needed of it, its rows and positives.
+        F.max(F.when(cut, F.struct(F.col(p).alias("at"), F.col("_pa").alias("before"), (top - before).alias("need"), here.alias("rows"), F.col("_pos").alias("pos")))).alias("_cut"))
+    sums = materialise(sums.withColumn("_auc", F.coalesce(F.try_divide("_wins", F.col("_p").cast("double") * F.col("_n")), F.lit(0.5))), "auc")
+    of = lambda kind, part, c: F.max(F.when((F.col("_kind") == kind) & (F.col("_part") == part), F.col(c)))
+    table = sums.groupBy(*group).agg(
+        of("split", "test", "_auc").alias("test_auc"), of("split", "train", "_auc").alias("train_auc"),
+        of("split", "test", "_cut").alias("_cut"), of("split", "test", "_p").alias("_p"), of("split", "test", "_n").alias("_n"),
+        F.stddev_pop(F.when(F.col("_kind") == "fold", F.col("_auc"))).alias("cv_std"))
+    # One row per model from here on, but for the rows that share the score of a cut.
+    cuts = table.where("_cut.need < _cut.rows").select(*group, F.col("_cut.at").alias(p), F.col("_cut.need").alias("_need"))
+    tied = join_null_safe(scores.where(F.col("split") == "test").select(*group, p, y, tie), cuts, [*group, p])
+    first = cut_by_value(materialise(tied, "tied"), p, tie, lambda n: [F.col("_need")], group, out="_part").where(F.col("_part") == 0)
+    taken = first.groupBy(*group).agg(F.sum(F.col(y).cast("bigint")).alias("_taken"))
+    joined = join_null_safe(table, taken, group, "left")
+    within = F.when(F.col("_cut.need") < F.col("_cut.rows"), F.coalesce("_taken", F.lit(0))).otherwise(F.col("_cut.pos"))
+    rows = F.col("_p") + F.col("_n")
+    share = (F.col("_cut.before") + within) / F.greatest(F.floor(rows / 10), F.lit(1))
+    lift = F.when(F.col("_p") > 0, F.try_divide(share, F.col("_p") / rows)).otherwise(F.lit(0.0))
+    out = [*group, "test_auc", "train_auc", lift.alias("lift_at_decile1")]
+    return joined.select(*out, "cv_std") if fold else joined.select(*out)
 
 
 def cv_std(scores: DataFrame, y: str = "label", p: str = "score",

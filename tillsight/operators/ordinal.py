@@ -15,13 +15,13 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..functions.exprs import hash_key, num, scalar_of
 
-_MAX_BUCKETS = 16_384
+_MAX_BUCKETS = 4_096
 #: Bounds and bucket totals are broadcast for at most this many groups; beyond it they are joined by a shuffle.
 BROADCAST_GROUPS = 1_000
 
 
 def default_buckets(df: DataFrame) -> int:
-    """As many buckets as the session has shuffle partitions, within 64..16384: both grow with the data."""
+    """As many buckets as the session has shuffle partitions, within 64..4096: both grow with the data."""
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(64, min(_MAX_BUCKETS, parts))
 
@@ -35,15 +35,33 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     return left.join(other, on, how).drop(*[f"_n_{k}" for k in keys])
 
 
-def _hint(df: DataFrame, group: list[str]) -> Callable[[DataFrame], DataFrame]:
-    """Broadcast for a counted, short list of groups; otherwise no hint."""
+Hint = Callable[[DataFrame], DataFrame]
+
+
+def _hint(df: DataFrame, group: list[str]) -> Hint:
+    """Broadcast for a counted, short list of groups; otherwise no hint. Counted once for each order, before anything else."""
     if not group or df.select(*group).distinct().limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS:
         return F.broadcast
     return lambda table: table
 
 
+def _merged_bounds(keys: DataFrame, group: list[str], buckets: int) -> DataFrame:
+    """(group..., _bounds): approximate quantiles of ``_k`` at i / buckets, merged in two steps.
+
+    The tasks' summaries are first merged in several groups of tasks, each by a task of its own; the last step takes the quantiles of these groups' quantiles,
+    weighted by their rows. So no task reads the summaries of all others.
+    """
+    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
+    tasks = max(4, min(256, int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 8))
+    first = keys.where(F.col("_k").isNotNull()).withColumn("_t", F.spark_partition_id() % tasks).groupBy(*group, "_t").agg(
+        F.expr(f"percentile_approx(_k, array({probs}), {4 * buckets})").alias("_q"), F.count(F.lit(1)).alias("_c"))
+    each = first.select(*group, "_c", F.explode("_q").alias("_k"))
+    merged = F.expr(f"percentile(_k, array({probs}), _c)")
+    return each.groupBy(*group).agg(F.coalesce(merged, F.array(F.lit(0.0))).alias("_bounds"))
+
+
 def _code_by_value(df: DataFrame, order: str | Column, group: list[str], tie: str | None, descending: bool,
-                   buckets: int | None, sample_of: DataFrame | None = None) -> tuple[DataFrame, list[Column]]:
+                   buckets: int | None, sample_of: DataFrame | None = None, hint: Hint = F.broadcast) -> tuple[DataFrame, list[Column]]:
     """Add the bucket number ``_code``, increasing in the wanted order; also returns the order inside a bucket.
 
     The bucket is chosen by the value as a double; inside it rows are sorted by the value itself, so long integers
@@ -60,12 +78,10 @@ def _code_by_value(df: DataFrame, order: str | Column, group: list[str], tie: st
     sampled = keyed if sample_of is None else sample_of.select(*group, key.alias("_k"))
 
     # Only the balance hangs on the boundaries, so a light sketch is enough.
-    probs = ", ".join(repr(i / buckets) for i in range(1, buckets))
-    sketch = F.coalesce(F.expr(f"percentile_approx(_k, array({probs}), {8 * buckets})"), F.array(F.lit(0.0))).alias("_bounds")
-    if group:
-        coded = join_null_safe(keyed, _hint(df, group)(sampled.groupBy(*group).agg(sketch)), group)
-    else:
-        coded = keyed.withColumn("_bounds", scalar_of(sampled.agg(sketch)))
+    bounds, none = _merged_bounds(sampled, group, buckets), F.array(F.lit(0.0))
+    # A group of nulls alone has no boundaries.
+    coded = join_null_safe(keyed, hint(bounds), group, "left") if group else keyed.withColumn("_bounds", scalar_of(bounds.select("_bounds")))
+    coded = coded.withColumn("_bounds", F.coalesce("_bounds", none))
 
     # Binary search in the sorted boundaries: how many are at most the key, how many are below it.
     steps = ", ".join(str(2 ** j) for j in reversed(range((buckets - 1).bit_length())))
@@ -99,7 +115,7 @@ def _code_by_hash(df: DataFrame, key: str, seed: int | str) -> tuple[DataFrame,
     return coded, [F.asc("_h"), F.asc(key)]
 
 
-def _with_offsets(coded: DataFrame, group: list[str], values: dict[str, Column]) -> DataFrame:
+def _with_offsets(coded: DataFrame, group: list[str], values: dict[str, Column], hint: Hint) -> DataFrame:
     """Add for each value the sum over earlier buckets (_o_), over the own bucket (_b_) and over the group (_total).
 
     One row per bucket and group is joined; it is broadcast where the groups were counted to be few.
@@ -113,7 +129,7 @@ def _with_offsets(coded: DataFrame, group: list[str], values: dict[str, Column])
             F.sum(f"_b_{n}").over(whole).alias(f"{n}_total"),
         )
     ])
-    return join_null_safe(coded, _hint(coded, group)(offsets), [*group, "_code"])
+    return join_null_safe(coded, hint(offsets), [*group, "_code"])
 
 
 def _add_prefix(placed: DataFrame, group: list[str], within: list[Column], values: dict[str, Column]) -> DataFrame:
@@ -145,8 +161,9 @@ def prefix_sums(
     buckets are dropped before anything is sorted.
     """
     group = list(group)
-    coded, within = _code_by_value(df, order, group, tie, descending, buckets, sample_of)
-    placed = _with_offsets(coded, group, values)
+    hint = _hint(df if sample_of is None else sample_of, group)
+    coded, within = _code_by_value(df, order, group, tie, descending, buckets, sample_of, hint)
+    placed = _with_offsets(coded, group, values, hint)
     return _add_prefix(placed if needed is None else placed.where(needed), group, within, values)
 
 
@@ -175,7 +192,7 @@ def hash_ordinal(df: DataFrame, key: str, seed: int | str, group: Sequence[str]
     """
     group = list(group)
     coded, within = _code_by_hash(df, key, seed)
-    placed = _with_offsets(coded, group, _ones())
+    placed = _with_offsets(coded, group, _ones(), _hint(df, group))
     if first is not None:
         placed = placed.where(F.col("_o__before") < first)
     out = _as_ordinal(_add_prefix(placed, group, within, _ones()))
@@ -185,13 +202,13 @@ def hash_ordinal(df: DataFrame, key: str, seed: int | str, group: Sequence[str]
 Cuts = Callable[[Column], list[Column]]
 
 
-def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts, out: str, flags: bool = False) -> DataFrame:
+def _cut_at(coded: DataFrame, within: list[Column], group: list[str], cuts: Cuts, out: str, hint: Hint, flags: bool = False) -> DataFrame:
     """Add the number of cut positions before each row, or with ``flags`` an array telling which.
 
     A bucket without a cut inside has one answer for all its rows; only the few buckets that a cut
     goes through are sorted, so nearly all rows are neither shuffled nor sorted.
     """
-    placed = _with_offsets(coded, group, _ones()).withColumnRenamed("_before_total", "n_rows")
+    placed = _with_offsets(coded, group, _ones(), hint).withColumnRenamed("_before_total", "n_rows")
     start, size = F.col("_o__before"), F.col("_b__before")
     positions = cuts(F.col("n_rows"))
     split = F.lit(False)
@@ -216,14 +233,15 @@ def cut_by_value(df: DataFrame, order: str | Column, tie: str, cuts: Cuts, group
     when p > c.
     """
     group = list(group)
-    coded, within = _code_by_value(df, order, group, tie, descending, buckets)
-    return _cut_at(coded, within, group, cuts, out, flags)
+    hint = _hint(df, group)
+    coded, within = _code_by_value(df, order, group, tie, descending, buckets, hint=hint)
+    return _cut_at(coded, within, group, cuts, out, hint, flags)
 
 
 def cut_by_hash(df: DataFrame, key: str, seed: int | str, cuts: Cuts, group: Sequence[str] = (), out: str = "part") -> DataFrame:
     """As :func:`cut_by_value`, in the order of the seeded hash of a unique id."""
     coded, within = _code_by_hash(df, key, seed)
-    return _cut_at(coded, within, list(group), cuts, out)
+    return _cut_at(coded, within, list(group), cuts, out, _hint(df, list(group)))
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequence[str] = (),

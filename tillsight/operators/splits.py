@@ -146,8 +146,8 @@ def _top_share(df: DataFrame, score: str, q: float) -> DataFrame:
     return df.withColumn("label", (F.col(score) >= cut).cast("int"))
 
 
-def label_percentile(df: DataFrame, q: float = 0.72, noise: float = 0.0, seed: int = 42) -> DataFrame:
-    """Rule label: frequent, high-spending, mostly in-store customers; the top share is positive."""
+def rule_score(df: DataFrame, noise: float = 0.0, seed: int = 42) -> DataFrame:
+    """Add ``rule_score``, high for frequent, high-spending, mostly in-store customers."""
     both = df.select(F.col("frequency").cast("double").alias("f"), F.col("monetary").cast("double").alias("m"))
     marks = exact_quantiles(both.unpivot([], ["f", "m"], "feature", "value"), "value", {"mid": 0.55, "top": 1.0}, ["feature"])
     pick = lambda feature, c: F.max(F.when(F.col("feature") == feature, F.col(c)))
@@ -163,7 +163,12 @@ def label_percentile(df: DataFrame, q: float = 0.72, noise: float = 0.0, seed: i
     )
     if noise:
         score = score + _gauss(seed, noise)
-    return _top_share(df.withColumn("rule_score", score).drop("_marks"), "rule_score", q)
+    return df.withColumn("rule_score", score).drop("_marks")
+
+
+def label_percentile(df: DataFrame, q: float = 0.72, noise: float = 0.0, seed: int = 42) -> DataFrame:
+    """Rule label: the top share of :func:`rule_score` is positive."""
+    return _top_share(rule_score(df, noise, seed), "rule_score", q)
 
 
 def concept_score(concept: str) -> Column:

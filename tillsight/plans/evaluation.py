@@ -6,7 +6,8 @@ from pyspark.sql import Window, functions as F
 
 from ..config import COMPLEXITY_ORDER, ENSEMBLES
 from ..operators import metrics as me, selection as se
-from .registry import auc_sql, cte, metrics_table, model_scores, names_sql, query, r, rounded, sql
+from .models import curve_scores, model_scores
+from .registry import auc_sql, cte, metrics_table, names_sql, query, r, rounded, sql
 
 
 @query("v1_auc", sql(f"SELECT experiment, model, split, positives, negatives, {r('auc', 6)} AS auc FROM split_auc"))
@@ -168,21 +169,35 @@ def _(spark, d):
     return best("max").unionByName(best("min")).select("category", "how", "step", "value")
 
 
-cte("lc_auc", auc_sql("model_scores", ["model", "split", "fold", "experiment"]))
+cte("curve_auc", auc_sql("curve_scores", ["model", "size", "held", "role"]))
+cte("curve_points", """SELECT a.model, a.size, a.held, max(auc) FILTER (WHERE role = 'train') AS train_auc, max(auc) FILTER (WHERE role = 'val') AS val_auc, max(n) AS train_size
+  FROM curve_auc a JOIN (SELECT size, held, count(*) FILTER (WHERE role = 'train') AS n FROM curve_members GROUP BY 1, 2) USING (size, held) GROUP BY 1, 2, 3""")
 
 
-@query("t8_curve_summary", sql(f"""SELECT model, fold AS train_size, {r('avg(tr)', 6)} AS train_mean, {r('stddev_pop(tr)', 6)} AS train_std, {r('avg(te)', 6)} AS val_mean, {r('stddev_pop(te)', 6)} AS val_std
-  FROM (SELECT model, fold, experiment, max(auc) FILTER (WHERE split = 'train') AS tr, max(auc) FILTER (WHERE split = 'test') AS te FROM lc_auc GROUP BY ALL) GROUP BY 1, 2"""))
+def curve_points(spark, d):
+    """Points of the learning curves: (model, size, held, train_auc, val_auc, rows trained on)."""
+    a = me.auc(curve_scores(spark, d), group=["model", "size", "held", "role"])
+    of = lambda role, c: F.max(F.when(F.col("role") == role, F.col(c)))
+    rows = of("train", "n")
+    return a.withColumn("n", F.col("positives") + F.col("negatives")).groupBy("model", "size", "held").agg(
+        of("train", "auc").alias("train_auc"), of("val", "auc").alias("val_auc"), rows.alias("train_size"))
+
+
+@query("t8_curve_points", sql(f"SELECT model, size, held, {r('train_auc', 6)} AS train_auc, {r('val_auc', 6)} AS val_auc, train_size FROM curve_points"))
+def _(spark, d):
+    return rounded(curve_points(spark, d), train_auc=6, val_auc=6)
+
+
+@query("t8_curve_summary", sql(f"""SELECT model, size AS train_size, {r('avg(train_auc)', 6)} AS train_mean, {r('stddev_pop(train_auc)', 6)} AS train_std,
+  {r('avg(val_auc)', 6)} AS val_mean, {r('stddev_pop(val_auc)', 6)} AS val_std FROM curve_points GROUP BY 1, 2"""))
 def _(spark, d):
-    """Each fold as a size and each experiment as a repetition."""
-    a = me.auc(model_scores(spark, d), group=["model", "split", "fold", "experiment"])
-    pick = lambda s: F.max(F.when(F.col("split") == s, F.col("auc")))
-    pts = a.groupBy("model", F.col("fold").alias("train_size"), "experiment").agg(pick("train").alias("train_auc"), pick("test").alias("val_auc"))
+    """Mean and deviation over the held-out folds; sizes by number, as the folds' rows differ a little."""
+    pts = curve_points(spark, d).withColumn("train_size", F.col("size"))
     return rounded(me.curve_summary(pts), train_mean=6, train_std=6, val_mean=6, val_std=6)
 
 
 @query("t8_curve_diagnosis", sql("""SELECT model, CASE WHEN va < 0.7 AND tr < 0.7 THEN 'underfit' WHEN tr - va > 0.08 THEN 'overfit' WHEN tr - va < 0.03 THEN 'converged' ELSE 'moderate' END AS diagnosis
-  FROM (SELECT model, avg(train_auc) AS tr, avg(test_auc) AS va FROM metrics GROUP BY 1)"""))
+  FROM (SELECT model, avg(train_auc) AS tr, avg(val_auc) AS va FROM curve_points WHERE size = (SELECT max(size) FROM curve_points) GROUP BY 1)"""))
 def _(spark, d):
-    m = metrics_table(spark, d).select("model", F.lit(1).alias("train_size"), "train_auc", F.col("test_auc").alias("val_auc"))
-    return me.curve_diagnosis(me.curve_summary(m)).select("model", "diagnosis")
+    pts = curve_points(spark, d).withColumn("train_size", F.col("size"))
+    return me.curve_diagnosis(me.curve_summary(pts)).select("model", "diagnosis")

@@ -76,7 +76,7 @@ def _(spark, d):
 @query("a11_class_balance", sql(f"""SELECT split, count(*) AS n, CAST(sum(label) AS BIGINT) AS positives, {r('avg(label)', 6)} AS rate,
   CASE WHEN avg(label) < 0.02 THEN 'too weak' WHEN avg(label) > 0.5 THEN 'too strong' END AS warning FROM model_scores GROUP BY split"""))
 def _(spark, d):
-    from .registry import model_scores
+    from .models import model_scores
     return rounded(fe.class_balance(model_scores(spark, d)), rate=6)
 
 
@@ -296,10 +296,6 @@ for _name, _cuts in {
         return sp.random_split(ad.customers(spark, d).select("customer_id", "persona"), cuts, last)
 
 
-cte("labelled", f"""SELECT c.customer_id, CASE WHEN b.customer_id IS NULL THEN 0 ELSE 1 END AS label FROM (SELECT DISTINCT customer_id FROM rtd WHERE day <= {ad.RETAIL_BOUNDS['features_end']}) c
-  LEFT JOIN (SELECT DISTINCT customer_id FROM rtd WHERE day > {ad.RETAIL_BOUNDS['features_end']} AND day <= {ad.RETAIL_BOUNDS['labels_end']} AND category IN ({names_sql(ad.RETAIL_PROMOTED)})) b USING (customer_id)""")
-
-
 def labelled(spark, d):
     t = fe.window_slices(rt(spark, d), **ad.RETAIL_BOUNDS)
     ids = t.where("in_train_features").select("customer_id").distinct()

@@ -7,18 +7,16 @@ import datetime as dt
 from pyspark.sql import Window, functions as F
 
 from ..config import SEG5
-from ..operators import drift as dr, features as fe, outcome as oc
+from ..operators import drift as dr, features as fe, metrics as me, outcome as oc
 from ..session import materialise
 from ..sources import adapters as ad
 from .data import outcomes
-from .registry import cte, ev, features_sql, metrics_table, model_scores, query, r, rounded, rt, scored, sql
+from .models import TRAIN_DAY, model_scores, phase_scores
+from .registry import auc_sql, cte, ev, lift_sql, query, r, rounded, rt, scored, sql
 
 _SEG = ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in SEG5)
 _LIST = ", ".join(SEG5)
-TRAIN_DAY = dt.date(1995, 1, 1) + dt.timedelta(days=ad.RETAIL_BOUNDS["features_end"])
 
-cte("train_rt", f"""SELECT * FROM rt WHERE "timestamp" < TIMESTAMP '{TRAIN_DAY + dt.timedelta(days=1)}'""")
-cte("train_feats", features_sql("train_rt", str(TRAIN_DAY), ad.RETAIL_PROMOTED))
 cte("exp_long", f"SELECT feature, value FROM (UNPIVOT (SELECT {_SEG} FROM train_feats) ON {_LIST} INTO NAME feature VALUE value)")
 cte("act_long", f"SELECT feature, value FROM (UNPIVOT (SELECT {_SEG} FROM feats) ON {_LIST} INTO NAME feature VALUE value)")
 
@@ -148,19 +146,21 @@ def _(spark, d):
     return dr.psi_matrix(psi_hist(spark, d))
 
 
-_PHASE = {"baseline": "random_forest", "stale": "logistic_regression", "retrained": "lightgbm"}
-_P = lambda phase, c: f"max({c}) FILTER (WHERE model = '{_PHASE[phase]}')"
+cte("phase_test", "SELECT * FROM phase_scores WHERE split = 'test'")
+cte("phase_auc", auc_sql("phase_test", ["phase", "model"]))
+cte("phase_lift", lift_sql("phase_test", ["phase", "model"]))
+cte("phase_metrics", f"SELECT phase, model, {r('auc', 6)} AS test_auc, {r('lift_at_decile1', 6)} AS lift_d1 FROM phase_auc JOIN phase_lift USING (phase, model)")
+_P = lambda phase, c: f"max({c}) FILTER (WHERE phase = '{phase}')"
 
 
-@query("d7_compare_phases", sql(f"""SELECT experiment, round({_P('baseline', 'test_auc')} - {_P('stale', 'test_auc')}, 4) AS auc_degradation, round({_P('retrained', 'test_auc')} - {_P('stale', 'test_auc')}, 4) AS auc_recovery,
-  round({_P('baseline', 'lift_at_decile1')} - {_P('stale', 'lift_at_decile1')}, 4) AS lift_degradation, round({_P('retrained', 'lift_at_decile1')} - {_P('stale', 'lift_at_decile1')}, 4) AS lift_recovery,
-  {_P('retrained', 'test_auc')} >= {_P('baseline', 'test_auc')} - 0.02e0 AS full_recovery FROM metrics GROUP BY 1"""))
+@query("d7_compare_phases", sql(f"""SELECT model, round({_P('baseline', 'test_auc')} - {_P('stale', 'test_auc')}, 4) AS auc_degradation, round({_P('retrained', 'test_auc')} - {_P('stale', 'test_auc')}, 4) AS auc_recovery,
+  round({_P('baseline', 'lift_d1')} - {_P('stale', 'lift_d1')}, 4) AS lift_degradation, round({_P('retrained', 'lift_d1')} - {_P('stale', 'lift_d1')}, 4) AS lift_recovery,
+  {_P('retrained', 'test_auc')} >= {_P('baseline', 'test_auc')} - 0.02e0 AS full_recovery FROM phase_metrics GROUP BY 1"""))
 def _(spark, d):
-    phase = F.lit(None).cast("string")
-    for name, model in _PHASE.items():
-        phase = F.when(F.col("model") == model, F.lit(name)).otherwise(phase)
-    m = metrics_table(spark, d).select("experiment", phase.alias("phase"), "test_auc", F.col("lift_at_decile1").alias("lift_d1"))
-    return dr.compare_phases(m.where(F.col("phase").isNotNull()), ["experiment"])
+    """A model fitted on the old concept loses on the new one; fitted on the new one it recovers."""
+    m = me.evaluate(phase_scores(spark, d), group=["phase", "model"], fold=None)
+    m = rounded(m, test_auc=6, lift_at_decile1=6).withColumnRenamed("lift_at_decile1", "lift_d1")
+    return dr.compare_phases(m, ["model"])
 
 
 # ---- Realised lift ----

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.exprs import half_up, hash_uniform, scalar_of
+from ..functions.exprs import half_up
 from ..operators import features as fe
 from ..operators.segments import SegmentModel, assign
 from ..session import materialise
@@ -113,45 +113,6 @@ def score_log(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-# Strength of each model's signal and its gain on training rows, for the model-comparison inputs.
-MODEL_STRENGTH = {
-    "logistic_regression": (0.19, 0.005),
-    "decision_tree": (0.23, 0.12),
-    "random_forest": (0.30, 0.01),
-    "xgboost": (0.31, 0.01),
-    "lightgbm": (0.315, 0.012),
-    "voting_ensemble": (0.318, 0.008),
-    "stacking_ensemble": (0.35, 0.01),
-}
-
-
-def customer_labels(spark: SparkSession, d: str) -> DataFrame:
-    """(customer, category, label): bought the category in the test label window."""
-    sliced = fe.window_slices(rt(spark, d), **ad.RETAIL_BOUNDS)
-    every = sliced.groupBy("customer_id").agg(F.max(F.when(F.col("in_test_labels"), 1).otherwise(0)).alias("_any"))
-    bought = sliced.where("in_test_labels").select("customer_id", F.col("category").alias("experiment")).distinct()
-    # Every category that occurs; a short list.
-    categories = sliced.where("category IS NOT NULL").agg(F.sort_array(F.collect_set("category")).alias("c"))
-    grid = every.select("customer_id", F.explode(scalar_of(categories)).alias("experiment"))
-    return grid.join(bought.withColumn("label", F.lit(1)), ["customer_id", "experiment"], "left").withColumn(
-        "label", F.coalesce("label", F.lit(0))
-    )
-
-
-def model_scores(spark: SparkSession, d: str) -> DataFrame:
-    """Scores of seven models for each (customer, category), with split and fold."""
-    models = F.array(*[
-        F.struct(F.lit(m).alias("model"), F.lit(w).alias("w"), F.lit(x).alias("x")) for m, (w, x) in MODEL_STRENGTH.items()
-    ])
-    grid = customer_labels(spark, d).select("*", F.inline(models))
-    split = F.when(hash_uniform("customer_id", "split") < 0.7, "train").otherwise("test")
-    grid = grid.withColumn("split", split).withColumn("fold", F.floor(hash_uniform("customer_id", "fold") * 5).cast("int"))
-    w = F.col("w") + F.when(F.col("split") == "train", F.col("x")).otherwise(0.0)
-    noise = hash_uniform(F.concat_ws("/", "customer_id", "experiment", "model"), "noise")
-    out = grid.withColumn("score", half_up(w * F.col("label") + (1.0 - w) * noise, 6)).drop("w", "x")
-    return materialise(out, "model-scores")
-
-
 # ---- SQL inputs ----
 
 cte("ev", """SELECT 'TXN-' || event_id AS transaction_id, 'CUST-' || user_id AS customer_id, event_type AS category,
@@ -221,19 +182,6 @@ cte("impacts", IMPACTS)
 cte("score_log", f"""SELECT o_orderkey AS log_id, 'CUST-' || o_custkey AS customer_id, {r('1e0 - exp(-o_totalprice / 200000e0)', 6)} AS propensity_score,
   CAST(o_orderkey % 3 AS INTEGER) AS segment_id, o_orderdate AS scored_at, '1.0.0' AS model_version FROM orders""")
 cte("rtd", """SELECT *, CAST(date_diff('day', (SELECT min(CAST("timestamp" AS DATE)) FROM rt), CAST("timestamp" AS DATE)) AS INTEGER) AS day FROM rt""")
-cte("customer_labels", f"""SELECT g.customer_id, g.experiment, CASE WHEN b.customer_id IS NULL THEN 0 ELSE 1 END AS label
-  FROM (SELECT customer_id, experiment FROM (SELECT DISTINCT customer_id FROM rt) CROSS JOIN (SELECT DISTINCT category AS experiment FROM rt)) g
-  LEFT JOIN (SELECT DISTINCT customer_id, category FROM rtd WHERE day > {ad.RETAIL_BOUNDS['labels_end']}) b
-  ON g.customer_id = b.customer_id AND g.experiment = b.category""")
-_MODELS = ", ".join(f"('{m}', ({w!r})::DOUBLE, ({x!r})::DOUBLE)" for m, (w, x) in MODEL_STRENGTH.items())
-cte("model_grid", f"""SELECT customer_id, experiment, label, model,
-  CASE WHEN {u_sql('customer_id', 'split')} < 0.7e0 THEN 'train' ELSE 'test' END AS split,
-  CAST(floor({u_sql('customer_id', 'fold')} * 5) AS INTEGER) AS fold, w, x,
-  {u_sql("concat_ws('/', customer_id, experiment, model)", 'noise')} AS noise
-  FROM customer_labels CROSS JOIN (VALUES {_MODELS}) AS m(model, w, x)""")
-cte("model_scores", f"""SELECT customer_id, experiment, label, model, split, fold, {r('ww * label + (1e0 - ww) * noise', 6)} AS score
-  FROM (SELECT *, w + CASE WHEN split = 'train' THEN x ELSE 0e0 END AS ww FROM model_grid)""")
-
 
 def auc_sql(src: str, group: list[str], y: str = "label", p: str = "score") -> str:
     """Positives, negatives, AUC and average precision of each group, from counts per score."""
@@ -283,8 +231,7 @@ cte("metrics", f"""SELECT experiment, model, {r("max(auc) FILTER (WHERE split =
 
 def metrics_table(spark: SparkSession, d: str) -> DataFrame:
     """Metrics of every (experiment, model), rounded so that decisions do not hang on the last bit."""
-    from ..operators.metrics import cv_std, evaluate
+    from ..operators.metrics import evaluate
+    from .models import model_scores
 
-    scores = model_scores(spark, d)
-    m = evaluate(scores).join(F.broadcast(cv_std(scores)), ["experiment", "model"])  # one row a model
-    return rounded(m, test_auc=6, train_auc=6, lift_at_decile1=6, cv_std=6)
+    return rounded(evaluate(model_scores(spark, d)), test_auc=6, train_auc=6, lift_at_decile1=6, cv_std=6)
