@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from .ordinal import join_null_safe
 from ..config import PSI_BINS, PSI_DRIFT, PSI_WARN
 from ..functions.exprs import linear_bin
+from ..session import materialise
 
 
 def to_long(df: DataFrame, cols: Sequence[str], ids: Sequence[str] = ()) -> DataFrame:
@@ -75,39 +76,76 @@ def psi_reference(expected: DataFrame, actual: DataFrame, cols: Sequence[str]) -
     return psi_reference_long(reference_table(expected, cols), reference_table(actual, cols))
 
 
-def psi_joint_long(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+#: Snapshots whose edges are searched together; more are dealt to several indexes.
+SNAPSHOTS = 10_000
+
+
+def _limits(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    return df.groupBy(*by).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
+
+
+def _few(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """With a broadcast hint if the table, written before, was counted to be short."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def _expected_counts(expected: DataFrame, joint: DataFrame, keys: list[str], snapshots: int = SNAPSHOTS) -> DataFrame:
+    """(keys..., feature, bin, e): the expected rows counted in the bins of every snapshot, though each row is placed once.
+
+    All snapshots' inner edges of a feature are one sorted index. A value's place in it is found by binary search; the rows per
+    place are added up from the top, which gives for each edge how many values are at or above it; a bin's count is the difference of two edges.
+    """
+    blocks = max(1, -(-joint.select(*keys).distinct().count() // snapshots))
+    block = F.pmod(F.xxhash64(*keys), F.lit(blocks)) if blocks > 1 else F.lit(0)
+    inner = F.transform(F.sequence(F.lit(1), F.lit(PSI_BINS - 1)), lambda i: F.col("lo") + i * ((F.col("hi") - F.col("lo")) / F.lit(float(PSI_BINS))))
+    edges = joint.select(*keys, "feature", block.alias("_block"), F.posexplode(inner).alias("_i", "_edge"))
+    index = materialise(edges.groupBy("feature", "_block").agg(F.sort_array(F.collect_set("_edge")).alias("_edges")), "edges")
+    longest = index.agg(F.max(F.size("_edges"))).first()[0] or 1
+    steps = ", ".join(str(2 ** j) for j in reversed(range(longest.bit_length())))
+    at = F.expr(f"aggregate(array({steps}), 0, (at, step) -> at + IF(get(_edges, at + step - 1) <= value, step, 0))")
+    # One row per feature and block of snapshots.
+    cells = expected.join(F.broadcast(index), "feature").groupBy("feature", "_block", at.alias("_at")).agg(F.count(F.lit(1)).alias("c"))
+    places = index.select("feature", "_block", F.posexplode("_edges").alias("_p", "_edge")).select("feature", "_block", (F.col("_p") + 1).alias("_at"), "_edge")
+    whole = Window.partitionBy("feature", "_block")
+    summed = places.withColumn("c", F.lit(0)).unionByName(cells.withColumn("_edge", F.lit(None).cast("double"))).groupBy("feature", "_block", "_at").agg(
+        F.max("_edge").alias("_edge"), F.sum("c").alias("c"))
+    above = summed.select("feature", "_block", "_edge", F.sum("c").over(whole.orderBy(F.desc("_at"))).alias("_ge"), F.sum("c").over(whole).alias("_n")).where("_edge IS NOT NULL")
+    sums = edges.join(_few(materialise(above, "above")), ["feature", "_block", "_edge"]).groupBy(*keys, "feature").agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_i", "_ge"))), lambda x: x["_ge"]).alias("_ge"), F.first("_n").alias("_n"))
+    bounds = F.concat(F.array("_n"), F.col("_ge"), F.array(F.lit(0).cast("long")))
+    bins = F.transform(F.sequence(F.lit(0), F.lit(PSI_BINS - 1)), lambda b: F.struct(
+        b.alias("bin"), (F.get("_bounds", b) - F.get("_bounds", b + 1)).alias("e")))
+    return sums.withColumn("_bounds", bounds).select(*keys, "feature", F.inline(bins))
+
+
+def psi_joint_long(expected: DataFrame, actual: DataFrame, keys: Sequence[str] = (), snapshots: int = SNAPSHOTS) -> DataFrame:
     """PSI over ten equal-width bins of the joint range; shares of all rows, at least 1e-6.
 
-    ``keys`` (e.g. a snapshot date) split the actual side; the expected side is compared with each.
+    ``keys`` (e.g. a snapshot date) split the actual side; the expected side is compared with each, its rows being read once.
     A constant feature has index 0.
     """
     keys = list(keys)
     values = lambda df: df.where(F.col("value").isNotNull())
     expected, actual = values(expected), values(actual)
-    lims = lambda df, by: df.groupBy(*by).agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-    e_lim = lims(expected, ["feature"]).withColumnsRenamed({"lo": "elo", "hi": "ehi"})
-    joint = lims(actual, [*keys, "feature"]).join(F.broadcast(e_lim), "feature").select(
+    e_lim = _limits(expected, ["feature"]).withColumnsRenamed({"lo": "elo", "hi": "ehi"})  # one row a feature
+    joint = _limits(actual, [*keys, "feature"]).join(F.broadcast(e_lim), "feature").select(
         *keys, "feature", F.least("lo", "elo").alias("lo"), F.greatest("hi", "ehi").alias("hi")
     )
     at = linear_bin("value", "lo", "hi", PSI_BINS).alias("bin")
-    a = join_null_safe(actual, F.broadcast(joint), [*keys, "feature"]).groupBy(*keys, "feature", at).agg(
-        F.count(F.lit(1)).alias("a")
-    )
-    # The bins differ by snapshot, so the expected rows are counted once for each snapshot's edges.
     if keys:
-        per_feature = joint.groupBy("feature").agg(F.collect_list(F.struct(*keys, "lo", "hi")).alias("_s"))
-        spread = expected.join(F.broadcast(per_feature), "feature").select(
-            "feature", "value", F.inline("_s")
-        )
+        joint = materialise(joint, "limits")
+        near = _few(joint)
+        e = _expected_counts(expected, joint, keys, snapshots)
     else:
-        spread = expected.join(F.broadcast(joint), "feature")
-    e = spread.groupBy(*keys, "feature", at).agg(F.count(F.lit(1)).alias("e"))
+        near = F.broadcast(joint)  # one row a feature
+        e = expected.join(near, "feature").groupBy("feature", at).agg(F.count(F.lit(1)).alias("e"))
+    a = join_null_safe(actual, near, [*keys, "feature"]).groupBy(*keys, "feature", at).agg(F.count(F.lit(1)).alias("a"))
     # Summed, not joined, so that a null key is a key like others.
     both = e.withColumn("a", F.lit(0)).unionByName(a.withColumn("e", F.lit(0))).groupBy(*keys, "feature", "bin").agg(
         F.sum("e").alias("e"), F.sum("a").alias("a"))
     psi = _index(both, keys, 1e-6)
-    flat = joint.select(*keys, "feature", (F.col("lo") == F.col("hi")).alias("_flat"))
-    return join_null_safe(psi, F.broadcast(flat), [*keys, "feature"]).select(
+    flat = near.select(*keys, "feature", (F.col("lo") == F.col("hi")).alias("_flat"))
+    return join_null_safe(psi, flat, [*keys, "feature"]).select(
         *keys, "feature", F.when(F.col("_flat"), F.lit(0.0)).otherwise(F.col("psi")).alias("psi")
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .ordinal import join_null_safe
 from ..functions.exprs import num, scalar_of
+from ..session import materialise
 
 #: Fits whose weights are broadcast at most; more are joined by a shuffle.
 FEW_FITS = 10_000
@@ -70,6 +71,7 @@ def apply_weights(rows: DataFrame, weights: DataFrame, by: Sequence[str], models
     table = weights.where(F.col("feature").isin(features)).groupBy(*by).agg(
         F.first("prior").alias("_prior"), F.array(*[pick("weight", f) for f in features]).alias("_w"),
         F.array(*[pick("middle", f) for f in features]).alias("_m"))
+    table = materialise(table, "weights")
     if table.limit(FEW_FITS + 1).count() <= FEW_FITS:
         table = F.broadcast(table)
     joined = join_null_safe(rows, table, by)

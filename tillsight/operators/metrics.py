@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.exprs import ratio_or_zero
 from .features import KEY
-from .ordinal import cut_by_value, join_null_safe, prefix_sums
+from .ordinal import buckets_for, cut_by_value, join_null_safe, prefix_sums
 from ..session import materialise
 
 
@@ -23,7 +23,8 @@ def rank_metrics(df: DataFrame, y: str = "label", p: str = "score", group: Seque
     counts = df.groupBy(*group, p).agg(
         F.sum(F.col(y).cast("bigint")).alias("_pos"), F.sum((1 - F.col(y)).cast("bigint")).alias("_neg")
     )
-    placed = prefix_sums(counts, p, {"_pa": F.col("_pos"), "_na": F.col("_neg")}, group, sample_of=df)
+    counts = materialise(counts, "counts")
+    placed = prefix_sums(counts, p, {"_pa": F.col("_pos"), "_na": F.col("_neg")}, group, buckets=buckets_for(counts, group))
     upto = F.col("_pa") + F.col("_pos")
     precision = upto / (upto + F.col("_na") + F.col("_neg"))
     out = placed.groupBy(*group).agg(
@@ -89,7 +90,8 @@ def evaluate(scores: DataFrame, y: str = "label", p: str = "score", tie: str = K
     counts = scores.select(*group, p, y, F.inline(F.array(*parts))).groupBy(*group, "_kind", "_part", p).agg(
         F.sum(F.col(y).cast("bigint")).alias("_pos"), F.sum((1 - F.col(y)).cast("bigint")).alias("_neg"))
     counts = materialise(counts, "counts")
-    placed = prefix_sums(counts, p, {"_pa": F.col("_pos"), "_na": F.col("_neg")}, [*group, "_kind", "_part"])
+    keys = [*group, "_kind", "_part"]
+    placed = prefix_sums(counts, p, {"_pa": F.col("_pos"), "_na": F.col("_neg")}, keys, buckets=buckets_for(counts, keys))
     before, here = F.col("_pa") + F.col("_na"), F.col("_pos") + F.col("_neg")
     top = F.greatest(F.floor((F.col("_pa_total") + F.col("_na_total")) / 10), F.lit(1))
     cut = (before < top) & (before + here >= top)

@@ -26,6 +26,13 @@ def default_buckets(df: DataFrame) -> int:
     return max(64, min(_MAX_BUCKETS, parts))
 
 
+def buckets_for(table: DataFrame, group: Sequence[str], rows_each: int = 50_000) -> int:
+    """As many buckets as the largest group of a written table needs for about ``rows_each`` rows in each, within 1..4096."""
+    sizes = table.groupBy(*group).count() if group else table.select(F.count(F.lit(1)).alias("count"))
+    largest = sizes.agg(F.max("count")).first()[0] or 0
+    return max(1, min(_MAX_BUCKETS, -(-largest // rows_each)))
+
+
 def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` in which a null key equals a null key; the keys come back once, from the left."""
     other = right.select("*", *[F.col(k).alias(f"_n_{k}") for k in keys]).drop(*keys)
@@ -83,10 +90,12 @@ def _code_by_value(df: DataFrame, order: str | Column, group: list[str], tie: st
     coded = join_null_safe(keyed, hint(bounds), group, "left") if group else keyed.withColumn("_bounds", scalar_of(bounds.select("_bounds")))
     coded = coded.withColumn("_bounds", F.coalesce("_bounds", none))
 
-    # Binary search in the sorted boundaries: how many are at most the key, how many are below it.
-    steps = ", ".join(str(2 ** j) for j in reversed(range((buckets - 1).bit_length())))
-    count = lambda op: F.expr(f"aggregate(array({steps}), 0, (at, step) -> at + IF(get(_bounds, at + step - 1) {op} _k, step, 0))")
-    coded = coded.withColumns({"_upto": count("<="), "_below": count("<")})
+    # Binary search in the sorted boundaries: how many are at most the key, how many are below it. One column a step, so that
+    # no step is a function call of its own.
+    coded = coded.withColumns({"_upto": F.lit(0), "_below": F.lit(0)})
+    for j in reversed(range((buckets - 1).bit_length())):
+        step = lambda c, op: F.expr(f"{c} + IF(coalesce(get(_bounds, {c} + {2 ** j - 1}) {op} _k, false), {2 ** j}, 0)")
+        coded = coded.withColumns({"_upto": step("_upto", "<="), "_below": step("_below", "<")})
     # Rows of one double are cut further by hash only where the double stands for one value.
     if isinstance(kind, (T.DoubleType, T.FloatType)):
         one = "abs(_k) < double('Infinity')"
@@ -161,6 +170,13 @@ def prefix_sums(
     buckets are dropped before anything is sorted.
     """
     group = list(group)
+    if buckets == 1 and tie is None and needed is None:
+        # No group is larger than one task sorts easily: the windows alone do.
+        value = F.col(order) if isinstance(order, str) else order
+        whole = Window.partitionBy(*group)
+        before = whole.orderBy(F.desc_nulls_last(value) if descending else F.asc_nulls_last(value)).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumns({**{n: F.coalesce(F.sum(v).over(before), F.lit(0)) for n, v in values.items()},
+                               **{f"{n}_total": F.sum(v).over(whole) for n, v in values.items()}})
     hint = _hint(df if sample_of is None else sample_of, group)
     coded, within = _code_by_value(df, order, group, tie, descending, buckets, sample_of, hint)
     placed = _with_offsets(coded, group, values, hint)

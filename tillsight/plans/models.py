@@ -18,7 +18,8 @@ from ..session import materialise
 from ..sources import adapters as ad
 from .registry import cte, features_sql, names_sql, r, rt, u_sql
 
-TRAIN_DAY = dt.date(1995, 1, 1) + dt.timedelta(days=ad.RETAIL_BOUNDS["features_end"])
+FIRST_DAY = dt.date(1995, 1, 1)
+TRAIN_DAY = FIRST_DAY + dt.timedelta(days=ad.RETAIL_BOUNDS["features_end"])
 EXPERIMENTS = ["promoted", "rule", "stable", "drifted"]
 TOP_SHARE = 0.72
 
@@ -37,10 +38,10 @@ SPLIT_SHARE, FOLDS = 0.7, 5
 
 
 def labelled_rows(spark: SparkSession, d: str) -> DataFrame:
-    """One row per customer and experiment: label, split, fold and the features' basis; written once."""
-    t = rt(spark, d)
-    sliced = fe.window_slices(t, **ad.RETAIL_BOUNDS)
-    f = fe.silver_features(t.where(F.col("ingest_date") <= F.lit(TRAIN_DAY)), TRAIN_DAY, promoted=ad.RETAIL_PROMOTED)
+    """One row per customer and experiment: label, split, fold and the features' basis, which is written once."""
+    sliced = fe.window_slices(rt(spark, d), **ad.RETAIL_BOUNDS, start=FIRST_DAY)
+    past = sliced.where("in_train_features")
+    f = fe.rfm(past, TRAIN_DAY).join(fe.channel_mix(past), "customer_id")  # both are hashed by customer
     f = sp.label_forward(f, sliced.where("in_train_labels"), ad.RETAIL_PROMOTED)
     f = materialise(f.select("customer_id", *SEG5, F.col("label").alias("promoted")), "train-features")
     # The concepts' scales fit small baskets: amounts in thousands.
@@ -53,14 +54,14 @@ def labelled_rows(spark: SparkSession, d: str) -> DataFrame:
     # One cut for each score: the top share is positive.
     scores = wide.select("rule", "stable", "drifted").unpivot([], ["rule", "stable", "drifted"], "experiment", "s")
     cuts = exact_quantiles(scores, "s", {"cut": TOP_SHARE}, ["experiment"])
-    cuts = cuts.agg(F.map_from_entries(F.collect_list(F.struct("experiment", "cut"))).alias("c")).scalar()  # three rows
-    top = lambda e: (F.col(e) >= F.col("_cuts")[e]).cast("int")
+    at = {c.experiment: c.cut for c in cuts.select("experiment", "cut").collect()}  # three rows
+    top = lambda e: (F.col(e) >= F.lit(at.get(e))).cast("int")
     labels = F.array(*[F.struct(F.lit(e).alias("experiment"), (F.col(e) if e == "promoted" else top(e)).alias("label")) for e in EXPERIMENTS])
-    rows = wide.withColumn("_cuts", cuts).withColumns({
+    rows = wide.withColumns({
         "split": F.when(hash_uniform("customer_id", "split") < SPLIT_SHARE, "train").otherwise("test"),
         "fold": F.floor(hash_uniform("customer_id", "fold") * FOLDS).cast("int"),
     })
-    return materialise(rows.select("customer_id", "split", "fold", *ALL, F.inline(labels)), "labelled")
+    return rows.select("customer_id", "split", "fold", *ALL, F.inline(labels))
 
 
 def _six(df: DataFrame, models) -> DataFrame:
