@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..config import DEFAULT_PERSONA, PROMOTED_CATEGORIES
 from ..functions.exprs import clip, missing, ratio_or_zero, scalar_of
 from .ordinal import exact_quantiles, join_null_safe
+from ..session import materialise
 
 KEY = "customer_id"
 
@@ -179,11 +180,39 @@ def with_segments(features: DataFrame, segments: DataFrame) -> DataFrame:
 
 
 def with_persona(features: DataFrame, dim: DataFrame, default: str = DEFAULT_PERSONA) -> DataFrame:
-    """Persona of a customer, a default where unknown. The dimension grows with the customers: no broadcast hint."""
+    """Persona of a customer, a default where unknown, for one row a customer. The dimension grows with the customers: no broadcast hint.
+
+    Raw transactions are joined by :func:`join_heavy`.
+    """
     joined = features.join(dim.select(KEY, "persona"), KEY, "left")
     return joined.withColumn("persona", F.coalesce("persona", F.lit(default)))
 
 
+#: A key with more rows than this is spread over several tasks before a join; and so many such keys are broadcast at most.
+HEAVY_ROWS, HEAVY_KEYS = 100_000, 100_000
+
+
+def join_heavy(rows: DataFrame, dim: DataFrame, key: str = KEY, heavy_rows: int = HEAVY_ROWS, spread: int = 32) -> DataFrame:
+    """Left join of raw rows with a table of one row per ``key``, in which a key with very many rows does not land in one task.
+
+    Rows per key are counted first, with a combination on the map side. Those of heavy keys are dealt to ``spread`` parts by a hash of all their
+    columns, and the few rows of ``dim`` with a heavy key are repeated for each part; the others are joined as they are.
+    """
+    counts = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > heavy_rows).where(F.col(key).isNotNull())
+    heavy = materialise(counts.select(F.col(key).alias("_heavy")), "heavy")
+    n = heavy.count()
+    if not n:
+        return rows.join(dim, key, "left")
+    mark = F.broadcast(heavy) if n <= HEAVY_KEYS else heavy
+    columns = [*rows.columns, *[c for c in dim.columns if c != key]]
+    marked = rows.join(mark, F.col(key) == F.col("_heavy"), "left")
+    light = marked.where("_heavy IS NULL").drop("_heavy").join(dim, key, "left")
+    part = F.pmod(F.xxhash64(*rows.columns), F.lit(spread))
+    copies = dim.join(mark, F.col(key) == F.col("_heavy"), "left_semi").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).cast("long"))
+    dealt = marked.where("_heavy IS NOT NULL").drop("_heavy").withColumn("_part", part).join(copies, [key, "_part"], "left")
+    return light.select(*columns).unionByName(dealt.select(*columns))
+
+
 def with_outcome(scored: DataFrame, purchases: DataFrame) -> DataFrame:
     joined = scored.join(purchases, KEY, "left")
     return joined.withColumn("purchased", F.coalesce("purchased", F.lit(0)))
@@ -378,12 +407,18 @@ def score_correlation(df: DataFrame, cols: list[str], score: str = "propensity_s
     return out.withColumn("place", F.row_number().over(order))
 
 
-def persona_summary(txns: DataFrame) -> DataFrame:
-    """Per persona: mean transactions and mean spend of a customer, share of online transactions."""
-    per_customer = txns.groupBy("persona", KEY).agg(
+def persona_summary(txns: DataFrame, dim: DataFrame | None = None, default: str = DEFAULT_PERSONA) -> DataFrame:
+    """Per persona: mean transactions and mean spend of a customer, share of online transactions.
+
+    With ``dim`` (customer_id, persona) the transactions are added up per customer first, with a combination on the map side, and only
+    one row a customer is joined: a customer with very many transactions is one row there. Without it ``txns`` has the persona.
+    """
+    per_customer = txns.groupBy(*([] if dim is not None else ["persona"]), KEY).agg(
         F.count(F.lit(1)).alias("n"), F.sum("total_amount").alias("spend"),
         F.count_if(F.col("channel") == "online").alias("online"),
     )
+    if dim is not None:
+        per_customer = with_persona(per_customer, dim, default)
     return per_customer.groupBy("persona").agg(
         F.count(F.lit(1)).alias("customers"), F.avg("n").alias("mean_txns"), F.avg("spend").alias("mean_spend"),
         (F.sum("online") / F.sum("n")).alias("online_share"),

@@ -5,12 +5,9 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import VectorAssembler
-from pyspark.storagelevel import StorageLevel
 
 from ..functions.exprs import num, scalar_of
-from ..session import materialise
+from ..session import discard, materialise
 from .features import KEY
 from .ordinal import hash_ordinal
 
@@ -50,23 +47,78 @@ def fit_scaler(df: DataFrame, cols: list[str]) -> tuple[list[float], list[float]
     return [row[f"{c}_mean"] for c in cols], [row[f"{c}_scale"] for c in cols]
 
 
+def _seed(points, k: int, rng):
+    """k-means++ over the rows of a bounded sample: each next centre is drawn in proportion to the squared distance from those before."""
+    import numpy as np
+
+    centres = [points[rng.integers(len(points))]]
+    for _ in range(k - 1):
+        d = np.min([((points - c) ** 2).sum(axis=1) for c in centres], axis=0)
+        centres.append(points[rng.choice(len(points), p=d / d.sum())] if d.sum() > 0 else points[rng.integers(len(points))])
+    return np.array(centres)
+
+
+def _partial_sums(cols: list[str], centres):
+    """Per task, restart and cluster: rows, sum of each column and squared distances to the nearest centre."""
+    import numpy as np
+    import pyarrow as pa
+
+    restarts, k, _ = centres.shape
+
+    def run(batches):
+        total = np.zeros((restarts, k, len(cols) + 2))
+        for batch in batches:
+            x = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in cols], axis=1)
+            full = np.concatenate([np.ones((len(x), 1)), x], axis=1)
+            for r in range(restarts):
+                d = ((x[:, None, :] - centres[r][None, :, :]) ** 2).sum(axis=2)
+                near = d.argmin(axis=1)
+                member = np.zeros((len(x), k))
+                member[np.arange(len(x)), near] = 1.0
+                total[r, :, :-1] += member.T @ full
+                total[r, :, -1] += member.T @ d[np.arange(len(x)), near]
+        at = [(r, c) for r in range(restarts) for c in range(k)]
+        yield pa.RecordBatch.from_arrays([pa.array([r for r, _ in at], pa.int32()), pa.array([c for _, c in at], pa.int32()),
+                                          *[pa.array([total[r, c, i] for r, c in at]) for i in range(len(cols) + 2)]],
+                                         names=["restart", "cluster", "n", *[f"s{i}" for i in range(len(cols))], "cost"])
+
+    return run
+
+
 def fit_segments(df: DataFrame, cols: list[str], k: int = 3, restarts: int = 10, seed: int = 42,
-                 max_iter: int = 50) -> SegmentModel:
-    """K-means on standardised features, the best of several restarts by training cost."""
+                 max_iter: int = 100, seed_rows: int = 2_000) -> SegmentModel:
+    """K-means on standardised features, the best of several restarts by cost.
+
+    All restarts move together: one pass over the points assigns each to the centres of every restart and adds up rows, sums and costs per
+    task, so an iteration is one scan and its result restarts x k rows. The first centres come from the ``seed_rows`` rows of least hash. A centre
+    without rows stays; iterations end when no centre of any restart moves.
+    """
+    import numpy as np
+
     means, scales = fit_scaler(df, cols)
-    scaled = df.select(*[
-        ((F.coalesce(F.col(c), F.lit(0.0)) - F.lit(m)) / F.lit(s)).alias(c) for c, m, s in zip(cols, means, scales)
-    ])
-    points = VectorAssembler(inputCols=cols, outputCol="features").transform(scaled).select("features")
-    points = points.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        fits = [KMeans(k=k, seed=seed + i, maxIter=max_iter).fit(points) for i in range(restarts)]
-        best = min(fits, key=lambda m: m.summary.trainingCost)
-        centroids = sorted(tuple(float(x) for x in c) for c in best.clusterCenters())
-        cost = float(best.summary.trainingCost)
-    finally:
-        points.unpersist()
-    return SegmentModel(tuple(cols), tuple(means), tuple(scales), tuple(centroids), cost)
+    points = materialise(df.select(*[
+        ((F.coalesce(F.col(c).cast("double"), F.lit(0.0)) - F.lit(m)) / F.lit(s)).alias(c) for c, m, s in zip(cols, means, scales)
+    ]), "points")
+    first = points.orderBy(F.xxhash64(*cols, F.lit(seed)), *cols).limit(seed_rows).toPandas()[cols].to_numpy(dtype=float)
+    if not len(first):
+        raise ValueError("no rows to fit segments on")
+    rng = np.random.default_rng(seed)
+    centres = np.array([_seed(first, k, rng) for _ in range(restarts)])
+    schema = "restart int, cluster int, n double, " + "".join(f"s{i} double, " for i in range(len(cols))) + "cost double"
+    for step in range(max_iter + 1):
+        sums = points.mapInArrow(_partial_sums(cols, centres), schema).groupBy("restart", "cluster").sum(*["n", *[f"s{i}" for i in range(len(cols))], "cost"])
+        after, cost = centres.copy(), np.zeros(restarts)
+        for r in sums.collect():  # restarts x k rows
+            cost[r["restart"]] += r["sum(cost)"]
+            if r["sum(n)"]:
+                after[r["restart"], r["cluster"]] = [r[f"sum(s{i})"] / r["sum(n)"] for i in range(len(cols))]
+        if step == max_iter or np.abs(after - centres).max() < 1e-12:
+            break
+        centres = after
+    best = int(cost.argmin())
+    discard(points)
+    centroids = sorted(tuple(float(x) for x in c) for c in centres[best])
+    return SegmentModel(tuple(cols), tuple(means), tuple(scales), tuple(centroids), float(cost[best]))
 
 
 def scaled_expr(model: SegmentModel, i: int) -> str:

@@ -19,8 +19,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import DataFrame, functions as F
-from pyspark.storagelevel import StorageLevel
 
+from ..session import discard, materialise
 from .features import KEY, fill
 from .metrics import curve_summary
 from .ordinal import hash_ordinal
@@ -66,10 +66,10 @@ def rf(cols: Sequence[str], label: str = "label", n_trees: int = 50, max_depth:
 
 
 def gbt(cols: Sequence[str], label: str = "label", n_rounds: int = 50, max_depth: int = 5, rate: float = 0.1,
-        subsample: float = 1.0, validation: str | None = None, tolerance: float = 0.001, seed: int = 42, **_) -> Pipeline:
-    """Gradient boosting; with a validation flag column it stops when the validation loss stops improving."""
-    model = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=n_rounds, maxDepth=max_depth, stepSize=rate,
-                          subsamplingRate=subsample, seed=seed, validationTol=tolerance)
+        subsample: float = 1.0, columns: float = 1.0, min_leaf: int = 1, validation: str | None = None, tolerance: float = 0.001, seed: int = 42, **_) -> Pipeline:
+    """Gradient boosting on a share of the rows and of the columns per tree; with a validation flag column it stops when the validation loss stops improving."""
+    model = GBTClassifier(featuresCol="_x", labelCol=label, maxIter=n_rounds, maxDepth=max_depth, stepSize=rate, minInstancesPerNode=min_leaf,
+                          subsamplingRate=subsample, featureSubsetStrategy="all" if columns >= 1 else str(columns), seed=seed, validationTol=tolerance)
     if validation:
         model.setValidationIndicatorCol(validation)
     return Pipeline(stages=[_assembler(cols), model])
@@ -109,6 +109,29 @@ def fit_gbt(train: DataFrame, val: DataFrame | None, cols: Sequence[str], label:
     return fit(gbt, both, cols, label, validation="_val", **params)
 
 
+def fit_patient(train: DataFrame, val: DataFrame, cols: Sequence[str], label: str = "label", n_rounds: int = 400, idle: int = 20,
+                first: int = 40, **params) -> tuple[PipelineModel, int]:
+    """Boosting that ends after ``idle`` rounds without a lower validation loss; returns the model of the best number of rounds and that number.
+
+    Rounds depend on those before alone, so a longer fit repeats a shorter one: the fit is doubled until the rounds after its best are idle.
+    """
+    ready = fill(val, {c: 0 for c in cols}).withColumn(label, F.col(label).cast("double"))
+    rounds = min(first, n_rounds)
+    while True:
+        model = fit(gbt, train, cols, label, n_rounds=rounds, **params)
+        losses = model.stages[-1].evaluateEachIteration(model.stages[0].transform(ready))
+        best, at = losses[0], 0
+        for i, x in enumerate(losses):
+            if i - at >= idle:
+                break
+            if x < best:
+                best, at = x, i
+        if len(losses) - 1 - at >= idle or rounds == n_rounds:
+            break
+        rounds = min(2 * rounds, n_rounds)
+    return (model if at + 1 == rounds else fit(gbt, train, cols, label, n_rounds=at + 1, **params)), at + 1
+
+
 def apply_model(df: DataFrame, model, out: str = "propensity_score") -> DataFrame:
     """Probability of the positive class; missing features count as 0 for the model only."""
     cols = next(s for s in model.stages if isinstance(s, VectorAssembler)).getInputCols()
@@ -144,6 +167,9 @@ SPACES = {
     "lr": {"c": ("log", 1e-3, 1e2), "balanced": [True, False]},
     "dt": {"max_depth": (2, 7), "min_leaf": (2, 19), "balanced": [True, False]},
     "rf": {"n_trees": (50, 199), "max_depth": [5, 8, 30], "min_leaf": (1, 14), "subset": ["sqrt", "log2"], "balanced": [True, False]},
+    "xgboost": {"n_rounds": (50, 400), "max_depth": (3, 8), "rate": ("log", 0.01, 0.3), "subsample": (0.6, 1.0), "columns": (0.6, 1.0)},
+    # 20 to 100 leaves are depths of 5 to 7.
+    "lightgbm": {"n_rounds": (50, 800), "max_depth": (5, 7), "rate": ("log", 0.01, 0.3), "subsample": (0.6, 1.0), "columns": (0.6, 1.0), "min_leaf": (5, 30)},
 }
 
 
@@ -152,37 +178,37 @@ def _with_penalty(params: dict[str, Any], n: int) -> dict[str, Any]:
     return {**{k: v for k, v in params.items() if k != "c"}, **({"reg": 1.0 / (params["c"] * n)} if "c" in params else {})}
 
 
-def _fold_auc(builder: Builder, train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, params: dict[str, Any]) -> float:
+def _fold_auc(builder: Builder, train: DataFrame, test: DataFrame, cols: Sequence[str], label: str, params: dict[str, Any], idle: int | None = None) -> float:
     """AUC on the test part; 0 where the training part has one class only (or no row) or the test part has no row."""
     n, low, high = train.agg(F.count(label), F.min(label), F.max(label)).first()
     if low == high or test.isEmpty():
         return 0.0
+    if builder is gbt and idle:
+        return model_auc(fit_patient(train, test, cols, label, idle=idle, **params)[0], test, label)
     return model_auc(fit(builder, train, cols, label, **_with_penalty(params, n)), test, label)
 
 
 def random_search(builder: Builder, df: DataFrame, cols: Sequence[str], date_col: str, space: dict[str, Any],
-                  n: int = 10, n_folds: int = 5, gap: int = 7, label: str = "label", seed: int = 42):
-    """Randomised search on forward-chaining folds.
+                  n: int = 10, n_folds: int = 5, gap: int = 7, label: str = "label", seed: int = 42, idle: int = 20):
+    """Randomised search on forward-chaining folds. Boosting ends after ``idle`` rounds without gain on the fold's test part.
 
     Returns (model refitted on all rows with the best parameters, table of trials). The folds are
-    computed and kept once; each fit reads its part of them.
+    computed and written once; each fit reads its part of them.
     """
     rng = random.Random(seed)
-    folds = time_folds(df.select(KEY, date_col, label, *cols), date_col, n_folds, gap).persist(StorageLevel.MEMORY_AND_DISK)
+    folds = materialise(time_folds(df.select(KEY, date_col, label, *cols), date_col, n_folds, gap), "folds")
     trials = []
-    try:
-        for trial in range(n):
-            params = _draw(space, rng)
-            aucs = []
-            for k in range(1, n_folds + 1):
-                part = folds.where(F.col("fold") == k)
-                train, test = part.where("role = 'train'"), part.where("role = 'test'")
-                aucs.append(_fold_auc(builder, train, test, cols, label, params))
-            mean = sum(aucs) / len(aucs)
-            std = math.sqrt(sum((a - mean) ** 2 for a in aucs) / len(aucs))
-            trials.append((trial, mean, std, {k: str(v) for k, v in params.items()}, params))
-    finally:
-        folds.unpersist()
+    for trial in range(n):
+        params = _draw(space, rng)
+        aucs = []
+        for k in range(1, n_folds + 1):
+            part = folds.where(F.col("fold") == k)
+            train, test = part.where("role = 'train'"), part.where("role = 'test'")
+            aucs.append(_fold_auc(builder, train, test, cols, label, params, idle))
+        mean = sum(aucs) / len(aucs)
+        std = math.sqrt(sum((a - mean) ** 2 for a in aucs) / len(aucs))
+        trials.append((trial, mean, std, {k: str(v) for k, v in params.items()}, params))
+    discard(folds)
     best = max(trials, key=lambda t: (t[1], -t[0]))
     model = fit(builder, df, cols, label, **_with_penalty(best[4], df.count()))
     table = df.sparkSession.createDataFrame(
@@ -199,23 +225,20 @@ def stack(train: DataFrame, cols: Sequence[str], members: dict[str, tuple[Builde
     """
     # Members of folds need no order: the hash's remainder deals them without a sort.
     placed = train.select(KEY, label, *cols).withColumn("_fold", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed)), F.lit(folds)).cast("int"))
-    placed = placed.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        parts = []
-        for f in range(folds):
-            held = placed.where(F.col("_fold") == f)
-            for name, (builder, params) in members.items():
-                held = apply_model(held, fit(builder, placed.where(F.col("_fold") != f), cols, label, **params), f"m_{name}")
-            parts.append(held)
-        oof = parts[0]
-        for p in parts[1:]:
-            oof = oof.unionByName(p)
-        names = [f"m_{n}" for n in members]
-        n = placed.count()
-        final = fit(lr, oof, names, label, reg=1.0 / (c * n))
-        fitted = {n: fit(builder, placed, cols, label, **params) for n, (builder, params) in members.items()}
-    finally:
-        placed.unpersist()
+    placed = materialise(placed, "stacking")
+    parts = []
+    for f in range(folds):
+        held = placed.where(F.col("_fold") == f)
+        for name, (builder, params) in members.items():
+            held = apply_model(held, fit(builder, placed.where(F.col("_fold") != f), cols, label, **params), f"m_{name}")
+        parts.append(held)
+    oof = parts[0]
+    for p in parts[1:]:
+        oof = oof.unionByName(p)
+    names = [f"m_{n}" for n in members]
+    n = placed.count()
+    final = fit(lr, materialise(oof, "out-of-fold"), names, label, reg=1.0 / (c * n))
+    fitted = {n: fit(builder, placed, cols, label, **params) for n, (builder, params) in members.items()}
 
     def score(df: DataFrame, out: str = "propensity_score") -> DataFrame:
         wide = df
@@ -229,19 +252,16 @@ def stack(train: DataFrame, cols: Sequence[str], members: dict[str, tuple[Builde
 def learning_curve(builder: Builder, df: DataFrame, cols: Sequence[str], shares: Sequence[float], folds: int = 3,
                    label: str = "label", model_name: str = "model", seed: int = 42, **params) -> DataFrame:
     """Train and validation AUC for growing training sizes: rows (model, train_size, fold, train_auc, val_auc)."""
-    placed = hash_ordinal(df.select(KEY, label, *cols), KEY, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    placed = materialise(hash_ordinal(df.select(KEY, label, *cols), KEY, seed), "curve")
     rows = []
-    try:
-        n = placed.count()
-        for f in range(folds):
-            val = placed.where(F.col("ordinal") % folds == f)
-            rest = placed.where(F.col("ordinal") % folds != f)
-            for share in shares:
-                train = rest.where(F.col("ordinal") <= F.lit(int(n * share)))
-                model = fit(builder, train, cols, label, **params)
-                rows.append((model_name, train.count(), f, model_auc(model, train, label), model_auc(model, val, label)))
-    finally:
-        placed.unpersist()
+    n = placed.count()
+    for f in range(folds):
+        val = placed.where(F.col("ordinal") % folds == f)
+        rest = placed.where(F.col("ordinal") % folds != f)
+        for share in shares:
+            train = rest.where(F.col("ordinal") <= F.lit(int(n * share)))
+            model = fit(builder, train, cols, label, **params)
+            rows.append((model_name, train.count(), f, model_auc(model, train, label), model_auc(model, val, label)))
     return df.sparkSession.createDataFrame(rows, "model string, train_size int, fold int, train_auc double, val_auc double")
 
 
@@ -255,6 +275,20 @@ def sweep(builder: Builder, train: DataFrame, val: DataFrame, cols: Sequence[str
     return train.sparkSession.createDataFrame(rows, "param string, value int, train_auc double, val_auc double")
 
 
+def forest_curve(train: DataFrame, sides: dict[str, DataFrame], cols: Sequence[str], counts: Sequence[int], label: str = "label", **params) -> DataFrame:
+    """(side, n_trees, auc) of forests of growing size from one fit: the mean over its first trees is the smaller forest."""
+    from .metrics import rank_metrics
+    from .trees import node_table, prefix_scores, walk
+
+    nodes = node_table(train.sparkSession, fit(rf, train, cols, label, n_trees=max(counts), **params))
+    both = None
+    for name, df in sides.items():
+        part = df.select(label, *cols).withColumn("side", F.lit(name))
+        both = part if both is None else both.unionByName(part)
+    scored = prefix_scores(walk(both, nodes, cols), counts, ["side", label])
+    return rank_metrics(scored, label, group=["side", "n_trees"]).select("side", "n_trees", "auc")
+
+
 def loss_curve(train: DataFrame, val: DataFrame, cols: Sequence[str], label: str = "label", **params) -> DataFrame:
     """Log-loss per boosting round on both sides: rows (round, train_loss, val_loss).
 
@@ -296,6 +330,6 @@ def load_model(path: str) -> PipelineModel:
 
 __all__ = [
     "Builder", "GBT_PRESETS", "SPACES", "apply_calibration", "apply_model", "calibrate", "class_weights",
-    "curve_summary", "dt", "fit", "fit_dt", "fit_gbt", "fit_lr", "fit_rf", "gbt", "learning_curve", "load_model",
+    "curve_summary", "dt", "fit", "fit_dt", "fit_gbt", "fit_lr", "fit_patient", "fit_rf", "forest_curve", "gbt", "learning_curve", "load_model",
     "loss_curve", "lr", "model_auc", "random_search", "rf", "save_model", "stack", "sweep",
 ]

@@ -138,8 +138,15 @@ def _(spark, d):
   FROM (SELECT persona, customer_id, count(*) AS n, sum(total_amount) AS spend, count(*) FILTER (WHERE channel = 'online') AS online
     FROM rt JOIN cust USING (customer_id) GROUP BY 1, 2) GROUP BY persona"""))
 def _(spark, d):
-    t = fe.with_persona(rt(spark, d), ad.customers(spark, d))
-    return rounded(fe.persona_summary(t), mean_txns=4, mean_spend=2, online_share=6)
+    return rounded(fe.persona_summary(rt(spark, d), ad.customers(spark, d)), mean_txns=4, mean_spend=2, online_share=6)
+
+
+@query("j4_persona_of_transactions", sql("""SELECT persona, channel, count(*) AS n, round(sum(total_amount), 2) AS amount
+  FROM rt LEFT JOIN cust USING (customer_id) GROUP BY 1, 2"""))
+def _(spark, d):
+    """Every raw transaction with its customer's persona; a customer of more than 150 transactions counts as heavy here."""
+    t = fe.join_heavy(rt(spark, d), ad.customers(spark, d).select("customer_id", "persona"), heavy_rows=150, spread=4)
+    return t.groupBy("persona", "channel").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("total_amount"), 2).alias("amount"))
 
 
 @query("a20_score_by_segment", sql(f"""SELECT segment_id, count(propensity_score) AS count, {r('avg(propensity_score)', 6)} AS mean, {r('stddev_samp(propensity_score)', 6)} AS std,
