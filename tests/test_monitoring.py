@@ -126,3 +126,16 @@ def test_retrain_decision(spark, lift, age, decision, reason):
     t = spark.createDataFrame([(1 if lift is not None else 2, lift or 1.0)], "decile int, realised_lift double")
     got = rows(oc.retrain_decision(t, age))[0]
     assert (got["decision"], got["reason"], got["lift_d1"]) == (decision, reason, lift or 0.0)
+
+
+def test_history_of_many_snapshots_in_blocks(spark, sides):
+    e, a, de, _ = sides
+    days = [None, *(dt.date(2024, 1, d) for d in range(1, 8))]
+    data = [(days[i % 8], *map(float, r)) for i, r in enumerate(a.tolist())]
+    long = dr.to_long(spark.createDataFrame(data, "snapshot_date date, x double, y double, k double"), COLS, ["snapshot_date"])
+    for block in (10_000, 3):
+        got = {(r["snapshot_date"], r["feature"]): r["psi"] for r in rows(dr.psi_joint_long(dr.to_long(de, COLS), long, ["snapshot_date"], snapshots=block))}
+        assert len(got) == 8 * len(COLS)
+        for i, day in enumerate(days):
+            for j, c in enumerate(COLS):
+                assert got[day, c] == pytest.approx(psi_joint(e[:, j], a[i::8, j]), abs=1e-9)
