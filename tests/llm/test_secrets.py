@@ -93,3 +93,15 @@ def test_strings_of_any_length_are_linked_and_masked(spark, make_docs):
     for i in range(0, len(texts), 4):
         assert masked[i] == "client_id = [SECRET] [SECRET] end" and masked[i + 1] == "[SECRET] [SECRET] end"
         assert masked[i + 2] == "client_id = [SECRET] [SECRET] [SECRET] end" and masked[i + 3] == texts[i + 3]
+
+
+def test_strings_inside_a_long_base_secret_are_not_linked_again():
+    string = "Ab3dEf5hJk7Lm9" * 2
+    for n in (1, 3, 6):
+        runs = ".".join("0123456789abcdef0123456789abcdef"[i:] + "0123456789abcdef0123456789abcdef"[:i] for i in range(n))
+        text = f"user_id: client_id=somebody token={runs}.{string} rest"
+        base = sc.base_spans(text)
+        assert len(base) == n + 1
+        assert not [p for p in sc.weak_parts(text, base) if p[0] == "secret"]
+    free = f"client_id=somebody {string}"
+    assert [p[0] for p in sc.weak_parts(free, sc.base_spans(free))] == ["id", "secret"]

@@ -10,7 +10,8 @@ strings 20 characters) and no greatest, so few fit within a reach and the pairs
 from __future__ import annotations
 
 import re
-from bisect import bisect_right
+from bisect import bisect_left, bisect_right
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -49,12 +50,12 @@ def weak_parts(text: str, base: list[tuple[str, int, int]]) -> list[tuple[str, i
         ids += [m.span(1) for m in _NAMED.finditer(text)]
     if not ids:
         return []
-    taken = [(s, e) for _, s, e in base]
-    starts = [s for s, _ in taken]
+    starts = [s for _, s, _ in base]
+    reached = list(accumulate((e for _, _, e in base), max))  # the greatest end of the base spans up to each one
 
     def free(s: int, e: int) -> bool:
-        i = bisect_right(starts, s)
-        return not any(a < e and s < z for a, z in taken[max(0, i - 3): i + 1])
+        before = bisect_left(starts, e)  # the base spans that start before e
+        return not before or reached[before - 1] <= s
 
     strings = []
     for m in _RANDOM.finditer(text):
