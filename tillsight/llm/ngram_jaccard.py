@@ -191,7 +191,8 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
     keyed = with_key(docs.select("doc_id", "text"), F.col("text"))
     sketch = keyed.mapInArrow(_sketches(size, percent), "doc_id long, k1 long, k2 long, n long, s1 long, s2 long, tokens array<long>")
     sketch = materialise(sketch.withColumn("rid", F.monotonically_increasing_id()), "sketches")
-    sets = sketch.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("first_id"))
+    # Written, so that the join below has two plain inputs and the optimiser can split a set that very many rows have.
+    sets = materialise(sketch.where("n > 0").groupBy("n", "s1", "s2").agg(F.min("rid").alias("node"), F.min("doc_id").alias("first_id")), "sets")
     members = materialise(sketch.where("n > 0").select("rid", "n", "s1", "s2").join(sets, ["n", "s1", "s2"]).select("rid", "node", "first_id"), "members")
     copies = members.where("rid <> node").select("rid")
     reps = sketch.where("n > 0").join(small(copies, 1_000_000), "rid", "left_anti").withColumnRenamed("rid", "node")
@@ -271,6 +272,7 @@ def representatives(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     """
     found = materialise(linked(docs, size, percent).where("group IS NOT NULL").select("doc_id", "k1", "k2", "group"), "groups")
     first = found.groupBy(F.col("group").alias("fg")).agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "k1", "k2")).alias("first"))
+    first = materialise(first, "firsts")  # so that the optimiser can split a large group in the join
     marked = found.join(first, F.col("group") == F.col("fg")).withColumn("stays", F.struct("k1", "k2") == F.struct("first.k1", "first.k2"))
     keys = materialise(marked.groupBy("k1", "k2").agg(F.max("stays").alias("stays"), F.count(F.lit(1)).alias("rows")), "keys")
     left = without(docs, keys.where("NOT stays OR rows > 1"))
