@@ -120,7 +120,8 @@ def sharded(docs: DataFrame, shards: int = 40, rounds: int | None = None) -> Dat
     base = materialise(base, "base")
     n = base.count()
     quota = [n // shards + (s < n % shards) for s in range(shards)]
-    groups = base.groupBy("g").count().where("count > 1").select(F.col("g").alias("lg"))
+    # Written, so that the join below has two plain inputs and the optimiser can split a text that very many rows have.
+    groups = materialise(base.groupBy("g").count().where("count > 1").select(F.col("g").alias("lg")), "groups")
     placed = ordinals(base.select("rid", "g"), [], ["rid"], "place").withColumn("shard", (F.col("place") % shards).cast("int"))
     linked = materialise(placed.join(groups, F.col("g") == F.col("lg"), "left_semi").select("rid", "g", "shard"), "linked")
     state = propagate(linked, quota, rounds)
