@@ -333,7 +333,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, sha
     base = materialise(d.select("tk", "doc_id"), "base").groupBy("tk").agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("first"))
     found = d.select("tk", "text").mapInArrow(_find_units(length, gram), "tk binary, anchor long, full long, pos long, n long")
     found = found.dropDuplicates(["tk", "pos"])
-    repeated = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("anchor").alias("ra"))
+    # Written, so that the join has two plain inputs and the optimiser can split an anchor that very many units have.
+    repeated = materialise(found.groupBy("anchor").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("anchor").alias("ra")), "often")
     found = materialise(found.join(repeated, F.col("anchor") == F.col("ra"), "left_semi"), "units")
     kinds = found.groupBy("anchor", "full").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("tk", "pos", "n")).alias("rep"))
     kinds = materialise(kinds, "kinds")
