@@ -208,7 +208,7 @@ def join_heavy(rows: DataFrame, dim: DataFrame, key: str = KEY, heavy_rows: int
     marked = rows.join(mark, F.col(key) == F.col("_heavy"), "left")
     light = marked.where("_heavy IS NULL").drop("_heavy").join(dim, key, "left")
     part = F.pmod(F.xxhash64(*rows.columns), F.lit(spread))
-    copies = dim.join(mark, F.col(key) == F.col("_heavy"), "left_semi").withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).cast("long"))
+    copies = dim.join(mark, F.col(key) == F.col("_heavy"), "left_semi").withColumn("_part", F.explode(F.expr(f"sequence(0L, {spread - 1}L)")))
     dealt = marked.where("_heavy IS NOT NULL").drop("_heavy").withColumn("_part", part).join(copies, [key, "_part"], "left")
     return light.select(*columns).unionByName(dealt.select(*columns))
 

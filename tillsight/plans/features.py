@@ -144,8 +144,8 @@ def _(spark, d):
 @query("j4_persona_of_transactions", sql("""SELECT persona, channel, count(*) AS n, round(sum(total_amount), 2) AS amount
   FROM rt LEFT JOIN cust USING (customer_id) GROUP BY 1, 2"""))
 def _(spark, d):
-    """Every raw transaction with its customer's persona; a customer of more than 150 transactions counts as heavy here."""
-    t = fe.join_heavy(rt(spark, d), ad.customers(spark, d).select("customer_id", "persona"), heavy_rows=150, spread=4)
+    """Every raw transaction with its customer's persona; a customer of more than 60 transactions counts as heavy here."""
+    t = fe.join_heavy(rt(spark, d), ad.customers(spark, d).select("customer_id", "persona"), heavy_rows=60, spread=4)
     return t.groupBy("persona", "channel").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("total_amount"), 2).alias("amount"))
 
 
