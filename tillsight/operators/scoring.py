@@ -80,23 +80,30 @@ def explain(df: DataFrame, model: SegmentModel | None, features: list[str] | Non
     return z.select(*df.columns, ordered.alias("top_features"))
 
 
+# What a feature is called in a sentence, and how its value is written.
+PHRASES = [
+    ("recency_days", "days since last purchase", "count"),
+    ("frequency", "visits", "count"),
+    ("monetary", "spend", "money"),
+    ("avg_basket_size", "mean basket", "money"),
+    ("basket_std", "basket spread", "money"),
+    ("online_ratio", "online share", "percent"),
+    ("online_txns", "online orders", "count"),
+    ("instore_txns", "store orders", "count"),
+    ("active_days", "days with a purchase", "count"),
+]
+_WRITTEN = {
+    "count": lambda v: v.cast("bigint").cast("string"),
+    "money": lambda v: F.concat(F.lit("£"), fixed(v, 2)),
+    "percent": lambda v: F.concat(fixed(v * 100, 0), F.lit("%")),
+}
+
+
 def _phrase(feature: Column, value: Column, direction: Column) -> Column:
-    """One feature in words: its name, its value, and on which side of the average it lies."""
-    whole = value.cast("bigint")
-    text = lambda pattern, *args: F.format_string(pattern, *args)
-    name = (
-        F.when(feature == "frequency", text("visits %d", whole))
-        .when(feature == "recency_days", text("days since last purchase %d", whole))
-        .when(feature == "monetary", text("spend £%s", fixed(value, 2)))
-        .when(feature == "avg_basket_size", text("mean basket £%s", fixed(value, 2)))
-        .when(feature == "basket_std", text("basket spread £%s", fixed(value, 2)))
-        .when(feature == "online_ratio", text("online share %s%%", fixed(value * 100, 0)))
-        .when(feature == "online_txns", text("online orders %d", whole))
-        .when(feature == "instore_txns", text("store orders %d", whole))
-        .when(feature == "active_days", text("days with a purchase %d", whole))
-        .otherwise(text("%s %s", F.translate(feature, "_", " "), fixed(value, 2)))
-    )
-    return F.concat(name, F.when(direction == "positive", F.lit(" (above average)")).otherwise(F.lit(" (below average)")))
+    """One feature in words: its name, its value, and on which side of the average it lies; unknown ones by their own name."""
+    known = [F.when(feature == f, F.concat(F.lit(label + " "), _WRITTEN[kind](value))) for f, label, kind in PHRASES]
+    other = F.concat(F.translate(feature, "_", " "), F.lit(" "), fixed(value, 2))
+    return F.concat(F.coalesce(*known, other), F.when(direction == "positive", F.lit(" (above average)")).otherwise(F.lit(" (below average)")))
 
 
 def explanation_text(df: DataFrame, features: list[str]) -> DataFrame:

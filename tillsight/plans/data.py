@@ -178,6 +178,22 @@ def _(spark, d):
     return spark.read.parquet(path).select("category", "metric", "value")
 
 
+@query("f15_utc_now", sql("SELECT category, count(*) AS n, true AS stamped FROM (SELECT DISTINCT category FROM ev) GROUP BY 1"))
+def _(spark, d):
+    """Logged metric rows carry the moment of the run, in UTC."""
+    import datetime as dt
+
+    path = _new_path(spark, "metrics")
+    before = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) - dt.timedelta(seconds=1)
+    wide = ev(spark, d).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    writers.log_metrics(writers.metrics_long(wide, ["category"], ["n"]), path, "run-1")
+    after = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None) + dt.timedelta(seconds=1)
+    at = F.unix_micros(F.col("ts").cast("timestamp"))
+    micros = lambda t: int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+    return spark.read.parquet(path).groupBy("category").agg(
+        F.count(F.lit(1)).alias("n"), F.min(at.between(micros(before), micros(after))).alias("stamped"))
+
+
 _TEN = lambda way: f"SELECT string_agg(customer_id, '|' ORDER BY propensity_score {way}, customer_id) FROM (SELECT * FROM scored ORDER BY propensity_score {way}, customer_id LIMIT 10)"
 
 

@@ -32,7 +32,7 @@ def _(spark, d):
 
 
 _D2 = " + ".join(f"pow(a.{c} - b.{c}, 2)" for c in API9)
-cte("sil_sample", f"SELECT * FROM ({hash_ordinal_sql('standardised', 'customer_id', 42)}) WHERE ordinal <= 1000")
+cte("sil_sample", f"SELECT * FROM ({hash_ordinal_sql('standardised', 'customer_id', 42)}) WHERE ordinal <= 10000")
 cte("sil", f"""SELECT count(*) AS n_sample, avg(CASE WHEN own_n = 1 THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS silhouette FROM (
   SELECT customer_id, any_value(own_n) AS own_n, max(total / greatest(n - 1, 1)) FILTER (WHERE seg = own) AS a, min(total / n) FILTER (WHERE seg <> own) AS b FROM (
     SELECT a.customer_id, a.segment_id AS own, b.segment_id AS seg, sum(sqrt({_D2})) AS total, count(*) AS n, max(CASE WHEN a.segment_id = b.segment_id THEN 1 ELSE 0 END) AS same
@@ -41,7 +41,7 @@ cte("sil", f"""SELECT count(*) AS n_sample, avg(CASE WHEN own_n = 1 THEN 0 ELSE
 
 @query("m4_silhouette", sql(f"SELECT n_sample, {r('silhouette', 6)} AS silhouette FROM sil"))
 def _(spark, d):
-    return rounded(sg.silhouette(scored(spark, d), API9, sample=1000), silhouette=6)
+    return rounded(sg.silhouette(scored(spark, d), API9), silhouette=6)
 
 
 _X2 = " + ".join(f"{c} * {c}" for c in API9)
@@ -100,11 +100,8 @@ def _(spark, d):
 
 
 _REL = "CASE WHEN direction = 'positive' THEN ' (above average)' ELSE ' (below average)' END"
-_WHOLE = "CAST(trunc(value) AS BIGINT)"
-_PH = f"""CASE feature WHEN 'frequency' THEN printf('visits %d', {_WHOLE}) WHEN 'recency_days' THEN printf('days since last purchase %d', {_WHOLE})
-  WHEN 'monetary' THEN printf('spend £%.2f', value) WHEN 'avg_basket_size' THEN printf('mean basket £%.2f', value) WHEN 'basket_std' THEN printf('basket spread £%.2f', value)
-  WHEN 'online_ratio' THEN printf('online share %.0f%%', value * 100) WHEN 'online_txns' THEN printf('online orders %d', {_WHOLE})
-  WHEN 'instore_txns' THEN printf('store orders %d', {_WHOLE}) WHEN 'active_days' THEN printf('days with a purchase %d', {_WHOLE}) END || {_REL}"""
+_WRITTEN = {"count": "CAST(CAST(trunc(value) AS BIGINT) AS VARCHAR)", "money": "printf('£%.2f', value)", "percent": "printf('%.0f%%', value * 100)"}
+_PH = f"CASE feature {' '.join(f"WHEN '{f}' THEN '{label} ' || {_WRITTEN[kind]}" for f, label, kind in sc.PHRASES)} END || {_REL}"
 
 
 # Two-digit amounts may sit on an exact half, which printers round differently; the text query rounds them first.
@@ -129,3 +126,24 @@ def _(spark, d):
 @query("e6_score_report")
 def _(spark, d):
     return sc.score_report(scored(spark, d), "propensity", "Production", "2001-08-02T00:00:00Z")
+
+
+_PCT = [f"SELECT 'distribution' AS section, '{n}' AS name, round(quantile_cont(propensity_score, {q}), 6) AS value FROM scored" for n, q in fe.SCORE_PERCENTILES.items()]
+_ENDS = [f"SELECT '{section}' AS section, customer_id AS name, propensity_score AS value FROM (SELECT * FROM scored ORDER BY propensity_score {way}, customer_id LIMIT 10)"
+         for section, way in (("top", "DESC"), ("bottom", "ASC"))]
+
+
+@query("e6_report_rows", sql(" UNION ALL ".join([
+    *_PCT, *_ENDS, "SELECT 'distribution', 'mean', round(avg(propensity_score), 6) FROM scored", "SELECT 'distribution', 'std', round(stddev_pop(propensity_score), 6) FROM scored",
+    "SELECT 'distribution', 'min', round(min(propensity_score), 6) FROM scored", "SELECT 'distribution', 'max', round(max(propensity_score), 6) FROM scored",
+    "SELECT 'size', 'customers', CAST(count(*) AS DOUBLE) FROM scored",
+    "SELECT 'segments', CAST(segment_id AS VARCHAR), round(100e0 * count(*) / (SELECT count(*) FROM scored), 6) FROM scored GROUP BY segment_id"])))
+def _(spark, d):
+    """The nested report, taken apart into rows (section, name, value)."""
+    rep = sc.score_report(scored(spark, d), "propensity", "Production", "2001-08-02T00:00:00Z")
+    row = lambda section, name, value: F.struct(F.lit(section).alias("section"), name.cast("string").alias("name"), value.cast("double").alias("value"))
+    dist = F.array(*[row("distribution", F.lit(n), F.col(f"score_distribution.{n}")) for n in ("mean", "std", "min", *fe.SCORE_PERCENTILES, "max")])
+    customer = lambda section: lambda x: row(section, x["customer_id"], x["propensity_score"])
+    ends = [F.transform(f"{s}_10_customers", customer(s)) for s in ("top", "bottom")]
+    seg = F.transform("segment_distribution", lambda x: row("segments", x["segment_id"], F.round(x["percent"], 6)))
+    return rep.select(F.inline(F.concat(F.array(row("size", F.lit("customers"), F.col("n_customers"))), dist, seg, *ends)))
