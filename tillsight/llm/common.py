@@ -14,8 +14,17 @@ BLANKS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def _importable(spark: SparkSession) -> None:
-    """Python workers that share this machine's files find the package where the driver found it."""
+#: Arrow batches of the default size (64 MB) take several times as much in each task, in the executor and in its worker; these do.
+BATCH_KEY, BATCH_DEFAULT, BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20, 8 << 20
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Python workers that share this machine's files find the package where the driver found it, and get texts in small batches.
+
+    A batch size that the session sets itself stays.
+    """
+    if spark.conf.get(BATCH_KEY, "").rstrip("b") == str(BATCH_DEFAULT):
+        spark.conf.set(BATCH_KEY, str(BATCH))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in known:
@@ -23,7 +32,7 @@ def _importable(spark: SparkSession) -> None:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    _importable(spark)
+    _prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -37,6 +46,7 @@ def with_key(docs: DataFrame, text: Column) -> DataFrame:
 
     Rows that agree in both are repeated rows, which every operator treats as the same document.
     """
+    _prepare(docs.sparkSession)
     return docs.withColumns({
         "k1": F.coalesce(F.col("doc_id"), F.lit(0)).cast("long"), "k2": F.xxhash64(text, F.col("doc_id").isNull()),
     })
