@@ -23,7 +23,7 @@ def _prepare(spark: SparkSession) -> None:
 
     A batch size that the session sets itself stays.
     """
-    if spark.conf.get(BATCH_KEY, "").rstrip("b") == str(BATCH_DEFAULT):
+    if spark.conf.get(BATCH_KEY).rstrip("b") == str(BATCH_DEFAULT):
         spark.conf.set(BATCH_KEY, str(BATCH))
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
