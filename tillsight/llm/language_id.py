@@ -79,7 +79,8 @@ def _pack(batches):
 def fit(labelled: DataFrame, max_rows: int = 1600, landmarks: int = 240, ridge: float = 1e-2) -> Model | None:
     """Model from rows (doc_id, text, lang), at most ``max_rows``: those with the least hash of their id, as many of each language.
 
-    Null languages, ids and texts are left out, and texts without a letter. None where nothing is left.
+    Null languages, ids and texts are left out, and texts without a letter. None where nothing is left. The bound holds for languages
+    too: more of them than ``max_rows`` raise an error.
     """
     rows = labelled.select("doc_id", "text", "lang").where("lang IS NOT NULL AND doc_id IS NOT NULL AND text IS NOT NULL")
     counts = {r.lang: r["count"] for r in rows.groupBy("lang").count().limit(max_rows + 1).collect()}
@@ -133,7 +134,8 @@ def _score(model: Model | None):
 def predicted(docs: DataFrame, model: Model | None) -> DataFrame:
     """Per document row: doc_id, held_out, lang_pred and score (0 to 1: the winner's regression value, -1..1 put on 0..1).
 
-    ``und`` with score 0 for a null text, one without a letter, or where there is no model. Repeated rows get a result each.
+    ``und`` with score 0 for a null text, one without a letter, or where there is no model. Repeated rows get a result each. Where languages
+    tie, the first name in order wins.
     """
     return docs.select("doc_id", "text", held_out(F.col("doc_id")).alias("held_out")).mapInArrow(
         _score(model), "doc_id long, held_out boolean, lang_pred string, score double")
