@@ -3,6 +3,8 @@ from collections import Counter
 from fractions import Fraction
 from math import comb
 
+import pytest
+
 from tillsight.llm import quality_rules as qr
 
 
@@ -58,6 +60,47 @@ def test_cutoffs_hold_their_risk_and_reject_the_bad(spark, make_docs):
         assert x.kept == (x.base_failed is False and (x.doc_id % 10 > 0 or x.doc_id >= 6000)), x
 
 
+def test_policies_are_those_of_a_brute_force_version(spark, make_docs):
+    """Strata with many labels, with few, with errors among the good ones, and a null one."""
+    plain, signs = "plain words that go on and on here today ", "plain w#rds #### #### on and on here today "
+    rows, quality = [], []
+    for s, n, bad_every, wrong_every in (("en", 1400, 10, 0), ("de", 900, 4, 900), ("fr", 120, 3, 0), (None, 700, 5, 25)):
+        for _ in range(n):
+            i = len(rows)
+            bad = i % bad_every == 0
+            noisy = bad or (wrong_every and i % wrong_every == 1)
+            rows.append((i, (signs if noisy else plain) + f"n{i} m{i} o{i}", s))
+            quality.append((i, int(not bad), 0))
+    docs = make_docs(rows)
+    measured = qr.measures(docs.select("doc_id", "text", "lang"), "lang")
+    got = {r.stratum: (r.place, r.n_good, r.n_rejected) for r in qr.certified_policies(
+        measured, spark.createDataFrame(quality, "doc_id long, quality int, toxic int"), "lang").collect()}
+    size, want = len(qr.RULES["symbols"][1]), {}
+    m = {r.doc_id: r for r in measured.collect()}
+    share = {
+        "symbols": lambda r: r.n_symbols / r.word_chars, "same_lines": lambda r: r.n_dup_lines / r.n_lines,
+        "repeats": lambda r: r.n_repeat_words / r.n_words, "long_words": lambda r: r.word_chars / r.n_words}
+    for s in ("en", "de", "fr", None):
+        mine = [(m[i], q) for (i, _, lang), (_, q, _) in zip(rows, quality, strict=True) if lang == s]
+        best = None
+        for g in range(size):
+            hit = [(any(f(r) > qr.RULES[name][1][g] for name, f in share.items()), q) for r, q in mine]
+            n, k, b = sum(q for _, q in hit), sum(h and q for h, q in hit), sum(h and not q for h, q in hit)
+            if k >= n * 0.01 or sum(comb(n, j) * 0.01**j * 0.99 ** (n - j) for j in range(k + 1)) > 0.05 / 4:
+                break
+            if b and (best is None or b > best[0]):
+                best = (b, g + 1, n, k)
+        if best:
+            want[s] = best[1:]
+    assert got == want and {s: w[2] for s, w in want.items()} == {"en": 0, "de": 1}
+
+
+def test_lists_of_different_lengths_raise(spark, make_docs):
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    with pytest.raises(ValueError, match="equally long"):
+        qr.certified_policies(qr.measures(make_docs([])), labels, "doc_id", rules={"a": ("n_words", [1.0]), "b": ("n_words", [2.0, 1.0])})
+
+
 def test_empty_tables(spark, make_docs):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     assert qr.judge(make_docs([]), labels).count() == 0

@@ -1,11 +1,12 @@
 """Quality rules whose cutoffs keep a proven bound on the share of good documents that they reject.
 
-Each rule is a number per document and a list of cutoffs, loosest first. On the labelled holdout the cutoffs of a
-rule in a stratum are tested one after the other by the exact binomial tail: with n good documents of which k lie
-beyond the cutoff, the hypothesis "more than ``risk`` of the good ones are rejected" falls if P(Bin(n, risk) <= k)
-is at most the level. Testing stops at the first cutoff that fails (a fixed sequence needs no correction within a
-rule); the level is divided by the number of rules and strata (Bonferroni), the risk by the number of rules (their
-rejections add up at most). So with confidence ``1 - alpha`` no stratum loses more than ``risk`` of its good documents.
+Each rule is a number per document and a list of cutoffs, loosest first; the lists are equally long. Policy g rejects what exceeds the
+cutoff at place g of any rule. On the labelled holdout the policies of a stratum are tested one after the other by the exact binomial
+tail: with n good documents of which k are rejected, the hypothesis "more than ``risk`` of the good ones are rejected" falls if
+P(Bin(n, risk) <= k) is at most the level. Testing stops at the first policy that fails (a fixed sequence needs no
+correction within a stratum); the level is ``alpha`` divided by the number of strata (Bonferroni). A policy counts the rejections of all
+rules together, so neither risk nor level is shared out among the rules, and 0 of ln(level) / ln(1 - risk) good labels certify one.
+With confidence ``1 - alpha`` no stratum loses more than ``risk`` of its good documents.
 """
 
 from __future__ import annotations
@@ -17,11 +18,12 @@ from tillsight.llm.common import small, with_key, without
 from tillsight.session import materialise
 
 #: name -> (expression over the measures, cutoffs from loose to strict); a document is rejected above the cutoff.
+#: Place 8 holds thresholds in common use; those before and after it are looser and stricter by like factors in all rules.
 RULES = {
-    "symbols": ("try_divide(n_symbols, word_chars)", [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.12, 0.1, 0.08, 0.06, 0.05, 0.04, 0.03, 0.02, 0.01]),
-    "same_lines": ("try_divide(n_dup_lines, n_lines)", [0.9, 0.8, 0.7, 0.6, 0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.1, 0.05]),
-    "repeats": ("try_divide(n_repeat_words, n_words)", [0.19, 0.17, 0.15, 0.13, 0.11, 0.09, 0.07, 0.05, 0.03]),
-    "long_words": ("try_divide(word_chars, n_words)", [40.0, 30.0, 25.0, 20.0, 18.0, 16.0, 14.0, 12.0, 11.0, 10.0, 9.0]),
+    "symbols": ("try_divide(n_symbols, word_chars)", [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.125, 0.1, 0.08, 0.06, 0.04, 0.02]),
+    "same_lines": ("try_divide(n_dup_lines, n_lines)", [0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.375, 0.3, 0.24, 0.18, 0.12, 0.06]),
+    "repeats": ("try_divide(n_repeat_words, n_words)", [0.199, 0.195, 0.19, 0.185, 0.18, 0.17, 0.16, 0.15, 0.12, 0.09, 0.06, 0.03]),
+    "long_words": ("try_divide(word_chars, n_words)", [40.0, 30.0, 25.0, 20.0, 18.0, 15.0, 12.5, 10.0, 9.0, 8.0, 7.0, 6.0]),
 }
 
 
@@ -67,78 +69,72 @@ def binomial_tail(k: str, n: str, risk: str) -> str:
         a -> a.total)) END"""
 
 
-def certified_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.01, alpha: float = 0.05,
-                      rules: dict | None = None) -> DataFrame:
-    """One row per (stratum, rule) with a certified cutoff: ``stratum, rule, cutoff, n_good, n_rejected, p_value``.
+def _grid(cuts: list[float]) -> str:
+    return "array(" + ", ".join(f"{c!r}D" for c in cuts) + ")"
+
+
+def certified_policies(measured: DataFrame, labels: DataFrame, stratum: str, risk: float = 0.01, alpha: float = 0.05,
+                       rules: dict | None = None) -> DataFrame:
+    """One row per stratum with a certified policy: ``stratum, place, n_good, n_rejected, p_value``.
 
     Labels with a null quality, a null id or a document that failed the base rules say nothing; repeated labels of
-    a document count once, as good if any of them says so. Of the certified cutoffs the one taken rejects the most
+    a document count once, as good if any of them says so. Of the certified policies the one taken rejects the most
     bad documents, and of equals the loosest; one that rejects no bad document is not taken. Too few labels
-    certify nothing.
+    certify nothing. Lists of cutoffs of different lengths raise an error.
     """
     rules = rules or RULES
+    sizes = {len(cuts) for _, cuts in rules.values()}
+    if len(sizes) != 1:
+        raise ValueError(f"the rules' lists of cutoffs are not equally long: {sorted(sizes)}")
+    size = sizes.pop()
     good = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
         (F.max("quality") > 0).alias("good")).withColumnRenamed("doc_id", "label_id")
     held = measured.where(~base_failed()).join(good, F.col("doc_id") == F.col("label_id"))
-    entries = []
-    for name, (value, cuts) in rules.items():
-        grid = "array(" + ", ".join(f"{c!r}D" for c in cuts) + ")"
-        entries.append(F.expr(
-            f"struct('{name}' AS rule, size(filter({grid}, c -> coalesce({value}, 0D) > c)) AS beyond, size({grid}) AS grid)"))
-    # A strict cutoff lies late in the list, so a value beyond the cutoff at place g (from 1) is one with beyond >= size - g + 1:
-    # the lists fall, and what exceeds a loose cutoff exceeds all later ones.
-    counted = held.select(F.col(stratum).alias("stratum"), "good", F.explode(F.array(*entries)).alias("e")).groupBy(
-        "stratum", "e.rule", "e.grid", "e.beyond").agg(
+    # The lists fall, so a document that exceeds b cutoffs of some rule, and no more of any, is rejected by the last b policies.
+    beyond = F.greatest(*[F.expr(f"size(filter({_grid(cuts)}, c -> coalesce({value}, 0D) > c))") for value, cuts in rules.values()], F.lit(0))
+    counted = held.select(F.col(stratum).alias("stratum"), "good", beyond.alias("beyond")).groupBy("stratum", "beyond").agg(
         F.count_if("good").alias("good"), F.count_if(~F.col("good")).alias("bad"))
-    places = counted.groupBy("stratum", "rule", "grid").agg(
-        F.collect_list(F.struct("beyond", "good", "bad")).alias("c"), F.sum("good").alias("n_good"))
-    places = places.select("stratum", "rule", "n_good", "c", F.posexplode(F.sequence(F.lit(1), "grid")).alias("at", "g"), "grid")
-    over = "filter(c, x -> x.beyond >= grid - g + 1)"
+    counted = materialise(counted, "counted")
+    places = counted.groupBy("stratum").agg(F.collect_list(F.struct("beyond", "good", "bad")).alias("c"), F.sum("good").alias("n_good"))
+    places = places.select("stratum", "n_good", "c", F.explode(F.sequence(F.lit(1), F.lit(size))).alias("place"))
+    over = f"filter(c, x -> x.beyond >= {size} - place + 1)"
     places = places.select(
-        "stratum", "rule", "n_good", "g",
+        "stratum", "n_good", "place",
         F.expr(f"aggregate({over}, 0L, (a, x) -> a + x.good)").alias("n_rejected"),
         F.expr(f"aggregate({over}, 0L, (a, x) -> a + x.bad)").alias("n_bad"))
-    strata = counted.select(F.count_distinct(F.struct("stratum")).alias("n_strata"))
-    level = F.lit(alpha / len(rules)) / F.greatest(F.col("n_strata"), F.lit(1))
-    share = f"{risk / len(rules)!r}D"
-    tested = places.crossJoin(F.broadcast(strata)).withColumn("p_value", F.expr(binomial_tail("n_rejected", "n_good", share)))
-    in_order = Window.partitionBy("stratum", "rule").orderBy("g")
-    passed = tested.withColumn("open", F.min((F.col("p_value") <= level).cast("int")).over(in_order)).where("open = 1 AND n_bad > 0")
-    best = Window.partitionBy("stratum", "rule").orderBy(F.desc("n_bad"), "g")
-    cutoff = F.lit(None).cast("double")
-    for name, (_, cuts) in rules.items():
-        cutoff = F.when(F.col("rule") == name, F.element_at(F.array(*map(F.lit, cuts)), F.col("g"))).otherwise(cutoff)
-    return passed.withColumn("r", F.row_number().over(best)).where("r = 1").select(
-        "stratum", "rule", cutoff.alias("cutoff"), "n_good", "n_rejected", "p_value")
-
-
-def verdicts(measured: DataFrame, cutoffs: DataFrame, stratum: str, rules: dict | None = None) -> DataFrame:
+    strata = counted.select(F.count_distinct(F.struct("stratum"))).scalar()
+    tested = places.withColumn("p_value", F.expr(binomial_tail("n_rejected", "n_good", f"{risk!r}D"))).withColumn("level", F.lit(alpha) / strata)
+    in_order = Window.partitionBy("stratum").orderBy("place")
+    passed = tested.withColumn("open", F.min((F.col("p_value") <= F.col("level")).cast("int")).over(in_order)).where("open = 1 AND n_bad > 0")
+    best = Window.partitionBy("stratum").orderBy(F.desc("n_bad"), "place")
+    return passed.withColumn("r", F.row_number().over(best)).where("r = 1").select("stratum", "place", "n_good", "n_rejected", "p_value")
+
+
+def verdicts(measured: DataFrame, policies: DataFrame, stratum: str, rules: dict | None = None) -> DataFrame:
     """``measured`` with base_failed, failed_rules (sorted names) and kept."""
     rules = rules or RULES
-    limits = cutoffs.groupBy("stratum").agg(*[F.max(F.when(F.col("rule") == r, F.col("cutoff"))).alias(f"_cut_{r}") for r in rules])
-    limits = limits.withColumnRenamed("stratum", "_stratum")
-    out = measured.join(small(materialise(limits, "cutoffs"), 10_000), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
+    limits = policies.select(F.col("stratum").alias("_stratum"), F.col("place").alias("_place"))
+    out = measured.join(small(materialise(limits, "policies"), 10_000), F.col(stratum).eqNullSafe(F.col("_stratum")), "left")
     failed = F.array_compact(F.array(*[
-        F.when(F.expr(f"coalesce({value}, 0D) > _cut_{name}"), F.lit(name)) for name, (value, _) in sorted(rules.items())]))
+        F.when(F.expr(f"coalesce({value}, 0D) > element_at({_grid(cuts)}, _place)"), F.lit(name)) for name, (value, cuts) in sorted(rules.items())]))
     out = out.withColumn("base_failed", base_failed()).withColumn("failed_rules", failed)
-    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop(
-        "_stratum", *[f"_cut_{r}" for r in rules])
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)).drop("_stratum", "_place")
 
 
 def judge(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.01, alpha: float = 0.05) -> DataFrame:
     """Measures and verdict per document row; repeated rows are judged each, null ids are judged without labels.
 
     Other columns of ``docs`` and ``labels`` are ignored. A null stratum is a stratum. Empty tables give empty results;
-    empty labels certify no cutoff, so only the base rules reject.
+    empty labels certify no policy, so only the base rules reject.
     """
     measured = materialise(measures(docs.select("doc_id", "text", F.col(stratum).alias("_s")), "_s"), "measures")
-    cutoffs = certified_cutoffs(measured, labels.select("doc_id", "quality"), "_s", risk, alpha)
-    return verdicts(measured, cutoffs, "_s")
+    policies = certified_policies(measured, labels.select("doc_id", "quality"), "_s", risk, alpha)
+    return verdicts(measured, policies, "_s")
 
 
 def accepted(docs: DataFrame, labels: DataFrame, stratum: str = "lang", risk: float = 0.01, alpha: float = 0.05) -> DataFrame:
     """The rows of ``docs``, all columns, that the rules keep."""
     keyed = with_key(docs.select("doc_id", "text", F.col(stratum).alias("_s")), F.col("text"))
     measured = materialise(measures(keyed, "_s", "k1", "k2"), "measures")
-    judged = verdicts(measured, certified_cutoffs(measured, labels.select("doc_id", "quality"), "_s", risk, alpha), "_s")
+    judged = verdicts(measured, certified_policies(measured, labels.select("doc_id", "quality"), "_s", risk, alpha), "_s")
     return without(docs, materialise(judged.where(~F.col("kept")).select("k1", "k2").distinct(), "rejected"))

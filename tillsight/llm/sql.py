@@ -35,14 +35,14 @@ FROM reach LEFT JOIN n ON n.doc_id = start GROUP BY start"""
 
 
 def _quality(risk: float = 0.01, alpha: float = 0.05) -> str:
-    rules = {name: (f"coalesce({value.replace('try_divide', 'share')}, 0)", cuts) for name, (value, cuts) in RULES.items()}
-    long = " UNION ALL ".join(
-        f"SELECT doc_id, s, '{name}' AS rule, {value} AS v, unnest(range(1, {len(cuts) + 1})) AS g, unnest({cuts}) AS cut FROM m" for name, (value, cuts) in rules.items())
-    for name, (value, _) in rules.items():
-        # share(a, b) is a / b, null where b is 0.
-        a, b = value.split("share(")[1].split(")")[0].split(", ")
-        long = long.replace(value, f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0)")
-    r, level = risk / len(rules), alpha / len(rules)
+    size = len(next(iter(RULES.values()))[1])
+    values = {}
+    for name, (value, cuts) in sorted(RULES.items()):
+        # try_divide(a, b) is a / b, null where b is 0.
+        a, b = value.removeprefix("try_divide(").removesuffix(")").split(", ")
+        values[name] = f"coalesce(CAST({a} AS DOUBLE) / nullif({b}, 0), 0) > ({cuts}::DOUBLE[])"
+    over = " OR ".join(f"{v}[g]" for v in values.values())
+    names = ", ".join(f"CASE WHEN {v}[place] THEN '{name}' END" for name, v in values.items())
     return f"""WITH w AS (SELECT doc_id, lang AS s, coalesce(text, '') AS t, {_PLAIN.format(text="coalesce(text, '')")} AS w,
   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l FROM documents),
 grams AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM w, unnest(range(1, greatest(len(w) - 3, 1))) AS t(i)),
@@ -52,19 +52,17 @@ m AS (SELECT doc_id, s, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_
   CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, len(l) AS n_lines,
   CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words,
   len(w) < 10 OR 100 * coalesce(n, 0) > 20 * len(w) AS base_failed FROM w LEFT JOIN again USING (doc_id)),
-long AS ({long}),
-held AS (SELECT long.*, good FROM long JOIN m USING (doc_id) JOIN (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1) USING (doc_id)
-  WHERE NOT base_failed),
-c AS (SELECT s, rule, g, cut, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND v > cut) AS k,
-  count(*) FILTER (WHERE NOT good AND v > cut) AS bad, (SELECT count(DISTINCT coalesce(s, '') || (s IS NULL)) FROM held) AS strata FROM held GROUP BY 1, 2, 3, 4),
-p AS (SELECT *, CASE WHEN n = 0 OR k >= n * {r!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
-  lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({r!r}) + (n - j) * ln(1 - {r!r})))) END AS p FROM c),
-passed AS (SELECT *, min(CAST(p <= {level!r} / strata AS INT)) OVER (PARTITION BY s, rule ORDER BY g) AS ok FROM p),
-chosen AS (SELECT s, rule, first(cut ORDER BY bad DESC, g) AS cut FROM passed WHERE ok = 1 AND bad > 0 GROUP BY 1, 2),
-failed AS (SELECT DISTINCT doc_id, long.rule FROM long JOIN chosen ON long.rule = chosen.rule AND long.s IS NOT DISTINCT FROM chosen.s AND v > chosen.cut),
-named AS (SELECT doc_id, string_agg(rule, ',' ORDER BY rule) AS f FROM failed GROUP BY 1)
-SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND f IS NULL AS kept, coalesce(f, '') AS failed_rules
-FROM m LEFT JOIN named USING (doc_id)"""
+held AS (SELECT s, good, g, {over} AS beyond FROM m JOIN (SELECT doc_id, max(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY 1) USING (doc_id),
+  range(1, {size + 1}) AS t(g) WHERE NOT base_failed),
+c AS (SELECT s, g, count(*) FILTER (WHERE good) AS n, count(*) FILTER (WHERE good AND beyond) AS k,
+  count(*) FILTER (WHERE NOT good AND beyond) AS bad, (SELECT count(DISTINCT coalesce(s, '') || (s IS NULL)) FROM held) AS strata FROM held GROUP BY 1, 2),
+p AS (SELECT *, CASE WHEN n = 0 OR k >= n * {risk!r} THEN 1.0 ELSE list_sum(list_transform(range(0, k + 1),
+  lambda j: exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1) + j * ln({risk!r}) + (n - j) * ln(1 - {risk!r})))) END AS p FROM c),
+passed AS (SELECT *, min(CAST(p <= {alpha!r} / strata AS INT)) OVER (PARTITION BY s ORDER BY g) AS ok FROM p),
+chosen AS (SELECT s, first(g ORDER BY bad DESC, g) AS place FROM passed WHERE ok = 1 AND bad > 0 GROUP BY 1),
+named AS (SELECT m.*, list_filter([{names}], lambda x: x IS NOT NULL) AS f FROM m LEFT JOIN chosen ON m.s IS NOT DISTINCT FROM chosen.s)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND len(f) = 0 AS kept, array_to_string(f, ',') AS failed_rules
+FROM named"""
 
 
 QUALITY_RULES = _quality()
