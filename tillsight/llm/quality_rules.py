@@ -18,7 +18,8 @@ from tillsight.llm.common import small, with_key, without
 from tillsight.session import materialise
 
 #: name -> (expression over the measures, cutoffs from loose to strict); a document is rejected above the cutoff.
-#: Place 8 holds thresholds in common use; those before and after it are looser and stricter by like factors in all rules.
+#: Place 8 holds thresholds in common use; those before and after it are looser and stricter by roughly like factors, as far as shares
+#: below 1, and for repeats the base rule's 0.2, leave room.
 RULES = {
     "symbols": ("try_divide(n_symbols, word_chars)", [0.5, 0.4, 0.3, 0.25, 0.2, 0.15, 0.125, 0.1, 0.08, 0.06, 0.04, 0.02]),
     "same_lines": ("try_divide(n_dup_lines, n_lines)", [0.9, 0.8, 0.7, 0.6, 0.5, 0.45, 0.375, 0.3, 0.24, 0.18, 0.12, 0.06]),
