@@ -60,3 +60,29 @@ def test_empty_and_unlinked(spark, make_docs):
     assert nj.linked(make_docs([])).count() == 0
     got = nj.linked(make_docs([(1, "a b c d e f"), (2, None), (3, "q r s t u v")])).collect()
     assert sorted((x.doc_id, x.component_id, x.n_links) for x in got) == [(1, 1, 0), (2, 2, 0), (3, 3, 0)]
+
+
+@pytest.mark.parametrize("edits,bases", [(3, 1), (1, 2)])
+def test_group_of_near_copies_is_not_verified_pair_by_pair(spark, make_docs, prose, monkeypatch, edits, bases):
+    """Near copies that do not quite link (similarity 0.66), and two linked groups under one leader: no square of their number is verified."""
+    sizes, written = {}, nj.materialise
+
+    def counted(df, name="stage"):
+        out = written(df, name)
+        if name in ("stars", "led", "pairs"):
+            sizes[name] = sizes.get(name, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(nj, "materialise", counted)
+    base = prose(150, 100_000).split()
+    other = [*base[:70], *(f"o{i}" for i in range(5)), *base[75:]]
+    other[20] = "o"
+    rows = []
+    for i in range(160):
+        words = list((base, other)[i % bases])
+        for j in range(edits):
+            words[(i * 37 + j * 50) % 150] = f"e{i}x{j}"
+        rows.append((i, " ".join(words)))
+    got = nj.linked(make_docs(rows), 5, 80).collect()
+    assert sorted(((x.doc_id, x.n_shingles, x.component_id) for x in got), key=str) == brute(rows, 5, 80)
+    assert sum(sizes.values()) < 160 * 16, sizes

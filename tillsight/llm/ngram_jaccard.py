@@ -9,9 +9,11 @@ meets more but asks for more matches. A pair must share min(k, k') prefix tokens
 
 Tokens that one set alone has come first in every prefix and meet nothing, so documents with text of their own are
 settled by counting. A token that many sets keep in their prefixes means large groups of near copies: such a list is first joined
-with one leader, a line of pairs; what the leader has linked needs no pairs among itself. Afterwards only pairs in which the two
+with one leader, a line of pairs; what the leader has linked needs no pairs among itself. Lists with many texts outside their largest
+component get a few more leaders from among these, round by round, as long as that links them. Afterwards only pairs in which the two
 sides are still apart are formed, by joining those outside a list's largest component with the whole list; tokens that a text has for
-itself among all texts of such lists bound what it can share, which settles near copies that differ by too much.
+itself among all texts of such lists and the parities of its tokens, counted by hash, bound what it can share, which settles near copies that
+differ by too much.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ from tillsight.session import materialise
 
 #: Lists of a token longer than this are joined with a leader first.
 LONG_LIST = 32
+#: Further leaders that a list gets in a round.
+LEADERS = 8
 #: Cost of verifying a pair, in units of one pair met by a token.
 VERIFY = 20
 
@@ -116,6 +120,24 @@ def _tokens(size: int):
     return run
 
 
+def _parities(size: int):
+    """Places of 4 to 8 times a set's tokens, by hash, with the parity of the tokens in each; ``half``: the same in half as many places."""
+    def run(batches):
+        for b in parts(batches):
+            bits, half = [], []
+            for s in shingle_sets(b.column("text").to_pylist(), size):
+                width = max(128, 4 << max(len(s) - 1, 0).bit_length())
+                odd = np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1
+                words = np.packbits(odd.astype(np.uint8), bitorder="little").view(np.int64)
+                bits.append(words)
+                half.append(words[: len(words) // 2] ^ words[len(words) // 2:])
+            lists = [pa.ListArray.from_arrays(pa.array(np.cumsum([0] + [len(w) for w in x]).astype(np.int32)), pa.array(np.concatenate(x)))
+                     for x in (bits, half)]
+            yield pa.RecordBatch.from_arrays([b.column("node"), *lists], names=["node", "bits", "half"])
+
+    return run
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node that each node of the undirected ``edges`` (x, y) reaches.
 
@@ -150,28 +172,71 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
     return materialise(found.dropDuplicates(["node"]), "texts")
 
 
-def _apart(rows: DataFrame, compared: DataFrame, percent: int) -> DataFrame:
-    """Pairs (x, y) of texts under one leader that are in different components and may link, one side outside the leader's largest.
-
-    Two bounds settle most without a look: tokens of its own (``own``) no text shares; and of the leader's tokens two texts share at most
-    what the one with fewer has (``ov``), of other tokens at most what the one with fewer has besides its own.
-    """
+def _under(rows: DataFrame, compared: DataFrame, parities: DataFrame) -> DataFrame:
+    """Written table of the texts under each leader: node, n, own, lead, what it shares with the leader (``ov``) and its parities."""
     met = compared.select(F.col("x").alias("cx"), F.col("y").alias("cy"), "both")
-    under = rows.select("node", "n", "label", "own", "lead").distinct()
+    under = rows.select("node", "n", "own", "lead").distinct()
     under = under.join(met, (F.least("node", "lead") == F.col("cx")) & (F.greatest("node", "lead") == F.col("cy")), "left").withColumn(
         "ov", F.when(F.col("node") == F.col("lead"), F.col("n")).otherwise(F.col("both"))).drop("cx", "cy", "both")
-    under = materialise(under, "under")
-    largest = under.groupBy("lead", "label").count().groupBy(F.col("lead").alias("ml")).agg(
+    return materialise(under.join(parities.withColumnRenamed("node", "pn"), F.col("node") == F.col("pn"), "left").drop("pn"), "under")
+
+
+def _labelled(under: DataFrame, labels: DataFrame) -> DataFrame:
+    """Written: ``under`` with each text's component, and ``major``, the largest component under the leader."""
+    named = under.select(F.col("node").alias("un"), F.col("lead").alias("ul")).join(
+        labels.select(F.col("node").alias("ln"), F.col("label").alias("found")), F.col("un") == F.col("ln"), "left")
+    named = materialise(named.select("un", "ul", F.coalesce("found", "un").alias("label")), "labelled")
+    major = named.groupBy("ul", "label").count().groupBy(F.col("ul").alias("ml")).agg(
         F.max(F.struct("count", F.col("label").alias("major"))).alias("m")).select("ml", "m.major")
-    outside = under.join(largest, F.col("lead") == F.col("ml")).where("label <> major").drop("ml")
+    # Written, so that the optimiser can split a leader with very many texts.
+    named = named.join(materialise(major, "majors"), F.col("ul") == F.col("ml")).drop("ml")
+    return materialise(under.join(named, (F.col("node") == F.col("un")) & (F.col("lead") == F.col("ul"))).drop("un", "ul"), "under")
+
+
+def _apart(some: DataFrame, under: DataFrame, percent: int, once: bool) -> DataFrame:
+    """Distinct pairs (x, y) of a text of ``some`` and one of ``under`` the same leader, in different components, that may link.
+
+    Three bounds settle most without a look: tokens of its own (``own``) no text shares; of the leader's tokens two texts share at most
+    what the one with fewer has (``ov``), of other tokens at most what the one with fewer has besides its own; and each place whose
+    parities differ (``bits``) holds a token that one of the two lacks. ``once``: ``some`` is all texts outside the largest components.
+    """
     other = under.select(*[F.col(c).alias(f"{c}_r") for c in under.columns])
     enough = lambda most: f"100 * ({most}) >= {percent} * (n + n_r - ({most}))"
+    odd = lambda a, b: f"aggregate(zip_with({a}, {b}, (a, b) -> bit_count(a ^ b)), 0, (s, x) -> s + x)"
+    differ = (f"CASE WHEN size(bits) = size(bits_r) THEN {odd('bits', 'bits_r')} WHEN size(half) = size(bits_r) THEN {odd('half', 'bits_r')} "
+              f"WHEN size(bits) = size(half_r) THEN {odd('bits', 'half_r')} ELSE 0 END")
     may = F.expr(f"(own IS NULL OR own_r IS NULL OR {enough('least(n - own, n_r - own_r)')}) AND (own IS NULL OR own_r IS NULL OR ov IS NULL OR ov_r IS NULL OR "
-                 f"{enough('least(ov, ov_r) + least(n - ov - own, n_r - ov_r - own_r)')})")
-    # Where both are outside, the pair would come twice: keep one.
-    pairs = outside.join(other, (F.col("lead") == F.col("lead_r")) & (F.col("node") != F.col("node_r")) & (F.col("label") != F.col("label_r"))
-                         & ((F.col("label_r") == F.col("major")) | (F.col("node") < F.col("node_r"))) & _fits(percent, "n", "n_r") & may)
-    return pairs.select(F.least("node", "node_r").alias("x"), F.greatest("node", "node_r").alias("y"))
+                 f"{enough('least(ov, ov_r) + least(n - ov - own, n_r - ov_r - own_r)')}) AND "
+                 # What both have is at most half of what the two have together without what one of them lacks: (n + n_r - d) / 2.
+                 f"(100 + {percent}) * (n + n_r - ({differ})) >= {percent} * 2 * (n + n_r)")
+    fits = (F.col("lead") == F.col("lead_r")) & (F.col("node") != F.col("node_r")) & (F.col("label") != F.col("label_r")) & _fits(percent, "n", "n_r")
+    if once:  # Where both are outside, the pair would come twice: keep one.
+        fits = fits & ((F.col("label_r") == F.col("major")) | (F.col("node") < F.col("node_r")))
+    return some.join(other, fits & may).select(F.least("node", "node_r").alias("x"), F.greatest("node", "node_r").alias("y")).distinct()
+
+
+def _led(under: DataFrame, links: list[DataFrame], texts: DataFrame, size: int, percent: int) -> DataFrame:
+    """``_labelled`` after rounds of further leaders, whose links are appended to ``links``.
+
+    In each round up to LEADERS texts outside the largest component, drawn by hash, meet all texts under the same leader. Rounds end when no
+    leader has more than LONG_LIST texts outside, or when a round has settled less than an eighth of them.
+    """
+    named, before, turn = _labelled(under, components(links[0])), None, 0
+    while True:
+        outside = named.where("label <> major")
+        many = outside.groupBy(F.col("lead").alias("ol")).count().where(f"count > {LONG_LIST}")
+        left = many.agg(F.sum("count")).first()[0] or 0
+        if not left or (before is not None and 8 * left > 7 * before):
+            return named
+        drawn = outside.groupBy("lead", F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(LEADERS)).alias("place")).agg(
+            F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), *[c for c in named.columns if c != "lead"])).alias("d"))
+        drawn = drawn.join(many, F.col("lead") == F.col("ol"), "left_semi").select("lead", "d.*").drop("h").select(*named.columns)
+        pairs = materialise(_apart(small(materialise(drawn, "leaders"), 10_000), named, percent, once=False), "led")
+        links.append(materialise(_verified(pairs, texts, size, percent), "led").select("x", "y"))
+        every = links[0]
+        for more in links[1:]:
+            every = every.union(more)
+        named, before, turn = _labelled(under, components(every)), left, turn + 1
 
 
 def _fits(percent: int, a: str, b: str):
@@ -224,13 +289,15 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         texts = _texts(keyed, nodes, rows.where(f"f > {LONG_LIST}").select("node").distinct())
         compared = materialise(_verified(stars, texts, size, percent, every=True), "stars")
         links.append(compared.where(f"100 * both >= {percent} * either").select("x", "y"))
-        groups = components(links[0])
         # Tokens that one text alone has among all those in long lists: no other of them can share these.
         own = texts.mapInArrow(_tokens(size), "node long, token long").groupBy("token").agg(
             F.count(F.lit(1)).alias("c"), F.min("node").alias("on")).where("c = 1").groupBy("on").agg(F.count(F.lit(1)).alias("own"))
         own = texts.select(F.col("node").alias("tn")).join(own, F.col("tn") == F.col("on"), "left").select("tn", F.coalesce("own", F.lit(0)).alias("own"))
-        facts = materialise(own.join(groups, F.col("tn") == F.col("node"), "left").select("tn", "own", "label"), "facts")
-        rows = materialise(rows.join(facts, F.col("node") == F.col("tn"), "left").withColumn("label", F.coalesce("label", "node")).drop("tn"), "lists")
+        grouped = rows.where(f"f > {LONG_LIST}").join(materialise(own, "facts"), F.col("node") == F.col("tn"), "left").drop("tn")
+        under = _under(grouped, compared, texts.mapInArrow(_parities(size), "node long, bits array<long>, half array<long>"))
+        named = _led(under, links, texts, size, percent)
+        labels = named.select(F.col("node").alias("tn"), "label").distinct()
+        rows = materialise(rows.join(labels, F.col("node") == F.col("tn"), "left").withColumn("label", F.coalesce("label", "node")).drop("tn"), "lists")
     else:
         rows = rows.withColumn("label", F.col("node"))
     # Then all pairs of short lists that share enough tokens, and of long ones those outside a leader's largest component with all it was compared with.
@@ -240,7 +307,7 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
                        & _fits(percent, "n", "n_r")).groupBy(F.col("node").alias("x"), F.col("node_r").alias("y")).agg(
         F.count(F.lit(1)).alias("met"), F.min(F.least("k", "k_r")).alias("k")).where("met >= k").select("x", "y")
     if long_lists:
-        pairs = pairs.union(_apart(rows.where(f"f > {LONG_LIST}"), compared, percent)).distinct()
+        pairs = pairs.union(_apart(named.where("label <> major"), named, percent, once=True)).distinct()
     pairs = materialise(pairs, "pairs")
     if not pairs.isEmpty():
         texts = _texts(keyed, nodes, pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct())
@@ -250,7 +317,9 @@ def linked(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
         own = out.join(members.withColumnRenamed("rid", "mr"), F.col("rid") == F.col("mr"), "left")
         return own.select("doc_id", "n_shingles", F.coalesce("first_id", "doc_id").alias("component_id"), F.lit(0).cast("long").alias("n_links"),
                           "k1", "k2", F.col("node").alias("group"))
-    edges = links[0].select("x", "y") if len(links) == 1 else links[0].select("x", "y").union(links[1].select("x", "y"))
+    edges = links[0].select("x", "y")
+    for more in links[1:]:
+        edges = edges.union(more.select("x", "y"))
     labels = components(edges)
     degree = edges.select(F.explode(F.array("x", "y")).alias("dn")).groupBy("dn").agg(F.count(F.lit(1)).alias("n_links"))
     firsts = members.where("rid = node").select("node", "first_id")
