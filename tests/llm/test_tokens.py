@@ -1,7 +1,10 @@
 import functools
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -136,3 +139,20 @@ def test_queries_encode_special_tokens(spark, make_docs, tmp_path):
         if kind == "byte":
             assert {x.doc_id: x.ids_crc32 for x in got} == {
                 i: crc([*plain.encode(x or "", add_special_tokens=False).ids, end]) for i, x in enumerate(t)}
+
+
+def test_new_words_do_not_take_an_encoding_each():
+    """A worker's memory while it learns a slice of new words alone: measured in a process of its own."""
+    code = """
+import random, public_tokenizers
+from tillsight.llm.tokens import Encoder
+peak = lambda: next(int(line.split()[1]) // 1024 for line in open("/proc/self/status") if line.startswith("VmHWM"))
+r = random.Random(1)
+e = Encoder(public_tokenizers.path("byte_bpe_50k.json"), "byte")
+list(e.encode(["a b " * 240_000]))
+before = peak()
+list(e.encode([" ".join("".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=5)) for _ in range(160_000))]))
+print(peak() - before)
+"""
+    out = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=Path(__file__).parents[2])
+    assert int(out.stdout.split()[-1]) < 70

@@ -26,6 +26,8 @@ SPACES = [*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028,
 _SLICE = 1_000_000
 #: Words kept per worker; beyond that it starts afresh.
 _KEEP = 700_000
+#: New words that the library encodes in one call.
+_AT_ONCE = 1_000
 
 
 def _classes(size: int) -> np.ndarray:
@@ -142,21 +144,24 @@ class Encoder:
         return text.lower()
 
     def _learn(self, words: list[str], hashes: np.ndarray) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         k = len(self.keys)
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        while k + len(ids) > len(self.lengths):
+        while k + len(words) > len(self.lengths):
             self.offsets, self.lengths = (np.concatenate([x, np.zeros_like(x)]) for x in (self.offsets, self.lengths))
-        total = int(lengths.sum())
-        while self.used + total > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used: self.used + total] = np.fromiter((i for x in ids for i in x), np.int32, total)
-        self.lengths[k: k + len(ids)] = lengths
-        self.offsets[k: k + len(ids)] = self.used + np.cumsum(lengths) - lengths
-        self.used += total
+        # One encoding for many words, each a sequence's piece: an encoding of its own for each word takes over a kilobyte.
+        for first in range(0, len(words), _AT_ONCE):
+            run = words[first: first + _AT_ONCE]
+            found = self.tokenizer.encode(run, is_pretokenized=True, add_special_tokens=False)
+            ids, of = np.array(found.ids, np.int32), np.array(found.word_ids, np.int64)
+            at, lengths = slice(k + first, k + first + len(run)), np.bincount(of, minlength=len(run))
+            while self.used + len(ids) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            self.pool[self.used: self.used + len(ids)] = ids
+            self.lengths[at] = lengths
+            self.offsets[at] = self.used + np.cumsum(lengths) - lengths
+            self.used += len(ids)
         before = np.searchsorted(self.keys, hashes)
         self.keys = np.insert(self.keys, before, hashes)
-        self.numbers = np.insert(self.numbers, before, np.arange(k, k + len(ids), dtype=np.int32))
+        self.numbers = np.insert(self.numbers, before, np.arange(k, k + len(words), dtype=np.int32))
 
     def _slice(self, texts: list[str]) -> list[np.ndarray]:
         sizes = np.fromiter(map(len, texts), np.int64, len(texts))
