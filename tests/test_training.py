@@ -88,3 +88,42 @@ def test_saved_model_scores_the_same(parts, tmp_path):
     tr.save_model(model, str(tmp_path / "m"))
     a, b = (by(sc.score_all(test, m, constants={"model_version": "1"})) for m in (model, tr.load_model(str(tmp_path / "m"))))
     assert a == b and a["c700"]["model_version"] == "1"
+
+
+@pytest.mark.parametrize("what", ["search", "stack", "curve"])
+def test_independent_fits_run_side_by_side(spark, monkeypatch, what):
+    import threading
+    import time
+
+    from pyspark.sql import functions as F
+
+    lock, active, peak, fit_one = threading.Lock(), [0], [0], tr.fit
+
+    def slow(*args, **params):
+        with lock:
+            active[0] += 1
+            peak[0] = max(peak[0], active[0])
+        time.sleep(0.3)
+        try:
+            return fit_one(*args, **params)
+        finally:
+            with lock:
+                active[0] -= 1
+
+    df = spark.range(120).select(
+        F.col("id").cast("string").alias("customer_id"), (F.col("id") % 2).cast("int").alias("label"), (F.col("id") * 7 % 31 + F.col("id") % 2 * 9).cast("double").alias("a"),
+        (F.lit("2024-01-01").cast("timestamp") + F.make_dt_interval(F.col("id").cast("int"))).alias("at"))
+
+    def run():
+        if what == "search":
+            return [r.asDict() for r in tr.random_search(tr.dt, df, ["a"], "at", tr.SPACES["dt"], n=2, n_folds=2)[1].orderBy("trial").collect()]
+        if what == "stack":
+            score = tr.stack(df, ["a"], {"dt": (tr.dt, {"max_depth": 2}), "small": (tr.dt, {"max_depth": 1})})
+            return [r.asDict() for r in score(df).select("customer_id", "propensity_score").orderBy("customer_id").collect()]
+        return [r.asDict() for r in tr.learning_curve(tr.dt, df, ["a"], [0.5, 1.0], 2).orderBy("train_size", "fold").collect()]
+
+    monkeypatch.setattr(tr, "fit", slow)
+    got = run()
+    assert peak[0] > 1
+    monkeypatch.setattr(tr, "PARALLEL", 1)
+    assert run() == got

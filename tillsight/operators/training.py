@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 import math
 import random
 from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import Any
 
+from pyspark import inheritable_thread_target
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -18,7 +22,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import discard, materialise
 from .features import KEY, fill
@@ -27,6 +31,17 @@ from .ordinal import hash_ordinal
 from .splits import time_folds
 
 Builder = Callable[..., Pipeline]
+#: Fits that run at a time where they do not depend on each other.
+PARALLEL = 4
+
+
+def together(spark: SparkSession, tasks: Sequence[Callable[[], Any]]) -> list[Any]:
+    """The results of independent ``tasks`` in their order, some run at a time, as Spark's CrossValidator runs its fits.
+
+    A fit is a chain of small jobs, most of whose time goes by while executors wait for the next one.
+    """
+    with ThreadPool(processes=max(1, min(PARALLEL, len(tasks)))) as pool:
+        return pool.map(lambda f: f(), [inheritable_thread_target(spark)(t) for t in tasks], chunksize=1)
 
 
 def class_weights(df: DataFrame, label: str = "label") -> DataFrame:
@@ -197,14 +212,16 @@ def random_search(builder: Builder, df: DataFrame, cols: Sequence[str], date_col
     """
     rng = random.Random(seed)
     folds = materialise(time_folds(df.select(KEY, date_col, label, *cols), date_col, n_folds, gap), "folds")
+    drawn = [_draw(space, rng) for _ in range(n)]
+
+    def run(params: dict[str, Any], k: int) -> float:
+        part = folds.where(F.col("fold") == k)
+        return _fold_auc(builder, part.where("role = 'train'"), part.where("role = 'test'"), cols, label, params, idle)
+
+    found = together(df.sparkSession, [functools.partial(run, params, k) for params in drawn for k in range(1, n_folds + 1)])
     trials = []
-    for trial in range(n):
-        params = _draw(space, rng)
-        aucs = []
-        for k in range(1, n_folds + 1):
-            part = folds.where(F.col("fold") == k)
-            train, test = part.where("role = 'train'"), part.where("role = 'test'")
-            aucs.append(_fold_auc(builder, train, test, cols, label, params, idle))
+    for trial, params in enumerate(drawn):
+        aucs = found[trial * n_folds: (trial + 1) * n_folds]
         mean = sum(aucs) / len(aucs)
         std = math.sqrt(sum((a - mean) ** 2 for a in aucs) / len(aucs))
         trials.append((trial, mean, std, {k: str(v) for k, v in params.items()}, params))
@@ -226,11 +243,19 @@ def stack(train: DataFrame, cols: Sequence[str], members: dict[str, tuple[Builde
     # Members of folds need no order: the hash's remainder deals them without a sort.
     placed = train.select(KEY, label, *cols).withColumn("_fold", F.pmod(F.xxhash64(F.col(KEY), F.lit(seed)), F.lit(folds)).cast("int"))
     placed = materialise(placed, "stacking")
+    # All fits at once, alike ones side by side: those without each fold, and at the end without none.
+    jobs = [(name, f) for name in members for f in [*range(folds), None]]
+
+    def run(name: str, f: int | None) -> PipelineModel:
+        builder, params = members[name]
+        return fit(builder, placed if f is None else placed.where(F.col("_fold") != f), cols, label, **params)
+
+    models = dict(zip(jobs, together(train.sparkSession, [functools.partial(run, *job) for job in jobs]), strict=True))
     parts = []
     for f in range(folds):
         held = placed.where(F.col("_fold") == f)
-        for name, (builder, params) in members.items():
-            held = apply_model(held, fit(builder, placed.where(F.col("_fold") != f), cols, label, **params), f"m_{name}")
+        for name in members:
+            held = apply_model(held, models[name, f], f"m_{name}")
         parts.append(held)
     oof = parts[0]
     for p in parts[1:]:
@@ -238,7 +263,7 @@ def stack(train: DataFrame, cols: Sequence[str], members: dict[str, tuple[Builde
     names = [f"m_{n}" for n in members]
     n = placed.count()
     final = fit(lr, materialise(oof, "out-of-fold"), names, label, reg=1.0 / (c * n))
-    fitted = {n: fit(builder, placed, cols, label, **params) for n, (builder, params) in members.items()}
+    fitted = {name: models[name, None] for name in members}
 
     def score(df: DataFrame, out: str = "propensity_score") -> DataFrame:
         wide = df
@@ -253,15 +278,15 @@ def learning_curve(builder: Builder, df: DataFrame, cols: Sequence[str], shares:
                    label: str = "label", model_name: str = "model", seed: int = 42, **params) -> DataFrame:
     """Train and validation AUC for growing training sizes: rows (model, train_size, fold, train_auc, val_auc)."""
     placed = materialise(hash_ordinal(df.select(KEY, label, *cols), KEY, seed), "curve")
-    rows = []
     n = placed.count()
-    for f in range(folds):
+
+    def run(f: int, share: float) -> tuple:
         val = placed.where(F.col("ordinal") % folds == f)
-        rest = placed.where(F.col("ordinal") % folds != f)
-        for share in shares:
-            train = rest.where(F.col("ordinal") <= F.lit(int(n * share)))
-            model = fit(builder, train, cols, label, **params)
-            rows.append((model_name, train.count(), f, model_auc(model, train, label), model_auc(model, val, label)))
+        train = placed.where((F.col("ordinal") % folds != f) & (F.col("ordinal") <= F.lit(int(n * share))))
+        model = fit(builder, train, cols, label, **params)
+        return model_name, train.count(), f, model_auc(model, train, label), model_auc(model, val, label)
+
+    rows = together(df.sparkSession, [functools.partial(run, f, share) for f in range(folds) for share in shares])
     return df.sparkSession.createDataFrame(rows, "model string, train_size int, fold int, train_auc double, val_auc double")
 
 
@@ -331,5 +356,5 @@ def load_model(path: str) -> PipelineModel:
 __all__ = [
     "Builder", "GBT_PRESETS", "SPACES", "apply_calibration", "apply_model", "calibrate", "class_weights",
     "curve_summary", "dt", "fit", "fit_dt", "fit_gbt", "fit_lr", "fit_patient", "fit_rf", "forest_curve", "gbt", "learning_curve", "load_model",
-    "loss_curve", "lr", "model_auc", "random_search", "rf", "save_model", "stack", "sweep",
+    "loss_curve", "lr", "model_auc", "random_search", "rf", "save_model", "stack", "sweep", "together",
 ]
