@@ -127,3 +127,17 @@ def test_independent_fits_run_side_by_side(spark, monkeypatch, what):
     assert peak[0] > 1
     monkeypatch.setattr(tr, "PARALLEL", 1)
     assert run() == got
+
+
+def test_prefix_scores_add_each_value_once(spark):
+    import re
+
+    from tillsight.operators import trees as tt
+
+    walked = spark.createDataFrame([(1, [0.1, 0.7, 0.3, 0.2, 0.9, 0.4]), (2, [1.0, 0.0, 0.25, 0.5, 0.125, 0.3])], "id int, values array<double>")
+    for boosted, one in ((False, tt.forest_probability), (True, tt.boosted_probability)):
+        out = tt.prefix_scores(walked, [2, 5, 6, 9], ["id"], boosted=boosted)
+        want = {(r.id, k): r.p for k in (2, 5, 6, 9) for r in walked.select("id", one("values", k).alias("p")).collect()}
+        assert {(r.id, r.n_trees): r.score for r in out.collect()} == want
+        taken = re.findall(r"slice\(values#\d+, (\d+), (\d+)\)", out._jdf.queryExecution().optimizedPlan().toString())
+        assert {(int(a), int(b)) for a, b in taken} == {(1, 2), (3, 3), (6, 1), (7, 3)} and len(taken) == 4

@@ -88,7 +88,15 @@ def boosted_probability(values: str, k: int | Column | None = None) -> Column:
 
 
 def prefix_scores(walked: DataFrame, counts: Sequence[int], keep: Sequence[str], values: str = "values", boosted: bool = False) -> DataFrame:
-    """(keep..., n_trees, score) for ensembles of the first trees, ``counts`` of them, from one model."""
-    p = boosted_probability if boosted else forest_probability
-    each = F.array(*[F.struct(F.lit(k).alias("n_trees"), p(values, k).alias("score")) for k in counts])
-    return walked.select(*keep, F.inline(each))
+    """(keep..., n_trees, score) for ensembles of the first trees, ``counts`` of them, from one model.
+
+    A row's values are added up once: each sum goes on from that of the next smaller count.
+    """
+    rows, before, upto = walked.select(*keep, values), F.lit(0.0), 0
+    for k in sorted(set(counts)):
+        # Sums of their own projections: used twice each, they are not repeated in the next.
+        rows = rows.withColumn(f"_s{k}", F.aggregate(F.slice(values, upto + 1, k - upto), before, lambda a, x: a + x))
+        before, upto = F.col(f"_s{k}"), k
+    score = (lambda k: 1.0 / (1.0 + F.exp(-2.0 * F.col(f"_s{k}")))) if boosted else (lambda k: F.col(f"_s{k}") / F.least(F.size(values), F.lit(k)))
+    each = F.array(*[F.struct(F.lit(k).alias("n_trees"), score(k).alias("score")) for k in counts])
+    return rows.select(*keep, F.inline(each))
