@@ -50,6 +50,57 @@ def test_against_brute_force(spark, make_docs, shard):
     assert all(hashlib.sha256(x.kept).hexdigest() == x.kept_sha256 for x in got)
 
 
+def test_equal_strings_of_an_anchor_get_one_key():
+    r = random.Random(4)
+    core = bytes(r.randrange(97, 123) for _ in range(60))
+    texts = [bytes(r.randrange(97, 123) for _ in range(30)) + core + bytes(r.randrange(97, 123) for _ in range(30)) for _ in range(30)]
+    for step in (5, 1):
+        keys, strings = {}, Counter()
+        for t in texts:
+            for anchor, _, first, count, _ in zip(*(x.tolist() for x in rp.units(t, 40, 8)), strict=True):
+                unit, starts = t[first:first + count + 39], []
+                for key, _, at, n in rp.pieces(anchor, unit, step, 40, 8):
+                    assert 0 < n <= step
+                    starts += range(at, at + n)
+                    for i in range(at, at + n):
+                        s = unit[i:i + 40]
+                        strings[s] += 1
+                        assert keys.setdefault(s, key) == key
+                assert sorted(starts) == list(range(count))
+        assert max(strings.values()) == 30
+        assert step > 1 or len(set(keys.values())) == len(keys)
+
+
+@pytest.mark.parametrize("shard", [1 << 18, 400])
+def test_one_anchor_of_very_many_units(spark, make_docs, monkeypatch, shard):
+    """A phrase, a passage longer than a string and near copies, each in very many different surroundings: no anchor's units meet in one group."""
+    r = random.Random(6)
+    word = lambda k: " ".join(str(r.randrange(10**6)) for _ in range(k))
+    phrase, passage, page = "a phrase of old", word(11), word(40).split()
+    texts = [f"{word(8)} {phrase} {word(8)}" for _ in range(80)] + [f"{word(7)} {passage} {word(7)}" for _ in range(80)]
+    for _ in range(80):
+        near = list(page)
+        near[r.randrange(40)] = word(1)
+        texts.append(" ".join(near))
+    rows = list(enumerate(texts)) + [(3, texts[3]), (100, texts[100])]
+    groups, deal = [], rp._deal
+
+    def watched(data, counts, length, gram, many):
+        before = counts.agg({"kinds": "max"}).first()[0]
+        out, marks = deal(data, counts, length, gram, many)
+        groups.append((before, out.groupBy("anchor").agg(rp.F.countDistinct("full").alias("n")).agg({"n": "max"}).first()[0] or 0, many))
+        return out, marks
+
+    monkeypatch.setattr(rp, "_deal", watched)
+    got = rp.without_repeats(make_docs(rows), length=40, gram=8, shard=shard).collect()
+    want = Counter((d, *b) for (d, _), b in zip(rows, brute([t for _, t in rows], 40), strict=True))
+    assert Counter((x.doc_id, x.n_bytes, x.n_removed, x.n_spans, x.kept_sha256) for x in got) == want
+    (before, after, many), = groups
+    assert before >= 80
+    assert after <= many
+    assert shard > 400 or before > many
+
+
 def test_suffix_arrays_and_common_prefixes():
     r = random.Random(1)
     for _ in range(60):
